@@ -56,8 +56,7 @@ def words(text: Column, collapsed: bool = False) -> Column:
 def word_count(text: Column, collapsed: bool = False) -> Column:
     if not collapsed:
         return F.regexp_count(text, F.lit(NON_BLANKS))
-    gaps = F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
-    return F.when(text == "", 0).otherwise(gaps + 1)
+    return F.when(text == "", 0).otherwise(F.size(F.split(text, " ")))
 
 
 def estimated_tokens(text: Column, collapsed: bool = False) -> Column:
@@ -65,10 +64,12 @@ def estimated_tokens(text: Column, collapsed: bool = False) -> Column:
 
 
 def english_score(text: Column, collapsed: bool = False) -> Column:
-    listed = F.filter(words(F.lower(text), collapsed), lambda w: w.isin(*ENGLISH_WORDS))
-    count = word_count(text, collapsed)
-    score = F.least(F.size(listed) / count * 4, F.lit(1.0))
-    return F.when(count == 0, 0.0).otherwise(score)
+    def score(parts: Column) -> Column:
+        listed = F.size(F.filter(parts, lambda w: w.isin(*ENGLISH_WORDS)))
+        share = F.least(listed / F.size(parts) * 4, F.lit(1.0))
+        return F.when(F.size(parts) == 0, 0.0).otherwise(share)
+
+    return let(words(F.lower(text), collapsed), score)
 
 
 def relevance_score(text: Column) -> Column:
@@ -77,15 +78,18 @@ def relevance_score(text: Column) -> Column:
 
 
 def readability_score(text: Column, collapsed: bool = False) -> Column:
-    stops = F.length(text) - F.length(F.translate(text, ".!?", ""))
-    count = word_count(text, collapsed)
-    length = F.try_divide(count, stops)
-    return (
-        F.when((stops == 0) | (count == 0), 0.0)
-        .when(length.between(10, 25), 1.0)
-        .when(((length >= 5) & (length < 10)) | ((length > 25) & (length <= 40)), 0.7)
-        .otherwise(0.4)
-    )
+    """Scores words per sentence mark; 0 without words or marks."""
+    marks = F.regexp_count(text, F.lit("[.!?]"))
+
+    def score(length: Column) -> Column:
+        return (
+            F.when(length.isNull() | (length == 0), 0.0)
+            .when((length >= 10) & (length <= 25), 1.0)
+            .when((length >= 5) & (length <= 40), 0.7)
+            .otherwise(0.4)
+        )
+
+    return let(F.try_divide(word_count(text, collapsed), marks), score)
 
 
 SCORES = {

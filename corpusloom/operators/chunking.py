@@ -31,8 +31,9 @@ def chunk(
     extra = [] if source_metadata is None else ["source_metadata"]
     rows = eligible.select(
         *keep, *extra, "source_type", "_digest", F.size("_chunks").alias("total_chunks"),
-        F.posexplode("_chunks").alias("chunk_index", "content"),
-    )
+        # The outer form infers no filter that would cut every text twice.
+        F.posexplode_outer("_chunks").alias("chunk_index", "content"),
+    ).filter("chunk_index is not null")
     return rows.select(
         *keep,
         F.concat_ws(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.config import Cleaning
 from corpusloom.functions import text as tx
+from corpusloom.functions.hold import hold
 
 
 def clean(
@@ -22,7 +23,7 @@ def clean(
         body = tx.remove_tags(body)
     if rules.normalize_whitespace:
         body = tx.collapse_blanks(body)
-    kept = kept.withColumn(content, body)
+    kept = hold(kept, content, body)
     return kept if cleaned_at is None else kept.withColumn("cleaned_at", cleaned_at)
 
 

@@ -84,7 +84,25 @@ def lookup_keys(sets: DataFrame, order: str, bar: float) -> DataFrame:
         F.sort_array(F.array_except("shingles", hot)), F.array_intersect(hot, F.col("shingles"))
     )
     needed = (size - F.ceil(size * F.lit(bar) - F.lit(1e-9)) + 1).cast("int")
-    return sets.select(F.explode(F.slice(ordered, 1, needed)).alias("bucket"), order)
+    return sets.select(
+        F.explode(F.slice(ordered, 1, needed)).alias("bucket"), order, size.alias("size")
+    )
+
+
+def overlap_possible(bar: float) -> Callable[[Column, Column, Column], Column]:
+    """Whether sets of sizes ``a`` and ``b`` sharing that many lookups can reach ``bar``.
+
+    One of the two has all its common lookups among the other's, so the overlap
+    is at most the shared lookups plus the elements outside that set's lookups.
+    """
+
+    def test(shared: Column, a: Column, b: Column) -> Column:
+        least = F.ceil((a + b) * F.lit(bar / (1 + bar)) - F.lit(1e-9))
+        rest = F.ceil(F.greatest(a, b) * F.lit(bar) - F.lit(1e-9)) - 1
+        fitting = F.least(a, b) >= F.greatest(a, b) * F.lit(bar - 1e-9)
+        return fitting & (shared + rest >= least)
+
+    return test
 
 
 def length_keys(texts: DataFrame, order: str, bar: float) -> DataFrame:
@@ -95,26 +113,32 @@ def length_keys(texts: DataFrame, order: str, bar: float) -> DataFrame:
     """
     width = F.log(F.lit((2 - bar) / bar))
     step = F.floor(F.log(F.greatest(F.length("content"), F.lit(1))) / width)
-    return texts.select(F.explode(F.array(step, step + 1)).alias("bucket"), order)
+    size = F.length("content").alias("size")
+    return texts.select(F.explode(F.array(step, step + 1)).alias("bucket"), order, size)
+
+
+def lengths_fit(bar: float) -> Callable[[Column, Column, Column], Column]:
+    return lambda shared, a, b: F.least(a, b) * 2 >= (a + b) * F.lit(bar - 1e-9)
 
 
 def greedy_keep_first(
-    keys: DataFrame, order: str, similar: Callable[[DataFrame], DataFrame]
+    keys: DataFrame,
+    order: str,
+    possible: Callable[[Column, Column, Column], Column],
+    similar: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
     """(order, kept) for every row that shares a bucket with another one.
 
     ``kept`` is null for rows that stay, else an earlier row that stays and is
-    similar. ``similar`` reduces candidate pairs (order, pilot) to similar ones.
+    similar. ``keys`` holds (bucket, order, size). ``possible`` rules pairs out
+    by shared buckets and sizes; ``similar`` reduces the others to similar ones.
     """
-    firsts = keys.groupBy("bucket").agg(
-        F.min(order).alias("_first"), F.count(F.lit(1)).alias("_rows")
-    )
-    shared = keys.join(firsts.filter("_rows > 1").select("bucket"), "bucket", "left_semi")
-    undecided = cut(shared.select("bucket", order))
+    shared = keys.groupBy("bucket").agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1")
+    undecided = cut(keys.join(shared.select("bucket"), "bucket", "left_semi"))
     decided: list[DataFrame] = []
     pilots = 1
     while not undecided.isEmpty():
-        decisions = cut(one_round(undecided, order, similar, pilots))
+        decisions = one_round(undecided, order, possible, similar, pilots)
         decided.append(decisions)
         undecided = cut(undecided.join(decisions, order, "left_anti"))
         pilots *= PILOT_GROWTH
@@ -126,6 +150,7 @@ def greedy_keep_first(
 def one_round(
     undecided: DataFrame,
     order: str,
+    possible: Callable[[Column, Column, Column], Column],
     similar: Callable[[DataFrame], DataFrame],
     pilots: int,
 ) -> DataFrame:
@@ -143,27 +168,39 @@ def one_round(
     seen = undecided.join(leads, "bucket")
     # A row is ready when it is a pilot wherever it occurs.
     ready = seen.groupBy(order).agg(
-        F.min(F.array_contains("pilots", F.col(order))).alias("ready")
+        F.min(F.array_contains("pilots", F.col(order))).alias("ready"),
+        F.min("size").alias("size"),
     )
-    pairs = seen.select(
-        order, F.explode(F.filter("pilots", lambda p: p < F.col(order))).alias("pilot")
-    ).distinct()
-    pilot_ready = ready.select(F.col(order).alias("pilot"), F.col("ready").alias("pilot_ready"))
+    pairs = (
+        seen.select(
+            order, F.explode(F.filter("pilots", lambda p: p < F.col(order))).alias("pilot")
+        )
+        .groupBy(order, "pilot")
+        .agg(F.count(F.lit(1)).alias("shared"))
+    )
+    pilot = ready.select(
+        F.col(order).alias("pilot"),
+        F.col("ready").alias("pilot_ready"),
+        F.col("size").alias("pilot_size"),
+    )
+    # With one of the two ready, ``shared`` counts all their common buckets.
     useful = (
         pairs.join(ready, order)
-        .join(pilot_ready, "pilot")
+        .join(pilot, "pilot")
         .filter(F.col("ready") | F.col("pilot_ready"))
+        .filter(possible(F.col("shared"), F.col("size"), F.col("pilot_size")))
     )
-    edges = similar(useful.select(order, "pilot"))
-    open_rows = edges.select(order).distinct()
-    stay = ready.filter("ready").select(order).join(open_rows, order, "left_anti")
+    edges = similar(useful.select(order, "pilot")).persist()
+    stay = ready.filter("ready").select(order).join(edges, order, "left_anti")
     go = (
         edges.join(stay.select(F.col(order).alias("pilot")), "pilot", "left_semi")
         .groupBy(order)
         .agg(F.min("pilot").alias("kept"))
     )
     nothing = F.lit(None).cast(undecided.schema[order].dataType)
-    return stay.select(order, nothing.alias("kept")).unionByName(go)
+    decisions = cut(stay.select(order, nothing.alias("kept")).unionByName(go))
+    edges.unpersist()
+    return decisions
 
 
 def with_both(pairs: DataFrame, rows: DataFrame, order: str, value: str) -> DataFrame:
@@ -176,12 +213,9 @@ def with_both(pairs: DataFrame, rows: DataFrame, order: str, value: str) -> Data
 def jaccard_at_least(sets: DataFrame, order: str, bar: float) -> Callable:
     def similar(pairs: DataFrame) -> DataFrame:
         both = with_both(pairs, sets, order, "shingles")
-        a, b = F.size("later"), F.size("earlier")
         shared = F.size(F.array_intersect("later", "earlier"))
-        near = F.least(a, b) >= F.greatest(a, b) * F.lit(bar - 1e-9)
-        return both.filter(near & (shared / (a + b - shared) >= F.lit(bar))).select(
-            order, "pilot"
-        )
+        total = F.size("later") + F.size("earlier")
+        return both.filter(shared / (total - shared) >= F.lit(bar)).select(order, "pilot")
 
     return similar
 
@@ -227,9 +261,7 @@ def sequence_at_least(texts: DataFrame, order: str, bar: float) -> Callable:
 
     def similar(pairs: DataFrame) -> DataFrame:
         both = with_both(pairs, texts, order, "content")
-        a, b = F.length("later"), F.length("earlier")
-        near = F.least(a, b) * 2 >= (a + b) * F.lit(bar - 1e-9)
-        return both.filter(near).filter(reaches("later", "earlier")).select(order, "pilot")
+        return both.filter(reaches("later", "earlier")).select(order, "pilot")
 
     return similar
 
@@ -252,7 +284,7 @@ def near_duplicates(
     texts = docs.select(order, F.col(content).alias("content"))
     by_length = rules.similarity == "sequence" and candidates is None
     if by_length:
-        keys = length_keys(texts, order, rules.bar)
+        keys, possible = length_keys(texts, order, rules.bar), lengths_fit(rules.bar)
         similar = sequence_at_least(texts, order, rules.bar)
     else:
         sets = cut(
@@ -262,7 +294,7 @@ def near_duplicates(
             )
         )
         bar = candidates if rules.similarity == "sequence" else rules.bar
-        keys = lookup_keys(sets, order, bar)
+        keys, possible = lookup_keys(sets, order, bar), overlap_possible(bar)
         similar = jaccard_at_least(sets, order, bar)
         if rules.similarity == "sequence":
             overlap, same = similar, sequence_at_least(texts, order, rules.bar)
@@ -270,7 +302,7 @@ def near_duplicates(
             def similar(pairs: DataFrame) -> DataFrame:
                 return same(overlap(pairs))
 
-    return greedy_keep_first(keys, order, similar).filter("kept is not null")
+    return greedy_keep_first(keys, order, possible, similar).filter("kept is not null")
 
 
 def deduplicate(

@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from corpusloom.config import Collection, Quality
 from corpusloom.functions import text as tx
+from corpusloom.functions.hold import hold
 
 
 def with_quality(
     docs: DataFrame, rules: Quality = Quality(), content: str = "content", collapsed: bool = False
 ) -> DataFrame:
     score = tx.quality_score(F.col(content), rules.filters, collapsed)
-    return docs.withColumn("quality_score", score)
+    return hold(docs, "quality_score", score)
 
 
 def quality_filter(

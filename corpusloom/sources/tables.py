@@ -1,8 +1,8 @@
-"""Parquet tables in and out, and the shapes the operators expect."""
+"""Parquet tables in, in the shapes the operators expect."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -10,12 +10,30 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def documents(spark: SparkSession, folder: str, source_type: str = "web") -> DataFrame:
-    """The documents table in the engine's layout: ``content`` plus ``source_type``."""
-    return table(spark, folder, "documents").select(
-        "doc_id",
-        F.col("text").alias("content"),
-        "lang",
-        "source",
-        F.lit(source_type).alias("source_type"),
+def spread(frame: DataFrame, key: str) -> DataFrame:
+    """Use all cores on an input too small to be split between them.
+
+    A table below one scan split per core often sits in a single row group,
+    which one task reads. Such a table (and only such a table, by the planner's
+    size estimate) is hashed over the cores; larger ones keep their splits.
+    """
+    spark = frame.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("bB"))
+    size = int(str(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return frame.repartition(cores, key) if size < cores * split else frame
+
+
+def documents(
+    spark: SparkSession, folder: str, source_type: Column | str = "web"
+) -> DataFrame:
+    """The documents table with ``content`` and a ``source_type``."""
+    kind = F.lit(source_type) if isinstance(source_type, str) else source_type
+    frame = table(spark, folder, "documents").select(
+        "doc_id", F.col("text").alias("content"), "lang", "source", kind.alias("source_type")
     )
+    return spread(frame, "doc_id")
+
+
+def pages(spark: SparkSession, folder: str) -> DataFrame:
+    return spread(table(spark, folder, "pages"), "page_id")
