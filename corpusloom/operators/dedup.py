@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.config import Deduplication
 from corpusloom.functions import text as tx
+from corpusloom.functions.sequences import common_subsequence
 from corpusloom.session import cut
 
 # The bound on hot shingles: the one thing handed to every task.
@@ -220,19 +221,6 @@ def jaccard_at_least(sets: DataFrame, order: str, bar: float) -> Callable:
     return similar
 
 
-def common_subsequence(a: str, b: str) -> int:
-    """Length of the longest common subsequence, one big-integer step per character."""
-    where: dict[str, int] = {}
-    for i, letter in enumerate(a):
-        where[letter] = where.get(letter, 0) | (1 << i)
-    full = (1 << len(a)) - 1
-    state = full
-    for letter in b:
-        hit = state & where.get(letter, 0)
-        state = ((state + hit) | (state - hit)) & full
-    return len(a) - bin(state).count("1")
-
-
 def ratio_reaches(later: str, earlier: str, bar: float) -> bool:
     """Whether the matching-block ratio, later text first, is at least ``bar``.
 
