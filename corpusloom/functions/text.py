@@ -181,21 +181,47 @@ def rouge_tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit("([a-z0-9]+)"), F.lit(1))
 
 
+def one_decimal(value: Column) -> Column:
+    """``value`` (0 <= value < 2**21) with one digit, rounded as its binary value asks.
+
+    Java's formatter rounds the shortest decimal form instead, so that 22.15,
+    stored a little below, would become 22.2. Scaled by a power of two every
+    double is a whole number, and the rounding exact.
+    """
+
+    def tenths(scaled: Column, unit: int) -> Column:
+        def rounded(number: Column) -> Column:
+            rest = number % unit
+            whole = ((number - rest) / unit).cast("bigint")
+            up = (rest * 2 > unit) | ((rest * 2 == unit) & (whole % 2 == 1))
+            return whole + F.when(up, 1).otherwise(0)
+
+        return let(scaled.cast("bigint").cast("decimal(22,0)") * 10, rounded)
+
+    count = (
+        F.when(value < 1, tenths(value * 2.0**60, 2**60))
+        .when(value < 1024, tenths(value * 2.0**52, 2**52))
+        .otherwise(tenths(value * 2.0**42, 2**42))
+    )
+    return let(
+        count, lambda c: F.concat(F.floor(c / 10).cast("string"), F.lit("."), (c % 10).cast("string"))
+    )
+
+
 def human_duration(seconds: Column) -> Column:
     return (
-        F.when(seconds < 60, F.format_string("%.1fs", seconds))
-        .when(seconds < 3600, F.format_string("%.1fm", seconds / 60))
-        .otherwise(F.format_string("%.1fh", seconds / 3600))
+        F.when(seconds < 60, F.concat(one_decimal(seconds), F.lit("s")))
+        .when(seconds < 3600, F.concat(one_decimal(seconds / 60), F.lit("m")))
+        .otherwise(F.concat(one_decimal(seconds / 3600), F.lit("h")))
     )
 
 
 def human_bytes(size: Column) -> Column:
     size = size.cast("double")
-    text = F.when(size < 1024, F.format_string("%.1fB", size))
+    text = F.when(size < 1024, F.concat(one_decimal(size), F.lit("B")))
     scale = 1024.0
     for unit in ("KB", "MB", "GB"):
-        text = text.when(
-            size / scale < 1024, F.format_string(f"%.1f{unit}", size / F.lit(scale))
-        )
+        part = size / F.lit(scale)
+        text = text.when(part < 1024, F.concat(one_decimal(part), F.lit(unit)))
         scale *= 1024.0
-    return text.otherwise(F.format_string("%.1fTB", size / F.lit(scale)))
+    return text.otherwise(F.concat(one_decimal(size / F.lit(scale)), F.lit("TB")))

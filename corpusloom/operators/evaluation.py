@@ -13,6 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom.functions import text as tx
 from corpusloom.functions.porter import stem
@@ -105,7 +106,7 @@ def answered() -> Column:
     return (F.col("prediction") != "") & (F.col("reference") != "")
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def stemmed(tokens: pd.Series) -> pd.Series:
     return tokens.map(lambda row: [stem(t) if len(t) > 3 else t for t in row])
 
@@ -188,7 +189,7 @@ def rouge_n_scores(pairs: DataFrame, n: int, use_stemmer: bool = False) -> DataF
     )
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def common_length(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([common_subsequence(list(x), list(y)) for x, y in zip(a, b)], dtype="int32")
 
@@ -240,7 +241,7 @@ def corpus_bleu(pairs: DataFrame) -> DataFrame:
     )
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def matched_f1(predicted: pd.Series, expected: pd.Series) -> pd.Series:
     """Every vector meets its most similar counterpart; F1 of the two mean cosines."""
 

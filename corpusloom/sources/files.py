@@ -11,6 +11,7 @@ from xml.etree import ElementTree
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom.config import Collection
 from corpusloom.functions import text as tx
@@ -31,7 +32,7 @@ def binary_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
 
 
-@F.pandas_udf("text string, encoding string")
+@F.pandas_udf(T.StructType().add("text", "string").add("encoding", "string"))
 def decoded(content: pd.Series) -> pd.DataFrame:
     def first_fit(data: bytes) -> tuple[str, str]:
         for encoding in ENCODINGS:
@@ -58,7 +59,7 @@ def document(source: Column, content: Column, kind: str, *details: Column) -> li
 
 
 def text_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Text and Markdown files. Lines are counted before blanks are collapsed."""
+    """Text and Markdown files; empty files give no row. Lines are counted in the raw text."""
     files = binary_files(spark, path).filter(reader_for(F.col("path")) == "text")
     rows = files.withColumn("d", decoded.asNondeterministic()("content"))
     raw = F.regexp_replace("d.text", "\r\n?", "\n")
@@ -95,9 +96,9 @@ def html_documents(
 
 
 def csv_encoding(spark: SparkSession, path: str) -> str:
-    """UTF-8 if all lines of the files are valid, else latin-1."""
+    """UTF-8 if all lines of the files are valid, else latin-1, which has any byte."""
     valid = spark.read.text(path).agg(F.bool_and(F.is_valid_utf8("value")))
-    return "latin-1" if valid.first()[0] is False else "utf-8"
+    return "ISO-8859-1" if valid.first()[0] is False else "UTF-8"
 
 
 def csv_rows(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
@@ -152,7 +153,7 @@ def json_structure(text: Column) -> Column:
     )
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def pretty_json(text: pd.Series) -> pd.Series:
     return text.map(lambda t: json.dumps(json.loads(t), indent=2, ensure_ascii=False))
 
