@@ -23,43 +23,50 @@ def crawl(
     it sorts as the queue does, so no global ranking is needed.
     """
     limit = rules.max_pages_per_source
-    followed = links.filter(F.col("position") < rules.links_per_page)
-    frontier = cut(
-        seeds.select("seed", "url", F.array().cast("array<int>").alias("path"))
+    followed = cut(
+        links.filter(F.col("position") < rules.links_per_page).select("src", "dst", "position")
+    )
+    known = cut(pages.select("url", "valid"))
+    start = seeds.select(
+        "seed", "url", F.array().cast("array<int>").alias("path"), F.lit(0).alias("done")
     )
-    visited = frontier.select("seed", "url")
-    counts = seeds.select("seed", F.lit(0).cast("long").alias("done")).distinct()
     levels: list[DataFrame] = []
-    while not frontier.isEmpty():
-        level = cut(frontier.join(pages, "url"))
-        # At most ``limit`` rows per seed survive, cut down before the shuffle.
-        rank = F.row_number().over(Window.partitionBy("seed").orderBy("path"))
-        taken = (
-            level.filter("valid")
-            .withColumn("rank", rank)
-            .filter(F.col("rank") <= limit)
-            .join(counts, "seed")
-            .filter(F.col("rank") <= limit - F.col("done"))
-        )
-        taken = cut(
-            taken.select(
-                "seed", "url", F.lit(len(levels)).alias("level"),
-                (F.col("rank") + F.col("done")).alias("rank"),
-            )
-        )
-        levels.append(taken)
-        counts = cut(
-            counts.unionByName(taken.groupBy("seed").agg(F.count(F.lit(1)).alias("done")))
-            .groupBy("seed")
-            .agg(F.sum("done").alias("done"))
-        )
+    found, visited = start, None
+    while True:
+        # ``valid`` stays null for URLs that are not in the table.
+        level = cut(found.join(known, "url", "left"))
+        if level.isEmpty():
+            break
+        levels.append(level)
+        queued = level.select("seed", "url")
+        visited = queued if visited is None else visited.unionAll(queued)
+        counts = level.groupBy("seed").agg((F.max("done") + F.count_if("valid")).alias("done"))
         found = (
-            level.join(followed, level["url"] == followed["src"])
+            level.filter(F.col("valid").isNotNull())
+            .select("seed", "path", F.col("url").alias("src"))
+            .join(followed, "src")
             .select("seed", F.col("dst").alias("url"), F.array_append("path", F.col("position")).alias("path"))
-            .join(counts.filter(F.col("done") < limit), "seed", "left_semi")
             .groupBy("seed", "url")
             .agg(F.min("path").alias("path"))
+            .join(counts.filter(F.col("done") < limit), "seed")
+            .select("seed", "url", "path", F.col("done").cast("int"))
+            .join(visited, ["seed", "url"], "left_anti")
         )
-        frontier = cut(found.join(visited, ["seed", "url"], "left_anti"))
-        visited = visited.unionAll(frontier.select("seed", "url"))
-    return reduce(DataFrame.unionAll, levels)
+    return reduce(DataFrame.unionAll, [collected(rows, i, limit) for i, rows in enumerate(levels)])
+
+
+def collected(level: DataFrame, number: int, limit: int) -> DataFrame:
+    """The valid pages of a level, up to the limit of their seed.
+
+    The rank has a fixed bound, so tasks drop all but the first rows of a seed
+    before the shuffle.
+    """
+    rank = F.row_number().over(Window.partitionBy("seed").orderBy("path"))
+    return (
+        level.filter("valid")
+        .withColumn("rank", rank)
+        .filter(F.col("rank") <= limit)
+        .withColumn("rank", F.col("rank") + F.col("done"))
+        .filter(F.col("rank") <= limit)
+        .select("seed", "url", F.lit(number).alias("level"), "rank")
+    )

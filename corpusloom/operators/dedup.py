@@ -22,12 +22,19 @@ from pyspark.sql import functions as F
 from corpusloom.config import Deduplication
 from corpusloom.functions import text as tx
 from corpusloom.functions.sequences import common_subsequence
+from corpusloom.operators.skew import hot_keys, join_split
 from corpusloom.session import cut
 
+# Reduces (order, pilot) pairs to similar ones, given the pilots to split.
+Similar = Callable[[DataFrame, DataFrame | None], DataFrame]
+
 # The bound on hot shingles: the one thing handed to every task.
 MAX_HOT = 1000
 HOT_ROWS = 64
-PILOT_GROWTH = 4
+SKETCH_GROUPS = 1000
+PILOT_GROWTH = 8
+# Candidates of one pilot beyond which its row, a whole set or text, is copied.
+MIN_CROWD = 100_000
 
 
 def first_copies(
@@ -61,15 +68,23 @@ def hot_shingles(sets: DataFrame) -> Column:
     """The most frequent shingles, rarest of them first: at most MAX_HOT hashes.
 
     They only decide which shingles a row is looked up by, never the result.
+    Sketches are merged in two steps, so that no task receives those of all
+    others.
     """
-    top = F.call_function(
-        "approx_top_k", F.col("shingle"), F.lit(MAX_HOT), F.lit(MAX_HOT * 100)
-    )
-    frequent = F.filter(top, lambda x: x["count"] > HOT_ROWS)
-    found = sets.select(F.explode("shingles").alias("shingle")).agg(
-        F.transform(F.reverse(frequent), lambda x: x["item"]).alias("hot")
+
+    def sketch(step: str, *args: Column) -> Column:
+        return F.call_function(f"approx_top_k_{step}", *args)
+
+    slots = F.lit(MAX_HOT * 10)
+    partial = (
+        sets.select(F.explode("shingles").alias("shingle"))
+        .groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("g"))
+        .agg(sketch("accumulate", F.col("shingle"), slots).alias("s"))
     )
-    return found.scalar()
+    merged = partial.agg(sketch("combine", F.col("s"), slots).alias("s"))
+    top = merged.select(sketch("estimate", F.col("s"), F.lit(MAX_HOT)).alias("top"))
+    frequent = F.filter("top", lambda x: x["count"] > HOT_ROWS)
+    return top.select(F.transform(F.reverse(frequent), lambda x: x["item"])).scalar()
 
 
 def lookup_keys(sets: DataFrame, order: str, bar: float) -> DataFrame:
@@ -126,20 +141,21 @@ def greedy_keep_first(
     keys: DataFrame,
     order: str,
     possible: Callable[[Column, Column, Column], Column],
-    similar: Callable[[DataFrame], DataFrame],
+    similar: Similar,
 ) -> DataFrame:
     """(order, kept) for every row that shares a bucket with another one.
 
     ``kept`` is null for rows that stay, else an earlier row that stays and is
     similar. ``keys`` holds (bucket, order, size). ``possible`` rules pairs out
-    by shared buckets and sizes; ``similar`` reduces the others to similar ones.
+    by shared buckets and sizes; ``similar`` reduces the others to similar ones,
+    given the pilots with so many candidates that their rows must be split.
     """
     shared = keys.groupBy("bucket").agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1")
     undecided = cut(keys.join(shared.select("bucket"), "bucket", "left_semi"))
     decided: list[DataFrame] = []
     pilots = 1
-    while not undecided.isEmpty():
-        decisions = one_round(undecided, order, possible, similar, pilots)
+    while total := undecided.count():
+        decisions = one_round(undecided, total, order, possible, similar, pilots)
         decided.append(decisions)
         undecided = cut(undecided.join(decisions, order, "left_anti"))
         pilots *= PILOT_GROWTH
@@ -150,9 +166,10 @@ def greedy_keep_first(
 
 def one_round(
     undecided: DataFrame,
+    total: int,
     order: str,
     possible: Callable[[Column, Column, Column], Column],
-    similar: Callable[[DataFrame], DataFrame],
+    similar: Similar,
     pilots: int,
 ) -> DataFrame:
     """Decide every row whose earlier rows are all pilots and all dissimilar."""
@@ -166,7 +183,8 @@ def one_round(
             .groupBy("bucket")
             .agg(F.collect_list(order).alias("pilots"))
         )
-    seen = undecided.join(leads, "bucket")
+    hot = hot_keys(undecided, "bucket", total)
+    seen = join_split(undecided, leads, "bucket", order, hot)
     # A row is ready when it is a pilot wherever it occurs.
     ready = seen.groupBy(order).agg(
         F.min(F.array_contains("pilots", F.col(order))).alias("ready"),
@@ -190,8 +208,11 @@ def one_round(
         .join(pilot, "pilot")
         .filter(F.col("ready") | F.col("pilot_ready"))
         .filter(possible(F.col("shared"), F.col("size"), F.col("pilot_size")))
+        .select(order, "pilot")
+        .persist()
     )
-    edges = similar(useful.select(order, "pilot")).persist()
+    crowded = hot_keys(useful, "pilot", useful.count(), MIN_CROWD)
+    edges = similar(useful, crowded).persist()
     stay = ready.filter("ready").select(order).join(edges, order, "left_anti")
     go = (
         edges.join(stay.select(F.col(order).alias("pilot")), "pilot", "left_semi")
@@ -201,19 +222,22 @@ def one_round(
     nothing = F.lit(None).cast(undecided.schema[order].dataType)
     decisions = cut(stay.select(order, nothing.alias("kept")).unionByName(go))
     edges.unpersist()
+    useful.unpersist()
     return decisions
 
 
-def with_both(pairs: DataFrame, rows: DataFrame, order: str, value: str) -> DataFrame:
+def with_both(
+    pairs: DataFrame, crowded: DataFrame | None, rows: DataFrame, order: str, value: str
+) -> DataFrame:
     """Attach ``value`` of both rows of each pair, as ``later`` and ``earlier``."""
     later = rows.select(order, F.col(value).alias("later"))
     earlier = rows.select(F.col(order).alias("pilot"), F.col(value).alias("earlier"))
-    return pairs.join(later, order).join(earlier, "pilot")
+    return join_split(pairs.join(later, order), earlier, "pilot", order, crowded)
 
 
-def jaccard_at_least(sets: DataFrame, order: str, bar: float) -> Callable:
-    def similar(pairs: DataFrame) -> DataFrame:
-        both = with_both(pairs, sets, order, "shingles")
+def jaccard_at_least(sets: DataFrame, order: str, bar: float) -> Similar:
+    def similar(pairs: DataFrame, crowded: DataFrame | None) -> DataFrame:
+        both = with_both(pairs, crowded, sets, order, "shingles")
         shared = F.size(F.array_intersect("later", "earlier"))
         total = F.size("later") + F.size("earlier")
         return both.filter(shared / (total - shared) >= F.lit(bar)).select(order, "pilot")
@@ -240,15 +264,15 @@ def ratio_reaches(later: str, earlier: str, bar: float) -> bool:
     return matcher.ratio() >= bar
 
 
-def sequence_at_least(texts: DataFrame, order: str, bar: float) -> Callable:
+def sequence_at_least(texts: DataFrame, order: str, bar: float) -> Similar:
     @F.pandas_udf("boolean")
     def reaches(later: pd.Series, earlier: pd.Series) -> pd.Series:
         return pd.Series(
             [ratio_reaches(a, b, bar) for a, b in zip(later, earlier)], dtype=bool
         )
 
-    def similar(pairs: DataFrame) -> DataFrame:
-        both = with_both(pairs, texts, order, "content")
+    def similar(pairs: DataFrame, crowded: DataFrame | None) -> DataFrame:
+        both = with_both(pairs, crowded, texts, order, "content")
         return both.filter(reaches("later", "earlier")).select(order, "pilot")
 
     return similar
@@ -287,8 +311,8 @@ def near_duplicates(
         if rules.similarity == "sequence":
             overlap, same = similar, sequence_at_least(texts, order, rules.bar)
 
-            def similar(pairs: DataFrame) -> DataFrame:
-                return same(overlap(pairs))
+            def similar(pairs: DataFrame, crowded: DataFrame | None) -> DataFrame:
+                return same(overlap(pairs, crowded), crowded)
 
     return greedy_keep_first(keys, order, possible, similar).filter("kept is not null")
 

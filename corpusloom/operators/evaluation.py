@@ -141,18 +141,23 @@ def counted(grams: Column, n: int, side: str) -> Column:
 def gram_counts(pairs: DataFrame, tokens: dict[str, Column], sizes: Sequence[int]) -> DataFrame:
     """(model, id, n, gram, in_reference, in_prediction) of the answered pairs.
 
-    All n-grams of a pair come from one row, so they are summed before the shuffle.
+    The texts are hashed by pair first; that one shuffle serves this and any
+    further aggregate by pair. A pair without n-grams gives a row with a null n.
     """
-    ready = pairs.filter(answered()).select("model", "id", *[c.alias(s) for s, c in tokens.items()])
+    ready = (
+        pairs.filter(answered())
+        .repartition("model", "id")
+        .select("model", "id", *[c.alias(s) for s, c in tokens.items()])
+    )
     grams = F.concat(
         *[counted(ngrams(F.col(side), n), n, side) for n in sizes for side in tokens]
     )
     return (
-        ready.select("model", "id", F.explode(grams).alias("g"))
+        ready.select("model", "id", F.explode_outer(grams).alias("g"))
         .groupBy("model", "id", F.col("g.n").alias("n"), F.col("g.gram").alias("gram"))
         .agg(
-            F.sum("g.in_reference").alias("in_reference"),
-            F.sum("g.in_prediction").alias("in_prediction"),
+            F.coalesce(F.sum("g.in_reference"), F.lit(0)).alias("in_reference"),
+            F.coalesce(F.sum("g.in_prediction"), F.lit(0)).alias("in_prediction"),
         )
     )
 
@@ -176,17 +181,10 @@ def rouge_n_scores(pairs: DataFrame, n: int, use_stemmer: bool = False) -> DataF
             F.sum("in_reference").alias("expected"),
         )
     )
-    scored = sums.select(
+    return sums.select(
         "model", "id",
         f_measure(F.col("hits"), F.col("predicted"), F.col("expected")).alias("score"),
     )
-    # Pairs too short for a single n-gram score 0.
-    return (
-        pairs.filter(answered())
-        .select("model", "id")
-        .join(scored, ["model", "id"], "left")
-        .select("model", "id", F.coalesce("score", F.lit(0.0)).alias("score"))
-    )
 
 
 @F.pandas_udf(T.IntegerType())
@@ -219,6 +217,7 @@ def corpus_bleu(pairs: DataFrame) -> DataFrame:
     tokens = {s: tx.words(F.col(s)) for s in ("reference", "prediction")}
     sums = (
         gram_counts(pairs, tokens, [1, 2, 3, 4])
+        .filter("n is not null")
         .groupBy("model", "n")
         .agg(
             F.sum(F.least("in_reference", "in_prediction")).alias("hits"),
