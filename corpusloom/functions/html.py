@@ -7,6 +7,8 @@ language rules and link filters are Spark expressions on the result.
 from __future__ import annotations
 
 import re
+from html import unescape
+from html.entities import html5
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
@@ -113,14 +115,25 @@ class Element:
 
 
 class TreeBuilder(HTMLParser):
-    """Nests tags as written; an end tag closes up to its nearest open namesake."""
+    """Nests tags as written; an end tag closes up to its nearest open namesake.
+
+    Text up to the next tag or comment is one string. Entities end at the first
+    character that no name can hold; unknown ones stay as text.
+    """
 
     def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
+        super().__init__(convert_charrefs=False)
         self.root = Element("", {})
         self.open = [self.root]
+        self.text: list[str] = []
+
+    def end_text(self) -> None:
+        if self.text:
+            self.open[-1].children.append("".join(self.text))
+            self.text = []
 
     def handle_starttag(self, tag, attrs):
+        self.end_text()
         node = Element(tag, {name: value or "" for name, value in attrs})
         self.open[-1].children.append(node)
         if tag not in VOID_TAGS:
@@ -132,19 +145,32 @@ class TreeBuilder(HTMLParser):
             self.open.pop()
 
     def handle_endtag(self, tag):
+        self.end_text()
         for depth in range(len(self.open) - 1, 0, -1):
             if self.open[depth].tag == tag:
                 del self.open[depth:]
                 return
 
     def handle_data(self, data):
-        self.open[-1].children.append(data)
+        self.text.append(data)
+
+    def handle_entityref(self, name):
+        self.text.append(html5.get(f"{name};", f"&{name}"))
+
+    def handle_charref(self, name):
+        self.text.append(unescape(f"&#{name};"))
+
+    def handle_comment(self, data):
+        self.end_text()
+
+    handle_decl = handle_pi = unknown_decl = handle_comment
 
 
 def parse(html: str) -> Element:
     builder = TreeBuilder()
     builder.feed(html)
     builder.close()
+    builder.end_text()
     return builder.root
 
 

@@ -81,7 +81,10 @@ def chunked(src: str, size: int = 2048, overlap: int = 64) -> str:
 
 
 # A page's main text: its articles, tags replaced by blanks, entities decoded.
-UNESCAPED = "replace(replace(replace(replace({0}, '&quot;', '\"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')"
+UNESCAPED = (
+    "regexp_replace(replace(replace(replace({0}, '&quot;', '\"'), '&lt;', '<'), '&gt;', '>'),"
+    r" '&amp;|&amp\b', '&', 'g')"
+)
 ARTICLE = r"regexp_replace(regexp_extract(html, '<article>(.*)</article>', 1, 's'), '<[^>]+>', ' ', 'g')"
 TIDIED = (
     "regexp_replace(regexp_replace("

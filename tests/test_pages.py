@@ -67,6 +67,8 @@ def test_main_content_fallbacks():
     assert main("<div class='read-more content'>x</div>", whole=True) == "x"
     assert main("<article><p><b>a<br><p>c</p></article><footer>no</footer>") == "a c"
     assert main("<article>a &amp;&lt; b<!-- c --><script>var t = '</p>';</script></article>") == "a &< b"
+    assert main("<article>&amp&am;&ampx &#65;&#x42; a<!-- split -->b c&eacute;d</article>") == "&&am&ampx AB a b c\u00e9d"
+    assert main("<article>1 < 2 <br/>3</article></div>") == "1 < 2 3"
 
 
 def test_language_order(spark):
