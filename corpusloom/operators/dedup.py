@@ -294,6 +294,9 @@ def near_duplicates(
     no shortcut, quadratic in the rows that stay, for small collections.
     """
     texts = docs.select(order, F.col(content).alias("content"))
+    if rules.similarity == "sequence":
+        # Read again in every round; the input would be recomputed each time.
+        texts = cut(texts)
     by_length = rules.similarity == "sequence" and candidates is None
     if by_length:
         keys, possible = length_keys(texts, order, rules.bar), lengths_fit(rules.bar)

@@ -5,23 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+SPLIT_BYTES = 128 * 1024 * 1024
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def spread(frame: DataFrame, key: str) -> DataFrame:
-    """Use all cores on an input too small to be split between them.
+    """Use all cores on a table smaller than a single scan split.
 
-    A table below one scan split per core often sits in a single row group,
-    which one task reads. Such a table (and only such a table, by the planner's
-    size estimate) is hashed over the cores; larger ones keep their splits.
+    Such a table often is one row group, which one task reads. By the planner's
+    size estimate it, and nothing larger, is hashed over the cores.
     """
-    spark = frame.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("bB"))
-    size = int(str(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return frame.repartition(cores, key) if size < cores * split else frame
+    plan = getattr(frame, "_jdf", None)
+    if plan is None:  # a remote session keeps its plans to itself
+        return frame
+    size = int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame.repartition(cores, key) if size < SPLIT_BYTES else frame
 
 
 def documents(

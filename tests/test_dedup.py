@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.config import Cleaning, Deduplication
 from corpusloom.functions import text as tx
-from corpusloom.operators import dedup
+from corpusloom.operators import dedup, skew
 from corpusloom.operators.cleaning import clean
 
 
@@ -87,6 +87,27 @@ def test_a_crowd_of_copies_is_settled_by_its_first(spark):
     assert all(kept[i] == first for i in range(first + 1, first + 400))
 
 
+@pytest.mark.parametrize("similarity", ["jaccard", "sequence"])
+def test_splitting_hot_keys_changes_nothing(spark, monkeypatch, similarity):
+    texts = corpus(21, 80)
+    rules = Deduplication(similarity=similarity)
+    plain = dropped(spark, texts, rules=rules)[0]
+    monkeypatch.setattr(skew, "MIN_HOT_ROWS", 1)
+    monkeypatch.setattr(skew, "HOT_SHARE", 10**6)
+    monkeypatch.setattr(dedup, "MIN_CROWD", 1)
+    assert dropped(spark, texts, rules=rules)[0] == plain
+
+
+def test_join_split_equals_join(spark):
+    many = spark.createDataFrame([(i % 7 if i % 3 else 0, i) for i in range(300)], "k int, v int")
+    one = spark.createDataFrame([(k, f"n{k}") for k in range(5)], "k int, name string")
+    hot = skew.hot_keys(many, "k", 300, minimum=20)
+    assert hot.count() >= 1
+    got = skew.join_split(many, one, "k", "v", hot).select("k", "v", "name")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, many.join(one, "k").collect()))
+    assert skew.hot_keys(many, "k", 300) is None
+
+
 def test_a_hot_bucket_of_different_rows(spark, monkeypatch):
     """Many rows share one run but differ otherwise: none goes, whatever the pilots."""
     monkeypatch.setattr(dedup, "HOT_ROWS", 10**9)
