@@ -6,12 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def latest(rows: DataFrame, by: str, at: str, tie: str, *columns: str) -> DataFrame:
-    """Per group the given columns of its last row; an aggregate, so map-side combined."""
-    last = F.max(F.struct(at, tie, *columns)).alias("last")
-    return rows.groupBy(by).agg(last)
-
-
 def stage_metrics(runs: DataFrame) -> DataFrame:
     """Per stage: last status and error, runs, failures and time spent."""
     last = F.max(F.struct("ts", "run_id", "status", "error"))

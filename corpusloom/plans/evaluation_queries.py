@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import text as tx
 from corpusloom.operators import evaluation as ev
 from corpusloom.plans.registry import query
-from corpusloom.plans.sql_parts import PAIRS, TURN_PAIRS, WORDS
+from corpusloom.plans.sql_parts import PAIRS, WORDS
 from corpusloom.plans.trainset_queries import turn_pairs
 from corpusloom.sources.tables import table
 
@@ -124,9 +124,31 @@ def rouge1_mean(spark, folder):
     return ev.mean_score(pairs, scores, "rouge_1").withColumn("value", F.round("value", 6))
 
 
-@query()
+# Row by row through the table of common subsequence lengths.
+@query(
+    f"""WITH RECURSIVE {PAIRS}, tok AS (
+  SELECT id, model, {ROUGE_TOKENS.format('reference')} AS r, {ROUGE_TOKENS.format('prediction')} AS p
+  FROM pairs WHERE prediction <> '' AND reference <> ''
+), rt AS (SELECT id, model, unnest(r) AS t, generate_subscripts(r, 1) AS i FROM tok
+), pt AS (SELECT id, model, unnest(p) AS t, generate_subscripts(p, 1) AS j FROM tok
+), dp AS (
+  SELECT id, model, 0::BIGINT AS i, j, 0::BIGINT AS v FROM pt
+  UNION ALL
+  SELECT id, model, i, j, max(c) OVER (PARTITION BY id, model ORDER BY j) FROM (
+    SELECT d.id, d.model, d.i + 1 AS i, d.j,
+           CASE WHEN rt.t = pt.t THEN coalesce(lag(d.v) OVER (PARTITION BY d.id, d.model ORDER BY d.j), 0) + 1
+                ELSE d.v END AS c
+    FROM dp d JOIN rt ON rt.id = d.id AND rt.model = d.model AND rt.i = d.i + 1
+    JOIN pt ON pt.id = d.id AND pt.model = d.model AND pt.j = d.j)
+), hit AS (SELECT id, model, max(v) AS hits FROM dp GROUP BY ALL
+), pr AS (
+  SELECT id, model, coalesce(hits, 0)::DOUBLE / greatest(len(p), 1) AS precision,
+         coalesce(hits, 0)::DOUBLE / greatest(len(r), 1) AS recall FROM tok LEFT JOIN hit USING (id, model)
+) SELECT id, model, round(CASE WHEN precision + recall > 0
+    THEN 2 * precision * recall / (precision + recall) ELSE 0 END, 9) AS score FROM pr"""
+)
 def rouge_l(spark, folder):
-    return ev.rouge_l_scores(answer_pairs(spark, folder))
+    return rounded(ev.rouge_l_scores(answer_pairs(spark, folder)))
 
 
 @query()

@@ -34,7 +34,19 @@ def first_chunks(spark, folder):
     return ts.first_chunks(chunks, 3).select("doc_id", "chunk_index", "content")
 
 
-@query()
+# Chunks hold no line breaks, so a break can mark the sentence ends.
+@query(
+    rf"""WITH RECURSIVE {CLEANED}, {chunked('cleaned')}, sentences AS (
+  SELECT 'web_' || md5(whole) || '_' || chunk_index AS chunk_id, doc_id,
+    list_filter(string_split(regexp_replace(content, '([.!?])\s+', '\1' || chr(10), 'g'), chr(10)), lambda s: s <> '') AS s
+  FROM chunks
+), numbered AS (
+  SELECT chunk_id, doc_id, unnest(s[1:25]) AS answer, generate_subscripts(s[1:25], 1) - 1 AS pair_index FROM sentences
+)
+SELECT chunk_id, pair_index::INT AS pair_index, answer, NULL::VARCHAR AS error,
+  'What does the text say about ' || regexp_replace(array_to_string(({WORDS.format('answer')})[1:3], ' '), '[.!?,]+$', '')
+    || '?' AS question FROM numbered"""
+)
 def generated_pairs(spark, folder):
     return ts.generate_pairs(chunk(cleaned(spark, folder), keep=("doc_id",)))
 

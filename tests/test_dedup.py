@@ -5,7 +5,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.config import Cleaning, Deduplication
-from corpusloom.functions import text as tx
 from corpusloom.operators import dedup, skew
 from corpusloom.operators.cleaning import clean
 
@@ -184,4 +183,3 @@ def test_clean_switches(spark):
     assert [r["content"] for r in raw] == ["  <b>bold</b>\n\n text  ", "x"]
     again = clean(clean(docs, Cleaning(5)), Cleaning(5)).collect()
     assert [r["content"] for r in again] == ["bold text"]
-    assert tx is not None
