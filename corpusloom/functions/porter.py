@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 
 # The suffix tables of steps 2, 3 and 4 of the paper.
 STEP2 = {
@@ -51,7 +50,6 @@ def longest_suffix(word: str, suffixes) -> str | None:
     return max((s for s in suffixes if word.endswith(s)), key=len, default=None)
 
 
-@lru_cache(maxsize=100_000)
 def stem(word: str) -> str:
     if len(word) <= 2:
         return word

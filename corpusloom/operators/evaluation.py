@@ -108,7 +108,9 @@ def answered() -> Column:
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def stemmed(tokens: pd.Series) -> pd.Series:
-    return tokens.map(lambda row: [stem(t) if len(t) > 3 else t for t in row])
+    """Tokens of more than three letters by their stem; each distinct one is stemmed once."""
+    stems = {t: stem(t) if len(t) > 3 else t for t in {t for row in tokens for t in row}}
+    return tokens.map(lambda row: [stems[t] for t in row])
 
 
 def rouge_words(text: Column, use_stemmer: bool) -> Column:
