@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from corpusloom.functions import text as tx
 from corpusloom.functions.porter import stem
 from corpusloom.functions.sequences import common_subsequence
+from corpusloom.session import cut
 
 # The benchmark's question and answer templates.
 EV_DOMAIN = "electric vehicle"
@@ -207,10 +208,11 @@ def rouge_l_scores(pairs: DataFrame, use_stemmer: bool = False) -> DataFrame:
 
 def mean_score(pairs: DataFrame, scores: DataFrame, metric: str) -> DataFrame:
     """(model, metric, value): the mean score, 0 for a model without answered pairs."""
-    models = pairs.groupBy("model").agg(F.lit(0.0).alias("none"))
-    means = scores.groupBy("model").agg(F.avg("score").alias("mean"))
-    return models.join(means, "model", "left").select(
-        "model", F.lit(metric).alias("metric"), F.coalesce("mean", "none").alias("value")
+    named = pairs.select("model", F.lit(None).cast("double").alias("score"))
+    every = scores.select("model", F.col("score").cast("double")).unionByName(named)
+    mean = F.coalesce(F.avg("score"), F.lit(0.0))
+    return every.groupBy("model").agg(mean.alias("value")).select(
+        "model", F.lit(metric).alias("metric"), "value"
     )
 
 
@@ -227,8 +229,12 @@ def corpus_bleu(pairs: DataFrame) -> DataFrame:
             F.sum("in_reference").alias("expected"),
         )
     )
+    # A row without counts for every model, so that none is lost.
+    named = pairs.select("model").groupBy("model").agg(
+        *[F.lit(None).cast(t).alias(c) for c, t in sums.dtypes if c != "model"]
+    )
     one = F.col("n") == 1
-    parts = sums.groupBy("model").agg(
+    parts = sums.unionByName(named).groupBy("model").agg(
         F.count_if(F.col("hits") > 0).alias("orders"),
         F.avg(F.ln(F.nullif(F.col("hits"), F.lit(0)) / F.col("predicted"))).alias("mean_log"),
         F.max(F.when(one, F.col("predicted"))).alias("length"),
@@ -236,10 +242,7 @@ def corpus_bleu(pairs: DataFrame) -> DataFrame:
     )
     penalty = F.least(F.lit(0.0), 1 - F.try_divide("wanted", "length"))
     score = F.when(F.col("orders") == 4, F.exp(F.col("mean_log") + penalty)).otherwise(0.0)
-    models = pairs.select("model").distinct()
-    return models.join(parts, "model", "left").select(
-        "model", F.lit("bleu_score").alias("metric"), F.coalesce(score, F.lit(0.0)).alias("value")
-    )
+    return parts.select("model", F.lit("bleu_score").alias("metric"), score.alias("value"))
 
 
 @F.pandas_udf(T.DoubleType())
@@ -305,8 +308,10 @@ def evaluate(
 ) -> DataFrame:
     """(model, metric, value) of the chosen metrics, response times always included.
 
-    ``vectors`` holds (model, predicted, expected) for ``bert_score``.
+    ``vectors`` holds (model, predicted, expected) for ``bert_score``. The pairs
+    are materialised once for all metrics.
     """
+    pairs = cut(pairs)
     parts = [long_metrics(response_times(pairs))]
     if "rouge" in metrics:
         for n in (1, 2):
@@ -322,6 +327,19 @@ def evaluate(
     return reduce(DataFrame.unionByName, parts)
 
 
+def compared(both: DataFrame, lower_is_better: Sequence[str]) -> DataFrame:
+    change = (F.col("fine_tuned") - F.col("baseline")) / F.col("baseline") * 100
+    better = F.col("improvement_percent") > 0
+    if lower_is_better:
+        lower = F.col("metric").isin(*lower_is_better)
+        better = F.when(lower, F.col("improvement_percent") < 0).otherwise(better)
+    return (
+        both.filter(F.col("baseline") > 0)
+        .withColumn("improvement_percent", change)
+        .withColumn("improved", better)
+    )
+
+
 def compare_models(
     tuned: DataFrame, baseline: DataFrame, lower_is_better: Sequence[str] = ()
 ) -> DataFrame:
@@ -333,16 +351,21 @@ def compare_models(
     both = tuned.select("metric", F.col("value").alias("fine_tuned")).join(
         baseline.select("metric", F.col("value").alias("baseline")), "metric"
     )
-    change = (F.col("fine_tuned") - F.col("baseline")) / F.col("baseline") * 100
-    better = F.col("improvement_percent") > 0
-    if lower_is_better:
-        lower = F.col("metric").isin(*lower_is_better)
-        better = F.when(lower, F.col("improvement_percent") < 0).otherwise(better)
-    return (
-        both.filter(F.col("baseline") > 0)
-        .withColumn("improvement_percent", change)
-        .withColumn("improved", better)
+    return compared(both, lower_is_better)
+
+
+def compare_within(
+    metrics: DataFrame, tuned: str, baseline: str, lower_is_better: Sequence[str] = ()
+) -> DataFrame:
+    """The same for two models of one metrics table, which is then read once."""
+
+    def value(model: str) -> Column:
+        return F.max(F.when(F.col("model") == model, F.col("value")))
+
+    both = metrics.groupBy("metric").agg(
+        value(tuned).alias("fine_tuned"), value(baseline).alias("baseline")
     )
+    return compared(both.filter("fine_tuned is not null"), lower_is_better)
 
 
 def overall_gains(comparison: DataFrame) -> DataFrame:

@@ -51,91 +51,91 @@ def diversity(docs: DataFrame, approximate: bool = False) -> DataFrame:
     )
 
 
-def validation_report(docs: DataFrame, rules: Collection = Collection()) -> DataFrame:
-    """One row: totals, then errors, warnings and recommendations by fixed rules."""
+def validation_totals(rules: Collection) -> list[Column]:
+    """Aggregates over (content, url, source_path)."""
     name = F.coalesce("url", "source_path", F.lit(""))
     size = F.length(F.coalesce("content", F.lit("")))
-    rows = docs.select(size.alias("size"), netloc(name).alias("host"), name.alias("name"))
-    valid = F.col("size") >= rules.min_content_length
-    totals = rows.agg(
+    valid = size >= rules.min_content_length
+    return [
         F.count(F.lit(1)).alias("total_items"),
         F.count_if(valid).alias("valid_items"),
-        F.coalesce(F.sum(F.when(valid, F.col("size"))), F.lit(0)).alias("total_chars"),
-        F.count_distinct("host").alias("content_diversity"),
-        F.count_distinct("name").alias("unique_sources"),
-    )
+        F.coalesce(F.sum(F.when(valid, size)), F.lit(0)).alias("total_chars"),
+        F.count_distinct(netloc(name)).alias("content_diversity"),
+        F.count_distinct(name).alias("unique_sources"),
+    ]
+
+
+def validation_verdict() -> list[Column]:
+    """The report's columns from its totals: errors, warnings and recommendations by rule."""
     items, good, chars = F.col("total_items"), F.col("valid_items"), F.col("total_chars")
-    rate = ratio(good, items)
+    diversity, rate = F.col("content_diversity"), ratio(good, items)
     low_rate = F.concat(
         F.lit("Low success rate: "), good.cast("string"), F.lit("/"), items.cast("string"),
         F.lit(" items valid"),
     )
-    return totals.select(
-        "*",
+
+    def messages(*rules: tuple[Column, str | Column]) -> Column:
+        return F.array_compact(F.array(*[F.when(test, text) for test, text in rules]))
+
+    return [
+        items, good, chars, diversity, F.col("unique_sources"),
         ratio(chars, good).alias("average_content_length"),
         rate.alias("success_rate"),
         (good > 0).alias("is_valid"),
-        F.array_compact(F.array(F.when(good == 0, "No valid content items found"))).alias("errors"),
-        F.array_compact(
-            F.array(
-                F.when((good > 0) & (good < items * 0.5), low_rate),
-                F.when(chars < 1000, "Very low total content volume"),
-            )
+        messages((good == 0, "No valid content items found")).alias("errors"),
+        messages(
+            ((good > 0) & (good < items * 0.5), low_rate),
+            (chars < 1000, "Very low total content volume"),
         ).alias("warnings"),
-        F.array_compact(
-            F.array(
-                F.when(chars < 1000, "Consider adding more data sources"),
-                F.when(
-                    F.col("content_diversity") < 3,
-                    "Consider diversifying data sources across more domains",
-                ),
-                F.when(rate < 0.8, "Review and optimize data collection configuration"),
-            )
+        messages(
+            (chars < 1000, "Consider adding more data sources"),
+            (diversity < 3, "Consider diversifying data sources across more domains"),
+            (rate < 0.8, "Review and optimize data collection configuration"),
         ).alias("recommendations"),
-    )
+    ]
 
 
-def collection_summary(docs: DataFrame) -> DataFrame:
-    """One row of counts over web and pdf records; ``page_count`` counts pdf pages."""
+def summary_totals() -> list[Column]:
+    """Aggregates over web and pdf records; ``page_count`` counts pdf pages."""
     web, pdf = F.col("source_type") == "web", F.col("source_type") == "pdf"
-    rows = docs.filter(web | pdf).select(
-        "source_type",
-        F.length(F.coalesce("content", F.lit(""))).alias("size"),
-        netloc(F.col("url")).alias("host"),
-        "url",
-        "language",
-        "page_count",
-    )
-    named = web & F.col("url").isNotNull() & (F.col("url") != "")
-    total, chars = F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))
-    return rows.agg(
+    size = F.when(web | pdf, F.length(F.coalesce("content", F.lit(""))))
+    host = F.when(web & (F.col("url") != ""), netloc(F.col("url")))
+    language = F.when(web, F.nullif(F.col("language"), F.lit("")))
+    total, chars = F.count(size), F.coalesce(F.sum(size), F.lit(0))
+    return [
         total.alias("total_sources"),
         F.count_if(web).alias("web_sources_count"),
         F.count_if(pdf).alias("pdf_sources_count"),
         chars.alias("total_content_chars"),
         ratio(chars, total).alias("average_content_length"),
-        F.count_distinct(F.when(named, F.col("host"))).alias("unique_domains"),
-        F.array_sort(
-            F.collect_set(F.when(web, F.nullif(F.col("language"), F.lit(""))))
-        ).alias("languages_detected"),
+        F.count_distinct(host).alias("unique_domains"),
+        F.array_sort(F.collect_set(language)).alias("languages_detected"),
         F.coalesce(F.sum(F.when(pdf, F.col("page_count"))), F.lit(0)).alias("total_pages"),
-    )
+    ]
+
+
+def validation_report(docs: DataFrame, rules: Collection = Collection()) -> DataFrame:
+    """One row: totals, then errors, warnings and recommendations by fixed rules."""
+    return docs.agg(*validation_totals(rules)).select(*validation_verdict())
+
+
+def collection_summary(docs: DataFrame) -> DataFrame:
+    """One row of counts over web and pdf records."""
+    return docs.agg(*summary_totals())
 
 
 def collection_report(docs: DataFrame, rules: Collection = Collection()) -> DataFrame:
-    """One row: summary, validation and the settings, ready to be written as JSON."""
+    """One row: summary, validation and the settings, in one pass, ready for JSON."""
     settings = {
         "max_pages_per_source": rules.max_pages_per_source,
         "min_content_length": rules.min_content_length,
         "max_content_length": rules.max_content_length,
     }
-    summary = collection_summary(docs).select(F.struct("*").alias("collection_summary"))
-    checks = validation_report(docs, rules).select(F.struct("*").alias("validation"))
-    # Two single-row aggregates side by side.
-    return summary.select("collection_summary", F.lit(1).alias("one")).join(
-        checks.select("validation", F.lit(1).alias("one")), "one"
-    ).select(
+    totals = docs.agg(
+        F.struct(*summary_totals()).alias("collection_summary"), *validation_totals(rules)
+    )
+    return totals.select(
         "collection_summary",
-        "validation",
+        F.struct(*validation_verdict()).alias("validation"),
         F.struct(*[F.lit(v).alias(k) for k, v in settings.items()]).alias("configuration"),
     )

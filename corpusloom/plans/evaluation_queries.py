@@ -10,6 +10,7 @@ from corpusloom.operators import evaluation as ev
 from corpusloom.plans.registry import query
 from corpusloom.plans.sql_parts import PAIRS, WORDS
 from corpusloom.plans.trainset_queries import turn_pairs
+from corpusloom.session import cut
 from corpusloom.sources.tables import table
 
 KEYWORDS = ("the", "of", "que", "der", "charging")
@@ -230,7 +231,7 @@ def response_times(spark, folder):
 
 def metrics(spark, folder) -> DataFrame:
     """BLEU, ROUGE-1, keywords and times of both models, one row per metric."""
-    pairs = timed_pairs(spark, folder)
+    pairs = cut(timed_pairs(spark, folder))
     chosen = ev.evaluate(pairs, ("bleu", "domain_relevance"), keywords=KEYWORDS)
     rouge = ev.mean_score(pairs, ev.rouge_n_scores(pairs, 1), "rouge_1")
     return chosen.unionByName(rouge)
@@ -262,8 +263,7 @@ def metric_selection(spark, folder):
 
 
 def comparison(spark, folder) -> DataFrame:
-    rows = metrics(spark, folder)
-    return ev.compare_models(rows.filter("model = 'b'"), rows.filter("model = 'a'"))
+    return ev.compare_within(metrics(spark, folder), "b", "a")
 
 
 @query(

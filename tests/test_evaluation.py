@@ -138,6 +138,9 @@ def test_comparison(spark):
     assert (gains["metrics_improved"], gains["total_metrics"], gains["overall_improved"]) == (2, 2, True)
     strict = ev.compare_models(metrics(a=3, t=2), metrics(a=2, t=1), lower_is_better=["t"])
     assert not ev.overall_gains(strict).first()["overall_improved"]
+    table = [("t", "a", 3.0), ("s", "a", 2.0), ("t", "b", 1.0), ("s", "b", 0.0), ("t", "x", 1.0), ("s", "y", 1.0)]
+    within = ev.compare_within(spark.createDataFrame(table, "model string, metric string, value double"), "t", "s")
+    assert [(r["metric"], r["improvement_percent"]) for r in within.collect()] == [("a", 50.0)]
     empty = ev.overall_gains(rows.limit(0)).first()
     assert (empty["improvement_ratio"], empty["overall_improved"]) == (0.0, False)
 
