@@ -22,16 +22,13 @@ from pyspark.sql import functions as F
 from corpusloom.config import Deduplication
 from corpusloom.functions import text as tx
 from corpusloom.functions.sequences import common_subsequence
-from corpusloom.operators.skew import hot_keys, join_split
+from corpusloom.operators.skew import hot_keys, join_split, key_counts
 from corpusloom.session import cut
 
 # Reduces (order, pilot) pairs to similar ones, given the pilots to split.
 Similar = Callable[[DataFrame, DataFrame | None], DataFrame]
 
-# The bound on hot shingles: the one thing handed to every task.
-MAX_HOT = 1000
-HOT_ROWS = 64
-SKETCH_GROUPS = 1000
+# Pilots per bucket grow by this factor from round to round.
 PILOT_GROWTH = 8
 # Candidates of one pilot beyond which its row, a whole set or text, is copied.
 MIN_CROWD = 100_000
@@ -64,45 +61,26 @@ def exact_dedup(
     return docs.join(keepers, order, "left_semi")
 
 
-def hot_shingles(sets: DataFrame) -> Column:
-    """The most frequent shingles, rarest of them first: at most MAX_HOT hashes.
-
-    They only decide which shingles a row is looked up by, never the result.
-    Sketches are merged in two steps, so that no task receives those of all
-    others.
-    """
-
-    def sketch(step: str, *args: Column) -> Column:
-        return F.call_function(f"approx_top_k_{step}", *args)
-
-    slots = F.lit(MAX_HOT * 10)
-    partial = (
-        sets.select(F.explode("shingles").alias("shingle"))
-        .groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("g"))
-        .agg(sketch("accumulate", F.col("shingle"), slots).alias("s"))
-    )
-    merged = partial.agg(sketch("combine", F.col("s"), slots).alias("s"))
-    top = merged.select(sketch("estimate", F.col("s"), F.lit(MAX_HOT)).alias("top"))
-    frequent = F.filter("top", lambda x: x["count"] > HOT_ROWS)
-    return top.select(F.transform(F.reverse(frequent), lambda x: x["item"])).scalar()
-
-
 def lookup_keys(sets: DataFrame, order: str, bar: float) -> DataFrame:
-    """(bucket, order): the shingles a row must be looked up by.
+    """(bucket, order, size): the shingles a row must be looked up by.
 
     Two sets with Jaccard >= bar share one of the first n - ceil(bar * n) + 1
-    elements of each, for any one ordering of all elements. Frequent shingles
-    come last in ours, so that they are seldom looked up.
+    elements of each, for any one ordering of all elements. Ours puts rare ones
+    first. Those of a single row come before all others and can be left out, so
+    most rows need no lookup at all, and frequent shingles hardly ever serve.
     """
-    hot = hot_shingles(sets)
-    size = F.size("shingles")
-    ordered = F.concat(
-        F.sort_array(F.array_except("shingles", hot)), F.array_intersect(hot, F.col("shingles"))
-    )
-    needed = (size - F.ceil(size * F.lit(bar) - F.lit(1e-9)) + 1).cast("int")
-    return sets.select(
-        F.explode(F.slice(ordered, 1, needed)).alias("bucket"), order, size.alias("size")
+    rows = sets.select(order, F.size("shingles").alias("size"), F.explode("shingles").alias("shingle"))
+    total = sets.agg(F.sum(F.size("shingles"))).first()[0] or 0
+    counts = key_counts(rows, "shingle").filter("rows > 1")
+    common = join_split(rows, counts, "shingle", order, hot_keys(counts, "shingle", total))
+    ranked = common.groupBy(order).agg(
+        F.min("size").alias("size"),
+        F.sort_array(F.collect_list(F.struct("rows", "shingle"))).alias("common"),
     )
+    n, single = F.col("size"), F.col("size") - F.size("common")
+    needed = (n - F.ceil(n * F.lit(bar) - F.lit(1e-9)) + 1 - single).cast("int")
+    keys = F.slice(F.transform("common", lambda c: c["shingle"]), F.lit(1), F.greatest(needed, F.lit(0)))
+    return ranked.select(F.explode(keys).alias("bucket"), order, "size")
 
 
 def overlap_possible(bar: float) -> Callable[[Column, Column, Column], Column]:
@@ -150,8 +128,10 @@ def greedy_keep_first(
     by shared buckets and sizes; ``similar`` reduces the others to similar ones,
     given the pilots with so many candidates that their rows must be split.
     """
-    shared = keys.groupBy("bucket").agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1")
+    keys = keys.persist()
+    shared = key_counts(keys, "bucket").filter("rows > 1")
     undecided = cut(keys.join(shared.select("bucket"), "bucket", "left_semi"))
+    keys.unpersist()
     decided: list[DataFrame] = []
     pilots = 1
     while total := undecided.count():
@@ -160,7 +140,7 @@ def greedy_keep_first(
         undecided = cut(undecided.join(decisions, order, "left_anti"))
         pilots *= PILOT_GROWTH
     if not decided:
-        return keys.select(order, F.col(order).alias("kept")).limit(0)
+        return undecided.select(order, F.col(order).alias("kept"))
     return reduce(DataFrame.unionAll, decided)
 
 
@@ -183,7 +163,7 @@ def one_round(
             .groupBy("bucket")
             .agg(F.collect_list(order).alias("pilots"))
         )
-    hot = hot_keys(undecided, "bucket", total)
+    hot = hot_keys(key_counts(undecided, "bucket"), "bucket", total)
     seen = join_split(undecided, leads, "bucket", order, hot)
     # A row is ready when it is a pilot wherever it occurs.
     ready = seen.groupBy(order).agg(
@@ -211,7 +191,7 @@ def one_round(
         .select(order, "pilot")
         .persist()
     )
-    crowded = hot_keys(useful, "pilot", useful.count(), MIN_CROWD)
+    crowded = hot_keys(key_counts(useful, "pilot"), "pilot", useful.count(), MIN_CROWD)
     edges = similar(useful, crowded).persist()
     stay = ready.filter("ready").select(order).join(edges, order, "left_anti")
     go = (

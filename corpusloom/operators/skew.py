@@ -10,20 +10,24 @@ HOT_SHARE = 1000
 MIN_HOT_ROWS = 1_000_000
 
 
+def key_counts(rows: DataFrame, key: str) -> DataFrame:
+    """(key, rows), counted with map-side combining."""
+    return rows.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+
+
 def hot_keys(
-    rows: DataFrame, key: str, total: int, minimum: int | None = None
+    counts: DataFrame, key: str, total: int, minimum: int | None = None
 ) -> DataFrame | None:
     """(key, parts) of the keys to split, None when ``total`` rows cannot have any.
 
-    Counted with map-side combining. At most HOT_SHARE keys qualify, which
-    bounds what ``join_split`` broadcasts whatever the size of the data.
+    ``counts`` holds (key, rows). At most HOT_SHARE keys qualify, which bounds
+    what ``join_split`` broadcasts whatever the size of the data.
     """
     limit = max(total // HOT_SHARE, MIN_HOT_ROWS if minimum is None else minimum)
     if total <= limit:
         return None
-    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    parts = F.ceil(F.col("_rows") / limit).cast("int")
-    return counts.filter(F.col("_rows") > limit).select(key, parts.alias("_parts"))
+    parts = F.ceil(F.col("rows") / limit).cast("int")
+    return counts.filter(F.col("rows") > limit).select(key, parts.alias("_parts"))
 
 
 def join_split(
