@@ -120,13 +120,16 @@ def rouge_words(text: Column, use_stemmer: bool) -> Column:
 
 
 def ngrams(tokens: Column, n: int) -> Column:
-    if n == 1:
-        return tokens
-    run = F.transform(
-        F.sequence(F.lit(0), F.size(tokens) - n),
-        lambda i: F.array_join(F.slice(tokens, i + 1, n), " "),
-    )
-    return F.when(F.size(tokens) >= n, run).otherwise(F.array().cast("array<string>"))
+    """Hashes of all runs of ``n`` tokens; short fixed keys instead of strings."""
+
+    def runs(parts: Column) -> Column:
+        found = F.transform(
+            F.sequence(F.lit(0), F.size(parts) - n),
+            lambda i: F.xxhash64(*[F.get(parts, i + j) for j in range(n)]),
+        )
+        return F.when(F.size(parts) >= n, found).otherwise(F.array().cast("array<bigint>"))
+
+    return tx.let(tokens, runs)
 
 
 def counted(grams: Column, n: int, side: str) -> Column:
