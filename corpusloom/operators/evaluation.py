@@ -18,8 +18,12 @@ from pyspark.sql import types as T
 from corpusloom.functions import text as tx
 from corpusloom.functions.porter import stem
 from corpusloom.functions.sequences import common_subsequence
+from corpusloom.operators.skew import hot_keys, join_split
 from corpusloom.session import cut
 
+# Groups, of a few numbers each, up to which they are broadcast.
+FEW_GROUPS = 10_000
+
 # The benchmark's question and answer templates.
 EV_DOMAIN = "electric vehicle"
 EV_QUESTIONS = (
@@ -381,6 +385,14 @@ def overall_gains(comparison: DataFrame) -> DataFrame:
     )
 
 
+def with_brackets(rows: DataFrame, groups: DataFrame, group: str, value: str) -> DataFrame:
+    """Broadcast the groups while they are few; else split the rows of large ones."""
+    found = groups.agg(F.count(F.lit(1)), F.sum("rows")).first()
+    if found[0] <= FEW_GROUPS:
+        return rows.join(F.broadcast(groups), group)
+    return join_split(rows, groups, group, value, hot_keys(groups, group, found[1]))
+
+
 def exact_percentiles(
     rows: DataFrame, group: str, value: str, points: Sequence[float], accuracy: int = 10_000
 ) -> DataFrame:
@@ -399,16 +411,14 @@ def exact_percentiles(
         )
         for p in points
     ]
-    brackets = (
-        rows.groupBy(group)
-        .agg(F.count(F.col(value)).alias("rows"), *[b.alias(f"_{i}") for i, b in enumerate(bounds)])
-        .select(
-            group, "rows", F.explode(F.array(*[f"_{i}" for i in range(len(bounds))])).alias("b")
-        )
-        .select(group, "rows", "b.*")
+    named = rows.select(group, value).filter(F.col(group).isNotNull() & F.col(value).isNotNull())
+    groups = cut(
+        named.groupBy(group).agg(F.count(F.lit(1)).alias("rows"), F.array(*bounds).alias("brackets"))
     )
+    placed = with_brackets(named, groups, group, value).select(
+        group, value, "rows", F.explode("brackets").alias("b")
+    ).select(group, value, "rows", "b.*")
     v = F.col(value)
-    placed = rows.select(group, value).filter(v.isNotNull()).join(brackets, group)
     counts = placed.groupBy(group, "point").agg(
         F.count_if(v < F.col("low")).alias("below"),
         F.max(F.when(v < F.col("low"), v)).alias("before"),

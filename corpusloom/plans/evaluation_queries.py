@@ -34,7 +34,8 @@ def timed_pairs(spark, folder) -> DataFrame:
     seconds = table(spark, folder, "events").select(
         F.col("event_id").alias("number"), (F.col("value") / 1000).alias("seconds")
     )
-    rows = answer_pairs(spark, folder).withColumn("number", F.floor(F.col("id") / 1000))
+    number = F.floor(F.col("id") / 100_000) * 5 + F.col("id") % 100_000
+    rows = answer_pairs(spark, folder).withColumn("number", number)
     share = F.when(F.col("model") == "b", 0.5).otherwise(1.0)
     return rows.join(seconds, "number", "left").select(
         "id", "model", "prediction", "reference",
@@ -43,7 +44,7 @@ def timed_pairs(spark, folder) -> DataFrame:
 
 
 TIMED = PAIRS + """, timed AS (
-  SELECT p.*, coalesce(e.value / 1000, 0) * CASE model WHEN 'b' THEN 0.5::DOUBLE ELSE 1::DOUBLE END AS seconds FROM pairs p LEFT JOIN events e ON e.event_id = p.id // 1000
+  SELECT p.*, coalesce(e.value / 1000, 0) * CASE model WHEN 'b' THEN 0.5::DOUBLE ELSE 1::DOUBLE END AS seconds FROM pairs p LEFT JOIN events e ON e.event_id = p.id // 100000 * 5 + p.id % 100000
 )"""
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions.porter import stem
 from corpusloom.functions.sequences import common_subsequence
 from corpusloom.operators import evaluation as ev
+from corpusloom.operators import skew
 
 ROWS = [
     (1, "m", "the cat sat", "the cat sat on the mat", 1.0),
@@ -145,8 +146,10 @@ def test_comparison(spark):
     assert (empty["improvement_ratio"], empty["overall_improved"]) == (0.0, False)
 
 
-@pytest.mark.parametrize("accuracy", [20, 10_000])
-def test_percentiles_are_exact(spark, accuracy):
+@pytest.mark.parametrize("accuracy,few", [(20, 10_000), (10_000, 10_000), (100, 0)])
+def test_percentiles_are_exact(spark, monkeypatch, accuracy, few):
+    monkeypatch.setattr(ev, "FEW_GROUPS", few)
+    monkeypatch.setattr(skew, "MIN_HOT_ROWS", 500)
     rng = random.Random(accuracy)
     groups = {"one": [3.5], "two": [1.0, 2.0], "three": [1.0, 2.0, 10.0], "same": [5.0] * 50}
     groups["many"] = [rng.expovariate(1) for _ in range(3000)]
