@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.operators import operational as op
@@ -72,15 +72,23 @@ def run_metadata(spark, folder):
 )
 def execution_summary(spark, folder):
     # Epoch arithmetic needs a zoned timestamp; the result keeps the table's own.
-    rows = manifest(spark, folder).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    rows = manifest(spark, folder).withColumn("timestamp", instant(F.col("timestamp")))
     summary = op.execution_summary(rows)
-    times = {c: F.col(c).cast("timestamp_ntz") for c in ("start_time", "end_time")}
-    return summary.withColumns(times)
+    return summary.withColumns({c: utc_clock(F.col(c)) for c in ("start_time", "end_time")})
+
+
+def instant(clock: Column) -> Column:
+    """The zoneless times of the table are UTC, whatever the session's zone."""
+    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), clock).cast("timestamp")
+
+
+def utc_clock(time: Column) -> Column:
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), time.cast("timestamp_ntz"))
 
 
 def requests_of(events: DataFrame) -> DataFrame:
     return events.select(
-        F.col("ts").cast("timestamp").alias("ts"),
+        instant(F.col("ts")).alias("ts"),
         "user_id",
         (F.col("event_type") == "error").alias("is_error"),
     )
@@ -115,7 +123,7 @@ def registry_latest(spark, folder):
 )
 def rate_limit_breaches(spark, folder):
     rows = op.rate_limit_breaches(requests_of(table(spark, folder, "events")), 3, "1 day")
-    return rows.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    return rows.withColumn("window_start", utc_clock(F.col("window_start")))
 
 
 def streamed(spark, rows: DataFrame, label: str) -> DataFrame:
@@ -138,8 +146,7 @@ SELECT window_start, window_end, requests, errors, errors::DOUBLE / requests AS
 def stream_request_metrics(spark, folder):
     events = requests_of(ingest.table_stream(spark, folder, "events"))
     rows = streamed(spark, requests.windowed_requests(events), "requests")
-    times = {c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")}
-    return rows.withColumns(times)
+    return rows.withColumns({c: utc_clock(F.col(c)) for c in ("window_start", "window_end")})
 
 
 @query(
@@ -150,4 +157,4 @@ SELECT user_id, window_start, requests FROM w WHERE requests > 3 AND {CLOSED}"""
 def stream_rate_limit_breaches(spark, folder):
     events = requests_of(ingest.table_stream(spark, folder, "events"))
     rows = streamed(spark, requests.windowed_breaches(events, 3, "1 day"), "breaches")
-    return rows.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    return rows.withColumn("window_start", utc_clock(F.col("window_start")))
