@@ -3,13 +3,50 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from corpusloom.llm import minhash
+from corpusloom.llm import minhash, mixing, packing, pii, toxicity
 from corpusloom.llm.common import table
 from corpusloom.llm.registry import ORACLES, QUERIES, query
 
-__all__ = ["ORACLES", "QUERIES"]
+__all__ = ["ORACLES", "QUERIES", "tokenizer_path"]
+
+
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """Where the public vocabulary lies; the same on every worker."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """A toxicity score of every document, learnt from three of four id folds."""
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    scored = toxicity.toxicity(docs, labels)
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+@query
+def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Sampling probabilities that meet flattened source, language and topic shares."""
+    return mixing.mix(table(spark, folder, "documents"))
+
+
+@query
+def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in sequences of at most 1024 tokens."""
+    docs = table(spark, folder, "documents")
+    placed = packing.packed_documents(docs, tokenizer_path())
+    return placed.select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
+
+
+@query
+def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts and spans of personal data in every document."""
+    found = pii.report(table(spark, folder, "documents"))
+    return found.select("doc_id", "pii.*")
 
 
 @query
