@@ -13,10 +13,14 @@ spared twice:
   pair shares in them is read off the two signatures.
 
 Pairs above the match threshold are confirmed on their full sets. A list is
-never expanded into all pairs: its members meet the first of the list, then the
-first of those that are not connected to it, and only what is still not
-connected meets the rest of the list. Sets within one component are not compared
-again, as further links cannot change the result.
+never expanded into all pairs. Its members meet its most typical one, the set
+whose tokens are the most frequent; then those that are not connected to it
+meet the most typical among them. What is still apart from the rest of a short list
+meets that list. In long lists a crowd of loose variants of one text would meet
+in all pairs, most of them just below the bar; there the same prefix rule runs on the full
+shingle sets, where the sizes and positions of both sets leave the pairs that
+can still reach the bar. Sets within one component are not compared again, as
+further links cannot change the result.
 """
 
 from __future__ import annotations
@@ -34,6 +38,8 @@ from corpusloom.llm.shingles import WordHashes, digest, shingle_set
 
 SIGNED = "key long, n_shingles long, digest binary, signature array<int>"
 CHUNK = 4096
+# Members of a posting list that a set outside the list's component meets one by one.
+SHORT_LIST = 8
 
 
 def minima(hashes: np.ndarray, factors: np.ndarray, terms: np.ndarray) -> np.ndarray:
@@ -84,7 +90,9 @@ def sets_of(words: int):
 
 
 def rare_postings(sets: DataFrame, positions: int, matches: int) -> DataFrame:
-    """(token, key, size): each set under its rarest tokens, as far as the prefix reaches.
+    """(token, key, size, typical): each set under its rarest tokens, as far as the prefix reaches.
+
+    ``typical`` is how many sets hold its tokens, summed over all of them.
 
     Tokens of a single set come first and can meet nobody, so they only use up
     places of the prefix.
@@ -97,11 +105,13 @@ def rare_postings(sets: DataFrame, positions: int, matches: int) -> DataFrame:
     counts = spread.groupBy("token").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
     common = spread.join(counts, "token").groupBy("key").agg(
         F.min("size").alias("size"),
+        F.sum("rows").alias("typical"),
         F.sort_array(F.collect_list(F.struct("rows", "token"))).alias("common"),
     )
-    left = F.lit(positions - matches + 1 - positions) + F.size("common")
+    left = F.size("common") - (matches - 1)
     kept = F.slice("common", F.lit(1), F.greatest(left, F.lit(0)))
-    return common.select(F.explode(kept).alias("c"), "key", "size").select("c.token", "key", "size")
+    posted = common.select(F.explode(kept).alias("c"), "key", "size", "typical")
+    return posted.select("c.token", "key", "size", "typical")
 
 
 def sizes_fit(a: Column, b: Column, percent: int) -> Column:
@@ -120,47 +130,104 @@ class Confirm:
         b = rows.select(F.col("key").alias("b"), F.col(value).alias("of_b"))
         return pairs.join(a, "a").join(b, "b")
 
-    def __call__(self, pairs: DataFrame) -> DataFrame:
+    def shingles(self, keys: DataFrame) -> DataFrame:
+        """(key, shingles) of the given keys; several rows of one id give several sets."""
+        texts = self.docs.join(keys, "key", "left_semi").select("key", "text")
+        return texts.mapInArrow(sets_of(self.words), "key long, shingles array<long>")
+
+    def by_signature(self, pairs: DataFrame) -> DataFrame:
         signed = self.both(pairs.distinct(), self.sets, "signature")
         equal = F.size(F.filter(F.zip_with("of_a", "of_b", lambda x, y: x == y), lambda e: e))
-        near = stored(signed.filter(equal >= self.matches).select("a", "b"), "near")
-        wanted = near.select(F.col("a").alias("key")).union(near.select("b")).distinct()
-        # A second row of the same id would double the pairs, not the links.
-        texts = self.docs.join(wanted, "key", "left_semi").select("key", "text")
-        sets = texts.mapInArrow(sets_of(self.words), "key long, shingles array<long>")
+        return signed.filter(equal >= self.matches).select("a", "b")
+
+    def by_sets(self, pairs: DataFrame) -> DataFrame:
+        near = stored(pairs, "near")
+        sets = self.shingles(near.select(F.col("a").alias("key")).union(near.select("b")).distinct())
         full = self.both(near, sets, "shingles")
         shared = F.size(F.array_intersect("of_a", "of_b"))
         union = F.size("of_a") + F.size("of_b") - shared
         return full.filter(shared * 100 >= union * self.percent).select("a", "b").distinct()
 
+    def __call__(self, pairs: DataFrame) -> DataFrame:
+        return self.by_sets(self.by_signature(pairs))
+
 
 def links_within(postings: DataFrame, confirm: Confirm, percent: int) -> DataFrame:
     """Enough links (a, b) to connect all sets that are connected by any."""
-    links, open_rows = None, postings.withColumn("root", F.col("key"))
+    links, apart = None, postings.withColumn("root", F.col("key"))
     for _ in range(2):
-        lead = open_rows.groupBy("token").agg(F.min(F.struct("key", "size", "root")).alias("l"))
-        pairs = open_rows.join(lead, "token").filter(F.col("key") > F.col("l.key"))
+        most = F.max(F.struct("typical", F.negative("key").alias("turned"), "key", "size", "root"))
+        pairs = apart.join(apart.groupBy("token").agg(most.alias("l")), "token")
         pairs = pairs.filter(F.col("root") != F.col("l.root"))
         pairs = pairs.filter(sizes_fit(F.col("size"), F.col("l.size"), percent))
-        found = confirm(pairs.select(F.col("key").alias("a"), F.col("l.key").alias("b")))
+        found = confirm(ordered(pairs, F.col("key"), F.col("l.key")))
         links = stored(found if links is None else found.union(links), "links")
-        roots = components(links)
-        rooted = with_roots(postings, roots)
-        first = rooted.groupBy("token").agg(F.min(F.struct("key", "root")).alias("l"))
-        open_rows = rooted.join(first, "token").filter("root <> l.root")
-        open_rows = stored(open_rows.select("token", "key", "size", "root"), "open")
-    s, p = open_rows.alias("s"), rooted.alias("p")
+        rooted = stored(with_roots(postings, components(links)), "rooted")
+        lists = rooted.groupBy("token").agg(
+            F.count(F.lit(1)).alias("members"),
+            F.max(F.struct("typical", F.negative("key").alias("turned"), "root")).alias("l"),
+        )
+        apart = rooted.join(lists, "token").filter(F.col("root") != F.col("l.root"))
+        apart = stored(apart.drop("l"), "apart")
+    short = apart.filter(F.col("members") <= SHORT_LIST)
+    pairs = met_in_lists(short, rooted, percent)
+    found = confirm.by_signature(pairs)
+    long = apart.filter(F.col("members") > SHORT_LIST)
+    found = found.union(crowd_pairs(long, rooted, confirm, percent))
+    return stored(confirm.by_sets(found.distinct()).union(links), "links")
+
+
+def ordered(pairs: DataFrame, x: Column, y: Column) -> DataFrame:
+    return pairs.select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b"))
+
+
+def met_in_lists(apart: DataFrame, rooted: DataFrame, percent: int) -> DataFrame:
+    s, p = apart.alias("s"), rooted.alias("p")
+    met = (F.col("s.token") == F.col("p.token")) & (F.col("s.root") != F.col("p.root"))
+    met &= sizes_fit(F.col("s.size"), F.col("p.size"), percent)
+    return ordered(s.join(p, met), F.col("s.key"), F.col("p.key"))
+
+
+def crowd_pairs(apart: DataFrame, rooted: DataFrame, confirm: Confirm, percent: int) -> DataFrame:
+    """Candidate pairs (a, b) of the sets in long lists, by the prefixes of their shingles.
+
+    To share ``least`` elements, sets of sizes x and y must meet among the first
+    x - least + 1 and y - least + 1 elements in any common order; here rare first.
+    """
+    strays = apart.select("key").distinct()
+    members = rooted.join(apart.select("token").distinct(), "token", "left_semi")
+    members = stored(members.groupBy("key").agg(F.first("root").alias("root")), "members")
+    sets = confirm.shingles(members.select("key")).groupBy("key").agg(F.max("shingles").alias("set"))
+    spread = sets.select("key", F.size("set").alias("size"), F.explode("set").alias("shingle"))
+    spread = stored(spread, "spread")
+    counts = spread.groupBy("shingle").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    common = spread.join(counts, "shingle").groupBy("key").agg(
+        F.min("size").alias("size"),
+        F.sort_array(F.collect_list(F.struct("rows", "shingle"))).alias("common"),
+    )
+    n = F.col("size")
+    single = n - F.size("common")
+    longest = n - F.ceil(n * percent / F.lit(100.0) - 1e-9) + 1
+    kept = F.slice("common", F.lit(1), F.greatest(longest - single, F.lit(0)).cast("int"))
+    placed = common.select("key", "size", single.alias("single"), F.posexplode(kept).alias("i", "c"))
+    placed = placed.select(
+        F.col("c.shingle").alias("token"), "key", "size", (F.col("single") + F.col("i")).alias("place")
+    ).join(members, "key")
+    placed = stored(placed, "placed")
+    s, p = placed.join(strays, "key", "left_semi").alias("s"), placed.alias("p")
+    both = F.col("s.size") + F.col("p.size")
+    least = F.ceil(both * percent / F.lit(100.0 + percent) - 1e-9)
     met = (F.col("s.token") == F.col("p.token")) & (F.col("s.root") != F.col("p.root"))
-    rest = s.join(p, met & sizes_fit(F.col("s.size"), F.col("p.size"), percent))
-    ends = F.col("s.key"), F.col("p.key")
-    rest = rest.select(F.greatest(*ends).alias("a"), F.least(*ends).alias("b"))
-    return stored(confirm(rest).union(links), "links")
+    met &= sizes_fit(F.col("s.size"), F.col("p.size"), percent)
+    met &= F.col("s.place") <= F.col("s.size") - least
+    met &= F.col("p.place") <= F.col("p.size") - least
+    return ordered(s.join(p, met), F.col("s.key"), F.col("p.key"))
 
 
 def with_roots(rows: DataFrame, roots: DataFrame) -> DataFrame:
     named = roots.select(F.col("node").alias("key"), "component")
     root = F.coalesce("component", "key").alias("root")
-    return rows.join(named, "key", "left").select("token", "key", "size", root)
+    return rows.join(named, "key", "left").select("token", "key", "size", "typical", root)
 
 
 def near_duplicates(
