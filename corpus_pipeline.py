@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm import minhash, mixing, packing, pii, toxicity
 from corpusloom.llm.common import stored, table
-from corpusloom.llm.queries import tokenizer_path
+from corpusloom.llm.queries import vocabulary
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -45,7 +45,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 1024 tokens and their places in sequences."""
-    return packing.packed_documents(docs, tokenizer_path())
+    return packing.packed_documents(docs, vocabulary())
 
 
 STAGES = [

@@ -12,6 +12,7 @@ rank among those of equal length, in Spark.
 
 from __future__ import annotations
 
+import base64
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -23,46 +24,65 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.common import stored
 
-CACHED_CHUNKS = 400_000
+CACHED_CHUNKS = 200_000
+CLOSING = ",.;:!?"
 # Rows that share a length and a bucket are ranked in one task.
 RANKED_TOGETHER = 100_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
 
 
+class Chunks(dict):
+    """Ids of a chunk of text as little-endian bytes; forgets all when it holds too many.
+
+    A letter and closing punctuation after it never share a token, so the word
+    is looked up without it.
+    """
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, chunk: str) -> bytes:
+        stem = chunk.rstrip(CLOSING)
+        if stem and len(stem) < len(chunk) and stem[-1].isalpha():
+            value = self[stem] + self[chunk[len(stem) :]]
+        else:
+            value = array("I", self.encode(chunk)).tobytes()
+        if len(self) >= CACHED_CHUNKS:
+            self.clear()
+        self[chunk] = value
+        return value
+
+
 class Encoder:
-    """Token ids as little-endian bytes, with a cache of chunks.
+    """Token ids of whole texts by a rank file, with a cache of chunks.
 
-    The vocabulary's pattern starts a new token before every space that a visible
-    character follows, so a text is the sum of its chunks between such spaces.
+    ``pattern`` must start a new token before every space that a visible character
+    follows, as that of the public vocabularies does; so a text is the sum of its
+    chunks between such spaces.
     """
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
+    def __init__(self, path: str, pattern: str):
+        import tiktoken
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.cache: dict[str, bytes] = {}
+        with open(path, "rb") as lines:
+            pairs = (line.split() for line in lines)
+            ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
+        plain = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.cache = Chunks(plain.encode_ordinary)
 
     def chunks(self, text: str) -> list[str]:
         parts = text.split(" ")
         out = [parts[0]]
         for part in parts[1:]:
-            if part == "" or part[0].isspace() or (len(out) == 1 and out[0] == ""):
+            if part == "" or part[0].isspace():
                 out[-1] += " " + part
             else:
                 out.append(" " + part)
         return out
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self.chunks(t) for t in texts]
-        if len(self.cache) > CACHED_CHUNKS:
-            self.cache.clear()
-        new = sorted({c for chunks in cut for c in chunks if c not in self.cache})
-        for i in range(0, len(new), 4096):
-            some = new[i : i + 4096]
-            for chunk, found in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False)):
-                self.cache[chunk] = array("I", found.ids).tobytes()
-        return [b"".join(map(self.cache.__getitem__, chunks)) for chunks in cut]
+    def encode(self, text: str) -> bytes:
+        return b"".join(map(self.cache.__getitem__, self.chunks(text)))
 
 
 def cuts(length: int, size: int) -> Iterator[tuple[int, int]]:
@@ -73,18 +93,25 @@ def cuts(length: int, size: int) -> Iterator[tuple[int, int]]:
         yield start, start + size
 
 
-def tokenised(path: str, size: int, end_id: int):
+@dataclass(frozen=True)
+class Vocabulary:
+    """A rank file, the same on all workers, and the pattern that splits text before merging."""
+
+    path: str
+    pattern: str
+
+
+def tokenised(vocabulary: Vocabulary, size: int, end_id: int):
     tail = array("I", [end_id]).tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(path)
+        encoder = Encoder(vocabulary.path, vocabulary.pattern)
         for rows in batches:
             for at in range(0, len(rows), 512):
                 some = rows.iloc[at : at + 512]
-                texts = [t if isinstance(t, str) else "" for t in some["text"]]
                 out = []
-                for key, ids in zip(some["doc_id"], encoder.encode(texts)):
-                    ids += tail
+                for key, text in zip(some["doc_id"], some["text"]):
+                    ids = (encoder.encode(text) if isinstance(text, str) else b"") + tail
                     for n, (start, end) in enumerate(cuts(len(ids) // 4, size)):
                         part = ids[4 * start : 4 * end]
                         out.append((key, n, start, end - start, zlib.crc32(part), part))
@@ -94,15 +121,21 @@ def tokenised(path: str, size: int, end_id: int):
 
 
 def pieces(
-    docs: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 2, key: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    vocabulary: Vocabulary,
+    size: int = 1024,
+    end_id: int = 2,
+    key: str = "doc_id",
+    text: str = "text",
 ) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, ids) of every document.
 
     A document is its token ids and ``end_id``; a null or empty text is the end id
-    alone. ``tokenizer`` is the path of a vocabulary, the same on all workers.
+    alone. Strings of special tokens in a text are ordinary text. Repeated rows
+    are documents each.
     """
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInPandas(tokenised(tokenizer, size, end_id), PIECES)
+    return rows.mapInPandas(tokenised(vocabulary, size, end_id), PIECES)
 
 
 def fullest(counts: dict[int, int], first: int, room: int) -> list[int]:
@@ -221,8 +254,8 @@ def sequences(placed: DataFrame) -> DataFrame:
     )
 
 
-def packed_documents(docs: DataFrame, tokenizer: str, size: int = 1024, ids: bool = False) -> DataFrame:
+def packed_documents(docs: DataFrame, vocabulary: Vocabulary, size: int = 1024, ids: bool = False) -> DataFrame:
     """Cut, store and pack whole documents; with ``ids`` the token ids come along."""
-    made = pieces(docs, tokenizer, size)
+    made = pieces(docs, vocabulary, size)
     made = stored(made if ids else made.drop("ids"), "pieces")
     return pack(made, size)

@@ -4,18 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import minhash, mixing, packing, pii, toxicity
+from corpusloom.llm import ann, hilbert, minhash, mixing, packing, pii, quality, toxicity
 from corpusloom.llm.common import table
 from corpusloom.llm.registry import ORACLES, QUERIES, query
 
-__all__ = ["ORACLES", "QUERIES", "tokenizer_path"]
+__all__ = ["ORACLES", "QUERIES", "vocabulary"]
 
 
-def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
-    """Where the public vocabulary lies; the same on every worker."""
+def vocabulary() -> packing.Vocabulary:
+    """The public 50k byte-level vocabulary, installed alike on every worker."""
     import public_tokenizers
 
-    return public_tokenizers.path(name)
+    return packing.Vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 @query
@@ -26,22 +26,42 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+@query
+def op3_collision_counting(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 largest inner products of every 20th vector against all others."""
+    vectors = table(spark, folder, "embeddings")
+    return ann.nearest(vectors, vectors.filter("vec_id % 20 = 0"))
+
+
 @query
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Sampling probabilities that meet flattened source, language and topic shares."""
     return mixing.mix(table(spark, folder, "documents"))
 
 
+@query
+def op5_distribution_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    """Base counts and the divergence verdict of every document."""
+    judged = quality.quality(table(spark, folder, "documents"))
+    return judged.drop("chars_distance", "words_distance")
+
+
 @query
 def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in sequences of at most 1024 tokens."""
     docs = table(spark, folder, "documents")
-    placed = packing.packed_documents(docs, tokenizer_path())
+    placed = packing.packed_documents(docs, vocabulary())
     return placed.select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
     )
 
 
+@query
+def op7_hilbert_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in 16 shards along a Hilbert curve through their metadata."""
+    return hilbert.shards(table(spark, folder, "documents")).drop("place")
+
+
 @query
 def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
     """Counts and spans of personal data in every document."""
