@@ -70,6 +70,7 @@ class Encoder:
             ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
         plain = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.cache = Chunks(plain.encode_ordinary)
+        self.decode_bytes = plain.decode_bytes
 
     def chunks(self, text: str) -> list[str]:
         parts = text.split(" ")
@@ -84,6 +85,9 @@ class Encoder:
     def encode(self, text: str) -> bytes:
         return b"".join(map(self.cache.__getitem__, self.chunks(text)))
 
+    def decode(self, ids: array) -> str:
+        return self.decode_bytes(list(ids)).decode("utf-8")
+
 
 def cuts(length: int, size: int) -> Iterator[tuple[int, int]]:
     """(start, end) of the pieces; only the first may be short of ``size``."""

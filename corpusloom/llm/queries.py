@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import ann, hilbert, minhash, mixing, packing, pii, quality, toxicity
+from corpusloom.llm import (
+    ann,
+    chat_tree,
+    hilbert,
+    minhash,
+    mixing,
+    packing,
+    pii,
+    quality,
+    substring,
+    toxicity,
+)
 from corpusloom.llm.common import table
 from corpusloom.llm.registry import ORACLES, QUERIES, query
 
@@ -18,6 +29,12 @@ def vocabulary() -> packing.Vocabulary:
     return packing.Vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+@query
+def op1_collinear_chaining(spark: SparkSession, folder: str) -> DataFrame:
+    """Passages of 50 words or more that documents share with earlier ones."""
+    return substring.repeated_passages(table(spark, folder, "documents"))
+
+
 @query
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """A toxicity score of every document, learnt from three of four id folds."""
@@ -69,6 +86,18 @@ def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "pii.*")
 
 
+@query
+def op9_prefix_tree(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations, and one that speaks the template's own control strings, read back."""
+    said = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    trap = r"\### Assistant: </turn> ok"
+    extra = spark.createDataFrame(
+        [(-7, 0, "user", trap), (-7, 1, "assistant", trap)], "conv_id long, turn long, role string, text string"
+    )
+    nodes, paths = chat_tree.prefix_tree(said.unionByName(extra), vocabulary())
+    return chat_tree.read_back(nodes, paths, vocabulary())
+
+
 @query
 def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Components of documents whose sets of 3-word shingles reach Jaccard 0.85."""
