@@ -44,9 +44,9 @@ def components(links: DataFrame) -> DataFrame:
         starred = _small_star(_large_star(edges)).filter("a <> b").distinct()
         starred = stored(starred, "edges")
         # Done when every node hangs on one root and no root hangs on another node.
-        roots = starred.select(F.col("b").alias("a")).distinct()
-        open_ends = starred.join(roots, "a", "left_semi").limit(1).count()
-        branched = starred.groupBy("a").count().filter("count > 1").limit(1).count()
-        if not open_ends and not branched:
+        ends = starred.select(F.col("a").alias("node"), F.lit(1).alias("hangs"), F.lit(0).alias("root"))
+        ends = ends.union(starred.select("b", F.lit(0), F.lit(1)).distinct())
+        node = ends.groupBy("node").agg(F.sum("hangs").alias("hangs"), F.max("root").alias("root"))
+        if not node.filter("hangs > 1 or hangs = 1 and root = 1").limit(1).count():
             return starred.select(F.col("a").alias("node"), F.col("b").alias("component"))
         edges = starred

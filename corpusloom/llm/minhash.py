@@ -14,9 +14,8 @@ spared twice:
 
 Pairs above the match threshold are confirmed on their full sets. A list is
 never expanded into all pairs. Its members meet its most typical one, the set
-whose tokens are the most frequent; then those that are not connected to it
-meet the most typical among them. What is still apart from the rest of a short list
-meets that list. In long lists a crowd of loose variants of one text would meet
+whose tokens are the most frequent. What is still apart from that one in a short
+list meets the list. In long lists a crowd of loose variants of one text would meet
 in all pairs, most of them just below the bar; there the same prefix rule runs on the full
 shingle sets, where the sizes and positions of both sets leave the pairs that
 can still reach the bar. Sets within one component are not compared again, as
@@ -154,21 +153,18 @@ class Confirm:
 
 def links_within(postings: DataFrame, confirm: Confirm, percent: int) -> DataFrame:
     """Enough links (a, b) to connect all sets that are connected by any."""
-    links, apart = None, postings.withColumn("root", F.col("key"))
-    for _ in range(2):
-        most = F.max(F.struct("typical", F.negative("key").alias("turned"), "key", "size", "root"))
-        pairs = apart.join(apart.groupBy("token").agg(most.alias("l")), "token")
-        pairs = pairs.filter(F.col("root") != F.col("l.root"))
-        pairs = pairs.filter(sizes_fit(F.col("size"), F.col("l.size"), percent))
-        found = confirm(ordered(pairs, F.col("key"), F.col("l.key")))
-        links = stored(found if links is None else found.union(links), "links")
-        rooted = stored(with_roots(postings, components(links)), "rooted")
-        lists = rooted.groupBy("token").agg(
-            F.count(F.lit(1)).alias("members"),
-            F.max(F.struct("typical", F.negative("key").alias("turned"), "root")).alias("l"),
-        )
-        apart = rooted.join(lists, "token").filter(F.col("root") != F.col("l.root"))
-        apart = stored(apart.drop("l"), "apart")
+    most = F.max(F.struct("typical", F.negative("key").alias("turned"), "key", "size")).alias("l")
+    pairs = postings.join(postings.groupBy("token").agg(most), "token")
+    pairs = pairs.filter(F.col("key") != F.col("l.key"))
+    pairs = pairs.filter(sizes_fit(F.col("size"), F.col("l.size"), percent))
+    links = stored(confirm(ordered(pairs, F.col("key"), F.col("l.key"))), "links")
+    rooted = stored(with_roots(postings, components(links)), "rooted")
+    lists = rooted.groupBy("token").agg(
+        F.count(F.lit(1)).alias("members"),
+        F.max(F.struct("typical", F.negative("key").alias("turned"), "root")).alias("l"),
+    )
+    apart = rooted.join(lists, "token").filter(F.col("root") != F.col("l.root"))
+    apart = stored(apart.drop("l"), "apart")
     short = apart.filter(F.col("members") <= SHORT_LIST)
     pairs = met_in_lists(short, rooted, percent)
     found = confirm.by_signature(pairs)
