@@ -29,17 +29,9 @@ class Cleaning:
 @dataclass(frozen=True)
 class Deduplication:
     method: str = "fuzzy"
-    similarity: str = "jaccard"
-    threshold: float | None = None
+    bar: float = 0.7
     shingle_words: int = 3
 
-    @property
-    def bar(self) -> float:
-        """0.85 for the character-sequence ratio, 0.7 for word-shingle Jaccard."""
-        if self.threshold is not None:
-            return self.threshold
-        return 0.85 if self.similarity == "sequence" else 0.7
-
 
 @dataclass(frozen=True)
 class Quality:

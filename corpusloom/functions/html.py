@@ -73,6 +73,7 @@ PAGE_TYPE = pa.struct(
                 )
             ),
         ),
+        ("error", pa.string()),
     ]
 )
 PAGE_DDL = (
@@ -80,10 +81,24 @@ PAGE_DDL = (
     "metas:array<struct<name:string,property:string,http_equiv:string,itemprop:string,"
     "content:string>>,links:array<string>,json_ld:array<string>,"
     "microdata:array<struct<itemtype:string,"
-    "properties:array<struct<name:string,value:string>>>>>"
+    "properties:array<struct<name:string,value:string>>>>,error:string>"
 )
 
 
+# Start tags that end an open element of some kind, unless one of a fence stands between.
+BLOCKS = frozenset("article aside body div footer form header html main nav section table td th".split())
+IMPLIED = {
+    "p": ({"p"}, BLOCKS | {"li", "dd", "ul", "ol", "dl"}),
+    "li": ({"li"}, frozenset({"ul", "ol"})),
+    "dt": ({"dt", "dd"}, frozenset({"dl"})),
+    "dd": ({"dt", "dd"}, frozenset({"dl"})),
+    "option": ({"option"}, frozenset({"select"})),
+    "tr": ({"tr"}, frozenset({"table"})),
+    "td": ({"td", "th"}, frozenset({"table", "tr"})),
+    "th": ({"td", "th"}, frozenset({"table", "tr"})),
+}
+
+
 class Element:
     """A tag, its attributes and its children (elements and strings, in order)."""
 
@@ -132,8 +147,20 @@ class TreeBuilder(HTMLParser):
             self.open[-1].children.append("".join(self.text))
             self.text = []
 
+    def close_implied(self, tag: str) -> None:
+        """End an open element that cannot hold ``tag``, such as a paragraph in a paragraph."""
+        ends, fence = IMPLIED[tag]
+        for depth in range(len(self.open) - 1, 0, -1):
+            if self.open[depth].tag in ends:
+                del self.open[depth:]
+                return
+            if self.open[depth].tag in fence:
+                return
+
     def handle_starttag(self, tag, attrs):
         self.end_text()
+        if tag in IMPLIED:
+            self.close_implied(tag)
         node = Element(tag, {name: value or "" for name, value in attrs})
         self.open[-1].children.append(node)
         if tag not in VOID_TAGS:
@@ -289,10 +316,12 @@ def page_parts(
 
     @F.arrow_udf(PAGE_DDL)
     def extract(html_batch: pa.Array, url_batch: pa.Array) -> pa.Array:
-        rows = [
-            None if html is None else read_page(html, url or "", after_cleanup, whole_class)
-            for html, url in zip(html_batch.to_pylist(), url_batch.to_pylist())
-        ]
+        rows = []
+        for html, url in zip(html_batch.to_pylist(), url_batch.to_pylist()):
+            try:
+                rows.append(None if html is None else read_page(html, url or "", after_cleanup, whole_class))
+            except Exception as problem:  # noqa: BLE001 - one page must not end the job
+                rows.append({"error": f"{type(problem).__name__}: {problem}"[:1000]})
         return pa.array(rows, type=PAGE_TYPE)
 
     # Non-deterministic keeps the optimizer from copying the parse into filters.

@@ -126,20 +126,24 @@ def windows(text: Column, max_size: int, overlap: int) -> Column:
     A window that is not the last ends after the last full stop in its final
     fifth (the fifth's first character does not count); the next one starts
     ``overlap`` characters before that end. Chunks are stripped, empty ones
-    dropped. The fold only carries offsets; text is sliced once at the end.
+    dropped. The fold carries offsets and reads from the blocks it touches, so the
+    work grows with the length of the text.
     """
     tail = int(max_size * 0.2)
     if max_size <= overlap or overlap > max_size - tail:
         raise ValueError("overlap leaves no room for the window to advance")
     stride = min(max_size - overlap, max_size - tail + 2 - overlap)
 
-    def chunks(body: Column) -> Column:
-        size = F.length(body)
+    def cut(size: Column, blocks: Column) -> Column:
+        def read(start: Column, length: Column) -> Column:
+            """At most ``max_size`` characters from ``start`` on: out of two blocks."""
+            first = F.floor(start / F.lit(max_size)).cast("int")
+            near = F.concat(F.get(blocks, first), F.coalesce(F.get(blocks, first + 1), F.lit("")))
+            return F.substring(near, start - first * max_size + 1, length)
 
         def advance(state: Column, _: Column) -> Column:
             limit = state["start"] + max_size
-            fifth = F.substring(body, limit - tail + 2, F.lit(tail - 1))
-            back = F.instr(F.reverse(fifth), ".")
+            back = F.instr(F.reverse(read(limit - tail + 1, F.lit(tail - 1))), ".")
             end = F.when((limit < size) & (back > 0), limit - back + 1).otherwise(limit)
             span = F.struct(state["start"].alias("start"), end.alias("end"))
             moved = F.struct(
@@ -153,11 +157,14 @@ def windows(text: Column, max_size: int, overlap: int) -> Column:
         )
         steps = F.sequence(F.lit(1), F.ceil(size / stride).cast("int") + 1)
         spans = F.aggregate(steps, begin, advance)["spans"]
-        pieces = F.transform(
-            spans, lambda s: strip(F.substring(body, s["start"] + 1, s["end"] - s["start"]))
-        )
-        cut = F.filter(pieces, lambda piece: piece != "")
-        return F.when(size <= max_size, F.array(body)).otherwise(cut)
+        pieces = F.transform(spans, lambda s: strip(read(s["start"], s["end"] - s["start"])))
+        return F.filter(pieces, lambda piece: piece != "")
+
+    def chunks(body: Column) -> Column:
+        # Cut once into blocks, so that no step walks through the text from its start.
+        blocks = F.regexp_extract_all(body, F.lit(f"(?s).{{1,{max_size}}}"), F.lit(0))
+        many = let(F.length(body), lambda size: let(blocks, lambda parts: cut(size, parts)))
+        return F.when(F.length(body) <= max_size, F.array(body)).otherwise(many)
 
     return let(text, chunks)
 

@@ -12,16 +12,13 @@ grows with every round, so the rule stays exact with no limit on bucket size.
 from __future__ import annotations
 
 from collections.abc import Callable
-from difflib import SequenceMatcher
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.config import Deduplication
 from corpusloom.functions import text as tx
-from corpusloom.functions.sequences import common_subsequence
 from corpusloom.operators.skew import hot_keys, join_split, key_counts
 from corpusloom.session import cut
 
@@ -99,22 +96,6 @@ def overlap_possible(bar: float) -> Callable[[Column, Column, Column], Column]:
     return test
 
 
-def length_keys(texts: DataFrame, order: str, bar: float) -> DataFrame:
-    """(bucket, order): classes of text length, overlapping by one.
-
-    A sequence ratio of at least ``bar`` bounds the length quotient by
-    bar / (2 - bar), so such pairs lie in the same or in neighbouring classes.
-    """
-    width = F.log(F.lit((2 - bar) / bar))
-    step = F.floor(F.log(F.greatest(F.length("content"), F.lit(1))) / width)
-    size = F.length("content").alias("size")
-    return texts.select(F.explode(F.array(step, step + 1)).alias("bucket"), order, size)
-
-
-def lengths_fit(bar: float) -> Callable[[Column, Column, Column], Column]:
-    return lambda shared, a, b: F.least(a, b) * 2 >= (a + b) * F.lit(bar - 1e-9)
-
-
 def greedy_keep_first(
     keys: DataFrame,
     order: str,
@@ -225,79 +206,22 @@ def jaccard_at_least(sets: DataFrame, order: str, bar: float) -> Similar:
     return similar
 
 
-def ratio_reaches(later: str, earlier: str, bar: float) -> bool:
-    """Whether the matching-block ratio, later text first, is at least ``bar``.
-
-    The ratio counts characters of a common subsequence, so its longest one
-    bounds it from above and spares most of the slow matching.
-    """
-    total = len(later) + len(earlier)
-    if total == 0:
-        return True
-    if 2.0 * min(len(later), len(earlier)) / total < bar:
-        return False
-    matcher = SequenceMatcher(None, later, earlier)
-    if matcher.quick_ratio() < bar:
-        return False
-    if 2.0 * common_subsequence(later, earlier) / total < bar:
-        return False
-    return matcher.ratio() >= bar
-
-
-def sequence_at_least(texts: DataFrame, order: str, bar: float) -> Similar:
-    @F.pandas_udf("boolean")
-    def reaches(later: pd.Series, earlier: pd.Series) -> pd.Series:
-        return pd.Series(
-            [ratio_reaches(a, b, bar) for a, b in zip(later, earlier)], dtype=bool
-        )
-
-    def similar(pairs: DataFrame, crowded: DataFrame | None) -> DataFrame:
-        both = with_both(pairs, crowded, texts, order, "content")
-        return both.filter(reaches("later", "earlier")).select(order, "pilot")
-
-    return similar
-
-
 def near_duplicates(
     docs: DataFrame,
     order: str,
     content: str = "content",
     rules: Deduplication = Deduplication(),
     collapsed: bool = False,
-    candidates: float | None = 0.2,
 ) -> DataFrame:
-    """(order, kept) of every row the greedy rule drops.
-
-    ``similarity='jaccard'`` compares sets of word runs; ``'sequence'`` compares
-    characters, for pairs whose word-run Jaccard reaches ``candidates``. With
-    ``candidates=None`` it compares all texts of fitting length: the rule with
-    no shortcut, quadratic in the rows that stay, for small collections.
-    """
-    texts = docs.select(order, F.col(content).alias("content"))
-    if rules.similarity == "sequence":
-        # Read again in every round; the input would be recomputed each time.
-        texts = cut(texts)
-    by_length = rules.similarity == "sequence" and candidates is None
-    if by_length:
-        keys, possible = length_keys(texts, order, rules.bar), lengths_fit(rules.bar)
-        similar = sequence_at_least(texts, order, rules.bar)
-    else:
-        sets = cut(
-            texts.select(
-                order,
-                tx.shingles(F.col("content"), rules.shingle_words, collapsed).alias("shingles"),
-            )
+    """(order, kept) of every row the greedy rule drops, by Jaccard of word runs."""
+    sets = cut(
+        docs.select(
+            order, tx.shingles(F.col(content), rules.shingle_words, collapsed).alias("shingles")
         )
-        bar = candidates if rules.similarity == "sequence" else rules.bar
-        keys, possible = lookup_keys(sets, order, bar), overlap_possible(bar)
-        similar = jaccard_at_least(sets, order, bar)
-        if rules.similarity == "sequence":
-            overlap, same = similar, sequence_at_least(texts, order, rules.bar)
-
-            def similar(pairs: DataFrame, crowded: DataFrame | None) -> DataFrame:
-                return same(overlap(pairs, crowded), crowded)
-
-    return greedy_keep_first(keys, order, possible, similar).filter("kept is not null")
+    )
+    keys = lookup_keys(sets, order, rules.bar)
+    similar = jaccard_at_least(sets, order, rules.bar)
+    return greedy_keep_first(keys, order, overlap_possible(rules.bar), similar).filter("kept is not null")
 
 
 def deduplicate(

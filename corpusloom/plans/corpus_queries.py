@@ -201,12 +201,6 @@ def near_dup_drop(spark, folder):
     return rows.select("doc_id")
 
 
-@query()
-def near_dup_sequence(spark, folder):
-    rules = Deduplication(similarity="sequence")
-    return dedup.near_duplicates(unique(spark, folder), "doc_id", rules=rules, collapsed=True)
-
-
 @query(
     f"WITH {CLEANED}, {UNIQUE}, kind AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'web' ELSE 'pdf' END"
     " AS source_type FROM cleaned)"

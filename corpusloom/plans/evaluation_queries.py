@@ -17,12 +17,12 @@ KEYWORDS = ("the", "of", "que", "der", "charging")
 
 
 def answer_pairs(spark, folder) -> DataFrame:
-    """Model a repeats the question, model b the first twenty words of the answer."""
+    """Model a repeats the question, model b the question and the answer."""
     turns = turn_pairs(spark, folder)
-    start = F.array_join(F.slice(tx.words(F.col("answer")), 1, 20), " ")
+    both = F.concat_ws(" ", "question", "answer")
     models = F.array(
         F.struct(F.lit("a").alias("model"), F.col("question").alias("prediction")),
-        F.struct(F.lit("b").alias("model"), start.alias("prediction")),
+        F.struct(F.lit("b").alias("model"), both.alias("prediction")),
     )
     return turns.select("id", F.explode(models).alias("m"), F.col("answer").alias("reference")).select(
         "id", "m.*", "reference"

@@ -112,9 +112,9 @@ turn_pairs AS (
   WHERE q.role = 'user'
 )"""
 
-# Model a repeats the question, model b the first twenty words of the answer.
-PAIRS = TURN_PAIRS + f""", pairs AS (
+# Model a repeats the question, model b the question and the answer.
+PAIRS = TURN_PAIRS + """, pairs AS (
   SELECT id, 'a' AS model, question AS prediction, answer AS reference FROM turn_pairs
   UNION ALL
-  SELECT id, 'b', array_to_string(({WORDS.format('answer')})[1:20], ' '), answer FROM turn_pairs
+  SELECT id, 'b', question || ' ' || answer, answer FROM turn_pairs
 )"""

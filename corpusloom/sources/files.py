@@ -6,6 +6,8 @@ import io
 import json
 import zipfile
 from collections.abc import Iterator
+from functools import reduce
+from urllib.parse import unquote
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -21,6 +23,7 @@ from corpusloom.operators.pages import page_records
 # Encodings in the order they are tried; latin-1 accepts any bytes.
 ENCODINGS = ("utf-8", "utf-16", "latin-1")
 MARKDOWN = (".md", ".markdown")
+ANY_LENGTH = 2**31 - 1
 
 
 def route(paths: DataFrame, path: str = "path") -> DataFrame:
@@ -84,8 +87,10 @@ def text_documents(spark: SparkSession, path: str) -> DataFrame:
 def html_documents(
     spark: SparkSession, path: str, rules: Collection | None = None
 ) -> DataFrame:
-    """Local HTML files as page records; nothing was fetched, so response fields are null."""
-    rules = rules or Collection(min_content_length=0, min_alphabetic_words=0)
+    """Local HTML files of any size as page records; nothing was fetched, so response fields are null."""
+    rules = rules or Collection(
+        min_content_length=0, max_content_length=ANY_LENGTH, min_alphabetic_words=0
+    )
     files = binary_files(spark, path).filter(reader_for(F.col("path")) == "html")
     pages = files.select(
         F.col("path").alias("url"), F.make_valid_utf8(F.col("content").cast("string")).alias("html")
@@ -95,16 +100,33 @@ def html_documents(
     )
 
 
-def csv_encoding(spark: SparkSession, path: str) -> str:
-    """UTF-8 if all lines of the files are valid, else latin-1, which has any byte."""
-    valid = spark.read.text(path).agg(F.bool_and(F.is_valid_utf8("value")))
-    return "ISO-8859-1" if valid.first()[0] is False else "UTF-8"
+def latin_files(spark: SparkSession, path: str) -> set[str]:
+    """Files with a line that is not valid UTF-8; file names only come to the driver."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    valid = lines.groupBy("file").agg(F.bool_and(F.is_valid_utf8("value")).alias("valid"))
+    return {r["file"] for r in valid.filter("not valid").select("file").collect()}
 
 
 def csv_rows(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """The table itself. Give ``schema`` on large inputs; inference reads them twice."""
-    reader = spark.read.option("header", "true").option("encoding", csv_encoding(spark, path))
-    return reader.schema(schema).csv(path) if schema else reader.option("inferSchema", "true").csv(path)
+    """The table itself; the files are of one layout, each UTF-8 or else latin-1.
+
+    Give ``schema`` on large inputs; inference reads them twice.
+    """
+    reader = spark.read.option("header", "true")
+    latin = latin_files(spark, path)
+    every = {unquote(f): f for f in spark.read.text(path).inputFiles()}
+    old = [f for f in every if any(unquote(x).endswith(f.split(":", 1)[-1].lstrip("/")) for x in latin)]
+    new = [f for f in every if f not in old]
+    if schema is None:
+        inferred = reader.option("inferSchema", "true")
+        schema = inferred.csv(new).schema if new else inferred.option("encoding", "ISO-8859-1").csv(old).schema
+        if new and old:
+            # A type must hold what either kind of file has.
+            other = inferred.option("encoding", "ISO-8859-1").csv(old).schema
+            pairs = zip(schema.fields, other.fields)
+            schema = T.StructType([T.StructField(a.name, a.dataType if a.dataType == b.dataType else T.StringType()) for a, b in pairs])
+    frames = [reader.schema(schema).option("encoding", e).csv(f) for e, f in (("UTF-8", new), ("ISO-8859-1", old)) if f]
+    return reduce(DataFrame.unionAll, frames)
 
 
 def csv_documents(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
@@ -116,8 +138,8 @@ def csv_documents(spark: SparkSession, path: str, schema: str | None = None) ->
 
 
 def csv_profile(rows: DataFrame) -> DataFrame:
-    """One row: number of rows and columns, names and types."""
-    return rows.agg(
+    """One row per file: number of rows and columns, names and types."""
+    return rows.groupBy(F.input_file_name().alias("source_path")).agg(
         F.count(F.lit(1)).alias("rows"),
         F.lit(len(rows.columns)).alias("columns"),
         F.array(*[F.lit(c) for c in rows.columns]).alias("column_names"),

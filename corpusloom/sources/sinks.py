@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.operators.stats import collection_summary
 
+MALFORMED = "_malformed"
 MANIFEST = "run_id string, stage string, timestamp timestamp, status string, data_path string, metadata map<string,string>"
 
 
@@ -34,9 +35,25 @@ def save_dataset(rows: DataFrame, path: str) -> None:
 
 
 def load_dataset(spark: SparkSession, *paths: str, schema: str | None = None) -> DataFrame:
-    """JSON lines of all paths by column name; malformed records are skipped."""
-    reader = spark.read.option("mode", "DROPMALFORMED")
-    return (reader.schema(schema) if schema else reader).json(list(paths))
+    """JSON lines of all paths by column name, without the malformed ones."""
+    return with_malformed(spark, *paths, schema=schema).filter(F.col(MALFORMED).isNull()).drop(MALFORMED)
+
+
+def with_malformed(spark: SparkSession, *paths: str, schema: str | None = None) -> DataFrame:
+    """The same with ``_malformed``, the text of each record that is no such row, else null."""
+    known = schema or spark.read.option("columnNameOfCorruptRecord", MALFORMED).json(list(paths)).schema
+    wide = spark.createDataFrame([], known).schema
+    if MALFORMED not in wide.names:
+        wide = wide.add(MALFORMED, "string")
+    reader = spark.read.option("columnNameOfCorruptRecord", MALFORMED).schema(wide)
+    return reader.json(list(paths))
+
+
+def malformed_counts(rows: DataFrame) -> DataFrame:
+    """(path, records, malformed) of what ``with_malformed`` has read."""
+    return rows.groupBy(F.col("_metadata.file_path").alias("path")).agg(
+        F.count(F.lit(1)).alias("records"), F.count(MALFORMED).alias("malformed")
+    )
 
 
 def save_checkpoint(

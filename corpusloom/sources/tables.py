@@ -5,37 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SPLIT_BYTES = 128 * 1024 * 1024
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(frame: DataFrame, key: str) -> DataFrame:
-    """Use all cores on a table smaller than a single scan split.
-
-    Such a table often is one row group, which one task reads. By the planner's
-    size estimate it, and nothing larger, is hashed over the cores.
-    """
-    plan = getattr(frame, "_jdf", None)
-    if plan is None:  # a remote session keeps its plans to itself
-        return frame
-    size = int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    return frame.repartition(cores, key) if size < SPLIT_BYTES else frame
-
-
 def documents(
     spark: SparkSession, folder: str, source_type: Column | str = "web"
 ) -> DataFrame:
     """The documents table with ``content`` and a ``source_type``."""
     kind = F.lit(source_type) if isinstance(source_type, str) else source_type
-    frame = table(spark, folder, "documents").select(
+    return table(spark, folder, "documents").select(
         "doc_id", F.col("text").alias("content"), "lang", "source", kind.alias("source_type")
     )
-    return spread(frame, "doc_id")
 
 
 def pages(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(table(spark, folder, "pages"), "page_id")
+    return table(spark, folder, "pages")

@@ -48,6 +48,21 @@ def fresh_chunks(docs: DataFrame, key: str, config: CorpusConfig = CorpusConfig(
     return chunk(good, config.chunking, content_hash="content_hash", keep=(key,))
 
 
+def write_complete(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """An aggregate of everything so far, open windows included; each batch replaces it."""
+
+    def replace(result: DataFrame, _: int) -> None:
+        result.write.mode("overwrite").parquet(path)
+
+    return (
+        rows.writeStream.outputMode("complete")
+        .foreachBatch(replace)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def write_stream(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Everything available now into Parquet, exactly once."""
     return (

@@ -62,7 +62,7 @@ def dropped(spark, texts, **options):
 @pytest.mark.parametrize("seed,bar", [(1, 0.5), (2, 0.7)])
 def test_jaccard_equals_brute_force(spark, seed, bar):
     texts = corpus(seed, 150)
-    gone, kept = dropped(spark, texts, rules=Deduplication(threshold=bar))
+    gone, kept = dropped(spark, texts, rules=Deduplication(bar=bar))
     assert gone == greedy(texts, jaccard(bar))
     for later, earlier in kept.items():
         assert earlier < later and earlier not in gone
@@ -73,7 +73,7 @@ def test_chain_keeps_the_third(spark):
     """A~B and B~C but not A~C: C stays because B goes."""
     words = [f"w{i}" for i in range(30)]
     a, b, c = (" ".join(words[i : i + 24]) for i in (0, 3, 6))
-    assert dropped(spark, [a, b, c], rules=Deduplication(threshold=0.7))[0] == {1}
+    assert dropped(spark, [a, b, c], rules=Deduplication(bar=0.7))[0] == {1}
 
 
 def test_a_crowd_of_copies_is_settled_by_its_first(spark):
@@ -86,10 +86,9 @@ def test_a_crowd_of_copies_is_settled_by_its_first(spark):
     assert all(kept[i] == first for i in range(first + 1, first + 400))
 
 
-@pytest.mark.parametrize("similarity", ["jaccard", "sequence"])
-def test_splitting_hot_keys_changes_nothing(spark, monkeypatch, similarity):
+def test_splitting_hot_keys_changes_nothing(spark, monkeypatch):
     texts = corpus(21, 80)
-    rules = Deduplication(similarity=similarity)
+    rules = Deduplication()
     plain = dropped(spark, texts, rules=rules)[0]
     monkeypatch.setattr(skew, "MIN_HOT_ROWS", 1)
     monkeypatch.setattr(skew, "HOT_SHARE", 10**6)
@@ -115,41 +114,6 @@ def test_hot_buckets_of_different_rows(spark):
     assert dropped(spark, texts)[0] == greedy(texts, jaccard(0.7))
 
 
-def ratio(bar):
-    return lambda a, b: SequenceMatcher(None, a, b).ratio() >= bar
-
-
-def test_sequence_without_candidates_equals_brute_force(spark):
-    texts = corpus(11, 60, vocabulary=15) + ["", "a", "abcd " * 60, "abcd " * 61, "abdc " * 60]
-    rules = Deduplication(similarity="sequence")
-    assert dropped(spark, texts, rules=rules, candidates=None)[0] == greedy(texts, ratio(0.85))
-
-
-def test_sequence_on_real_documents(spark, folder):
-    docs = clean(
-        spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", F.col("text").alias("content"))
-    )
-    docs = dedup.exact_dedup(docs, "doc_id").filter(F.length("content") < 800).orderBy("doc_id")
-    rows = docs.collect()
-    texts = [r["content"] for r in rows]
-    rules = Deduplication(similarity="sequence")
-    got = {r["doc_id"] for r in dedup.near_duplicates(docs, "doc_id", rules=rules).collect()}
-
-    def quick(a, b):
-        matcher = SequenceMatcher(None, a, b)
-        return matcher.real_quick_ratio() >= 0.85 and matcher.quick_ratio() >= 0.85 and matcher.ratio() >= 0.85
-
-    assert got == {rows[i]["doc_id"] for i in greedy(texts, quick)}
-
-
-def test_ratio_bound_never_changes_the_verdict():
-    rng = random.Random(4)
-    for _ in range(300):
-        a = "".join(rng.choice("abcde ") for _ in range(rng.randint(0, 300)))
-        b = "".join(c for c in a if rng.random() > 0.12)
-        assert dedup.ratio_reaches(a, b, 0.85) == (SequenceMatcher(None, a, b).ratio() >= 0.85)
-
-
 def test_exact_keeps_the_first_and_is_idempotent(spark):
     rows = [(3, "x", None), (1, "y", None), (2, "x", None), (4, "z", "h"), (5, "other", "h"), (6, "", "")]
     docs = spark.createDataFrame(rows, "doc_id long, content string, content_hash string")

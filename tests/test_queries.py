@@ -8,7 +8,7 @@ import __spark_entry__ as entry
 from tools.check_queries import TABLES, check
 
 # Compared in every test run; tools/check_queries.py covers all of them.
-SLOW = {"near_dup_sequence", "process_fuzzy", "near_dup_drop", "crawl_frontier"}
+SLOW = {"process_fuzzy", "near_dup_drop", "crawl_frontier"}
 
 
 @pytest.fixture(scope="module")
