@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import minhash, mixing, packing, pii, toxicity
-from corpusloom.llm.common import stored, table
+from corpusloom.llm.common import anti, stored, table
 from corpusloom.llm.queries import vocabulary
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -24,8 +24,9 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the least id, of each group of near duplicates."""
-    dropped = minhash.near_duplicates(docs, words=5, percent=80).filter("not kept")
-    return docs.join(dropped.select("doc_id"), "doc_id", "left_anti").select(*COLUMNS)
+    near = minhash.near_duplicates(docs, words=5, percent=80)
+    dropped = stored(near.filter("not kept").select("doc_id"), "dropped")
+    return anti(docs.select(*COLUMNS), "doc_id", dropped)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,10 +38,11 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample whose sources, languages and topics meet their target weights."""
-    left_out = mixing.mix(docs).filter("not kept").select("doc_id")
-    # Null ids are drawn too, but equal nothing in a join.
-    known = docs.join(left_out, F.equal_null(docs["doc_id"], left_out["doc_id"]), "left_anti")
-    return known.select(*COLUMNS)
+    left_out = stored(mixing.mix(docs).filter("not kept").select("doc_id").distinct(), "left_out")
+    chosen = anti(docs.select(*COLUMNS), "doc_id", left_out)
+    # Null ids are drawn together, but equal nothing in a join.
+    nulls = left_out.filter("doc_id is null").limit(1).count()
+    return chosen.filter("doc_id is not null") if nulls else chosen
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

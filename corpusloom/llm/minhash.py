@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import matches_needed, stored
+from corpusloom.llm.common import matches_needed, semi, stored
 from corpusloom.llm.components import components
 from corpusloom.llm.shingles import WordHashes, digest, shingle_set
 
@@ -131,7 +131,7 @@ class Confirm:
 
     def shingles(self, keys: DataFrame) -> DataFrame:
         """(key, shingles) of the given keys; several rows of one id give several sets."""
-        texts = self.docs.join(keys, "key", "left_semi").select("key", "text")
+        texts = semi(self.docs, "key", keys).select("key", "text")
         return texts.mapInArrow(sets_of(self.words), "key long, shingles array<long>")
 
     def by_signature(self, pairs: DataFrame) -> DataFrame:
@@ -141,7 +141,8 @@ class Confirm:
 
     def by_sets(self, pairs: DataFrame) -> DataFrame:
         near = stored(pairs, "near")
-        sets = self.shingles(near.select(F.col("a").alias("key")).union(near.select("b")).distinct())
+        keys = stored(near.select(F.col("a").alias("key")).union(near.select("b")).distinct(), "keys")
+        sets = self.shingles(keys)
         full = self.both(near, sets, "shingles")
         shared = F.size(F.array_intersect("of_a", "of_b"))
         union = F.size("of_a") + F.size("of_b") - shared
