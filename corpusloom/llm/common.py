@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from corpusloom.session import run_dir
 
 # A word is a run of anything but ASCII white space.
-BLANKS = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
 

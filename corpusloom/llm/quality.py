@@ -14,16 +14,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.hold import hold
-from corpusloom.llm.common import BLANKS, WORD, stored
+from corpusloom.llm.common import WORD, stored
 
-SYMBOLS = "#*$%&|<>"
-# The classes a character falls into; what is in none of them is "rest".
+SYMBOLS = r"[#*$%&|<>]"
+# The classes a character falls into; other characters of words are "lower".
 CLASSES = {
-    "lower": "abcdefghijklmnopqrstuvwxyz",
-    "upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
-    "digit": "0123456789",
-    "stop": ".,;:!?'\"-()",
-    "symbol": SYMBOLS + "=+/\\@^_`{}[]~",
+    "upper": r"[A-Z]",
+    "digit": r"[0-9]",
+    "stop": r"[.,;:!?'\"()-]",
+    "symbol": r"[#*$%&|<>=+/\\@^_`{}\[\]~]",
+    "beyond": r"[^\x20-\x7E\x09-\x0D]",
 }
 NONE = "(none)"
 
@@ -39,8 +39,8 @@ class Divergence:
     max_words_distance: float = 0.42
 
 
-def without(text: Column, chars: str) -> Column:
-    return F.length(F.translate(text, chars, ""))
+def count_of(text: Column, pattern: str) -> Column:
+    return F.regexp_count(text, F.lit(pattern)).cast("long")
 
 
 def with_repeats(rows: DataFrame, words: str, name: str) -> DataFrame:
@@ -50,17 +50,15 @@ def with_repeats(rows: DataFrame, words: str, name: str) -> DataFrame:
     are neighbours. Only texts with equal hashes are sorted.
     """
     w = F.col(words)
-    window = F.transform(
+    hashes = F.transform(
         F.when(F.size(w) >= 3, F.sequence(F.lit(0), F.size(w) - 3)).otherwise(F.array().cast("array<int>")),
-        lambda i: F.struct(
-            F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.alias("i")
-        ),
+        lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)),
     )
-    rows = hold(rows, "_windows", window)
-    hashes = F.transform("_windows", lambda x: x["h"])
-    repeated = F.size(F.array_distinct(hashes)) < F.size("_windows")
+    rows = hold(rows, "_windows", hashes)
+    repeated = F.size(F.array_distinct("_windows")) < F.size("_windows")
+    placed = F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
     none = F.array().cast("array<struct<h:bigint,i:int>>")
-    rows = hold(rows, "_windows", F.when(repeated, F.sort_array("_windows")).otherwise(none))
+    rows = hold(rows, "_windows", F.when(repeated, F.sort_array(placed)).otherwise(none))
     keyed = F.col("_windows")
     marked = F.filter(
         keyed,
@@ -88,17 +86,17 @@ def measured(rows: DataFrame, common: DataFrame) -> DataFrame:
     """(key, lang), the base counts, and the two histograms as arrays of counts."""
     text = F.col("text")
     rows = hold(rows.join(common, "lang", "left"), "words", F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
-    lines = F.filter(F.split(text, "\n"), lambda x: without(x, BLANKS) > 0)
+    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     rows = rows.withColumns(
         {
             "n_words": F.size("words").cast("long"),
-            "word_chars": without(text, BLANKS).cast("long"),
-            "n_symbols": (F.length(text) - without(text, SYMBOLS)).cast("long"),
+            "word_chars": F.length(F.array_join("words", "")).cast("long"),
+            "n_symbols": count_of(text, SYMBOLS),
         }
     )
     rows = hold(rows, "lines", lines)
     rows = rows.withColumn("n_dup_lines", (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"))
-    sizes = [(F.length(text) - without(text, c)).cast("long") for c in CLASSES.values()]
+    sizes = [count_of(text, c) for c in CLASSES.values()]
     known = F.coalesce("common", F.array().cast("array<string>"))
     rows = hold(rows.drop("lines"), "hits", F.filter("words", lambda w: F.array_contains(known, w)))
     counts = F.transform(known, lambda c: F.size(F.filter("hits", lambda w: w == c)).cast("long"))
@@ -107,7 +105,7 @@ def measured(rows: DataFrame, common: DataFrame) -> DataFrame:
     rest = F.col("word_chars") - F.aggregate("chars", F.lit(0).cast("long"), lambda a, b: a + b)
     return rows.select(
         "key", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        F.concat("chars", F.array(rest)).alias("chars"),
+        F.concat(F.array(rest), F.col("chars")).alias("chars"),
         F.concat(counts, F.array(F.col("n_words") - F.size("hits"))).alias("common"),
     )
 
