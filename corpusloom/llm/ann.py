@@ -81,7 +81,9 @@ class Block:
     def search(self, query_id: int, query: np.ndarray, top: int, unit: float) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the best candidates, ties to smaller ids."""
         wanted = int(self.how.share * len(self.ids)) + top + 1
-        found = self.candidates(query @ self.axes[:-1], unit, wanted)
+        # A query's length changes no order; at the vectors' length it meets them best.
+        length = np.sqrt(query @ query)
+        found = self.candidates(query @ self.axes[:-1] * (unit / length), unit, wanted)
         found = found[self.ids[found] != query_id]
         scores = self.vectors[found] @ query
         best = np.lexsort((self.ids[found], -scores))[:top]
