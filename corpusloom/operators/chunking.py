@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.config import Chunking
 from corpusloom.functions import text as tx
+from corpusloom.functions.hold import hold
 
 
 def chunk(
@@ -50,15 +51,19 @@ def chunk(
     )
 
 
-def chunk_summary(docs: DataFrame, chunks: DataFrame) -> DataFrame:
-    """Chunk and item totals and the mean chunk length (0 without chunks)."""
-    stacked = chunks.select(
-        F.lit(0).alias("item"), F.lit(1).alias("chunk"), F.length("content").alias("chars")
-    ).unionAll(docs.select(F.lit(1), F.lit(0), F.lit(0)))
-    return stacked.agg(
-        F.coalesce(F.sum("chunk"), F.lit(0)).alias("total_chunks"),
-        F.coalesce(F.sum("item"), F.lit(0)).alias("total_items_processed"),
-        F.coalesce(F.try_divide(F.sum("chars"), F.sum("chunk")), F.lit(0.0)).alias(
+def chunk_summary(
+    docs: DataFrame, rules: Chunking = Chunking(), content: str = "content"
+) -> DataFrame:
+    """Chunk and item totals and the mean chunk length (0 without chunks), in one pass."""
+    body = F.col(content)
+    made = F.when(F.length(body) >= rules.min_text_length, tx.windows(body, rules.max_size, rules.overlap))
+    sizes = F.transform(F.coalesce(made, F.array().cast("array<string>")), lambda c: F.length(c))
+    held = hold(docs.select(content), "_sizes", sizes)
+    chars = F.aggregate("_sizes", F.lit(0).cast("long"), lambda a, n: a + n)
+    return held.select(F.size("_sizes").alias("chunks"), chars.alias("chars")).agg(
+        F.coalesce(F.sum("chunks"), F.lit(0)).alias("total_chunks"),
+        F.count(F.lit(1)).alias("total_items_processed"),
+        F.coalesce(F.try_divide(F.sum("chars"), F.sum("chunks")), F.lit(0.0)).alias(
             "avg_chunk_size"
         ),
     )

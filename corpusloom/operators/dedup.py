@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from corpusloom.config import Deduplication
 from corpusloom.functions import text as tx
 from corpusloom.operators.skew import hot_keys, join_split, key_counts
-from corpusloom.session import cut
+from corpusloom.session import cut, stored
 
 # Reduces (order, pilot) pairs to similar ones, given the pilots to split.
 Similar = Callable[[DataFrame, DataFrame | None], DataFrame]
@@ -31,6 +31,14 @@ PILOT_GROWTH = 8
 MIN_CROWD = 100_000
 
 
+def digest_of(content: str = "content", content_hash: str | None = None) -> Column:
+    """The given hash where there is one, else the content's MD5."""
+    digest = F.md5(F.col(content))
+    if content_hash:
+        digest = F.coalesce(F.nullif(F.col(content_hash), F.lit("")), digest)
+    return digest
+
+
 def first_copies(
     docs: DataFrame, order: str, content: str = "content", content_hash: str | None = None
 ) -> DataFrame:
@@ -39,11 +47,8 @@ def first_copies(
     Only hash and order are aggregated, with map-side combining, so a content
     repeated a billion times moves one row per task.
     """
-    digest = F.md5(F.col(content))
-    if content_hash:
-        digest = F.coalesce(F.nullif(F.col(content_hash), F.lit("")), digest)
     return (
-        docs.select(digest.alias("digest"), F.col(order))
+        docs.select(digest_of(content, content_hash).alias("digest"), F.col(order))
         .groupBy("digest")
         .agg(F.min(order).alias(order), F.count(F.lit(1)).alias("copies"))
         .select(order, "copies")
@@ -53,9 +58,17 @@ def first_copies(
 def exact_dedup(
     docs: DataFrame, order: str, content: str = "content", content_hash: str | None = None
 ) -> DataFrame:
-    """Keep the first row per content; ``order`` is a unique, sortable column."""
-    keepers = first_copies(docs, order, content, content_hash).select(order)
-    return docs.join(keepers, order, "left_semi")
+    """Keep the first row per content; ``order`` is a unique, sortable column.
+
+    The rows are stored with their digest first, so whatever made them runs once.
+    Digests and ids decide alone; the few dropped ids then meet the rows.
+    """
+    columns = docs.columns
+    held = stored(docs.withColumn("_digest", digest_of(content, content_hash)), "hashed")
+    first = held.groupBy("_digest").agg(F.min(order).alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    repeated = first.filter("_rows > 1")
+    later = held.select(order, "_digest").join(repeated, "_digest").filter(F.col(order) > F.col("_first"))
+    return held.join(later.select(order), order, "left_anti").select(*columns)
 
 
 def lookup_keys(sets: DataFrame, order: str, bar: float) -> DataFrame:

@@ -45,12 +45,18 @@ def last_wins(entries: Column) -> Column:
     """Map of (key, value) structs in which a later key replaces an earlier one."""
 
     def build(rows: Column) -> Column:
-        keys = F.transform(rows, lambda e: e["key"])
-        final = F.filter(
-            rows,
-            lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), e["key"]),
+        placed = F.transform(
+            rows, lambda e, i: F.struct(e["key"].alias("key"), i.alias("i"), e["value"].alias("value"))
         )
-        return F.map_from_entries(final)
+
+        def final(ordered: Column) -> Column:
+            last = F.filter(
+                ordered,
+                lambda e, i: F.coalesce(F.get(ordered, i + 1)["key"] != e["key"], F.lit(True)),
+            )
+            return F.map_from_entries(F.transform(last, lambda e: F.struct(e["key"], e["value"])))
+
+        return tx.let(F.sort_array(placed), final)
 
     return tx.let(entries, build)
 
@@ -157,13 +163,19 @@ def page_records(
     rules: Collection = Collection(),
     keep: tuple[str, ...] = (),
     collected_at: Column | None = None,
+    failures: bool = False,
     **parsing: bool,
 ) -> DataFrame:
-    """One record per page with valid content."""
+    """One record per page with valid content.
+
+    With ``failures`` a page that cannot be parsed is a row too, with its ``error``.
+    """
     rows = parsed(fetched(pages, rules), **parsing)
+    failed = F.col("page.error")
     content = F.col("content")
     paragraphs = F.regexp_count(F.col("page.main_text"), F.lit("\n\n")) + 1
-    return rows.filter(content_valid(content, rules)).select(
+    wanted = content_valid(content, rules)
+    return rows.filter(wanted | failed.isNotNull() if failures else wanted).select(
         *keep,
         "url",
         F.col("page.title").alias("title"),
@@ -173,6 +185,7 @@ def page_records(
         page_metadata(pages).alias("metadata"),
         F.lit("web").alias("source_type"),
         *([] if collected_at is None else [collected_at.alias("collected_at")]),
+        *([failed.alias("error")] if failures else []),
         F.struct(
             F.length(content).alias("char_count"),
             tx.word_count(content, collapsed=True).alias("word_count"),

@@ -33,6 +33,23 @@ def content_valid(content: Column, rules: Collection = Collection()) -> Column:
     )
 
 
+def filter_counts(
+    docs: DataFrame,
+    rules: Quality = Quality(),
+    by: str = "source_type",
+    content: str = "content",
+    collapsed: bool = False,
+) -> DataFrame:
+    """What the quality filter takes in, lets out and removes per group, in one pass."""
+    scored = with_quality(docs.select(by, content), rules, content, collapsed)
+    passed = F.count_if(F.col("quality_score") >= F.lit(rules.min_score))
+    return scored.groupBy(by).agg(
+        F.count(F.lit(1)).alias("items_in"),
+        passed.alias("items_out"),
+        (F.count(F.lit(1)) - passed).alias("removed"),
+    )
+
+
 def in_out_counts(before: DataFrame, after: DataFrame, by: str = "source_type") -> DataFrame:
     """Rows per group before and after a step, and how many it removed."""
     stacked = before.select(F.col(by), F.lit(1).alias("b"), F.lit(0).alias("a")).unionByName(

@@ -98,7 +98,7 @@ def quality_filter(spark, folder):
 def quality_counts(spark, folder):
     docs = cleaning.clean(by_source(spark, folder))
     rules = Quality(filters=("language_detection", "content_relevance"))
-    return quality.in_out_counts(docs, quality.quality_filter(docs, rules, collapsed=True))
+    return quality.filter_counts(docs, rules, collapsed=True)
 
 
 @query(f"WITH {CLEANED} SELECT doc_id, content FROM cleaned WHERE lang = 'en'")
@@ -134,8 +134,7 @@ def generator_chunks(spark, folder):
     " (SELECT sum(length(content))::DOUBLE / count(*) FROM chunks) AS avg_chunk_size"
 )
 def chunk_summary(spark, folder):
-    docs = cleaned(spark, folder)
-    return chunking.chunk_summary(docs, chunking.chunk(docs))
+    return chunking.chunk_summary(cleaned(spark, folder))
 
 
 @query(

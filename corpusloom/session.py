@@ -58,6 +58,13 @@ def run_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def stored(frame: DataFrame, label: str) -> DataFrame:
+    """Write ``frame`` as Parquet in the shared folder and read it back."""
+    path = run_dir(frame.sparkSession, label)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def cut(frame: DataFrame) -> DataFrame:
     """Materialise ``frame`` in the shared folder and forget how it was made."""
     shared_dir(frame.sparkSession)

@@ -17,9 +17,9 @@ def test_chunk_table_and_summary(spark):
     assert [r["chunk_index"] for r in rows] == list(range(len(rows)))
     assert all(r["total_chunks"] == len(rows) and r["char_count"] == len(r["content"]) for r in rows)
     assert rows[0]["chunk_id"].startswith("web_") and rows[0]["chunk_id"].endswith("_0")
-    total = chunk_summary(frame, chunk(frame, Chunking(100, 10))).first()
+    total = chunk_summary(frame, Chunking(100, 10)).first()
     assert (total["total_chunks"], total["total_items_processed"]) == (len(rows), 3)
-    none = chunk_summary(frame, chunk(frame).limit(0)).first()
+    none = chunk_summary(frame.limit(0)).first()
     assert (none["total_chunks"], none["avg_chunk_size"]) == (0, 0.0)
 
 
