@@ -10,6 +10,7 @@ from corpusloom.llm import (
     hilbert,
     minhash,
     mixing,
+    oracles,  # noqa: F401 - adds its SQL
     packing,
     pii,
     quality,
