@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -19,6 +18,7 @@ Generator = Callable[[str, int], list[tuple[str, str]]]
 PLAIN_LABELS = (("system", "System: "), ("user", "User: "), ("assistant", "Assistant: "))
 TEMPLATE_ROLES = ("system", "user", "assistant")
 DEFAULT_TEMPLATE = "<|{role}|>\n{content}\n"
+ROWS_AT_ONCE = 1000
 SYSTEM_PROMPT = "You are a helpful assistant."
 
 
@@ -27,26 +27,36 @@ def first_chunks(chunks: DataFrame, max_chunks: int | None) -> DataFrame:
     return chunks if not max_chunks else chunks.filter(F.col("chunk_index") < max_chunks)
 
 
-def extract_pairs(text: str, count: int) -> list[tuple[str, str]]:
-    """A generator without a model: each sentence answers a question on its opening words."""
-    sentences = [s.strip() for s in re.split(r"(?<=[.!?])\s+", text) if s.strip()]
-    return [
-        (f"What does the text say about {' '.join(s.split()[:3]).rstrip('.!?,')}?", s)
-        for s in sentences[:count]
-    ]
+def extracted_pairs(content: Column, count: int) -> Column:
+    """Pairs without a model: each sentence answers a question on its opening words."""
+    parts = F.transform(F.split(content, r"(?<=[.!?])\s+"), tx.strip)
+    sentences = F.slice(F.filter(parts, lambda s: s != ""), 1, count)
+
+    def pair(sentence: Column, position: Column) -> Column:
+        opening = F.array_join(F.slice(tx.words(sentence), 1, 3), " ")
+        topic = F.regexp_replace(opening, "[.!?,]+$", "")
+        question = F.concat(F.lit("What does the text say about "), topic, F.lit("?"))
+        return F.struct(position.alias("pair_index"), question.alias("question"), sentence.alias("answer"))
+
+    return F.transform(sentences, pair)
 
 
 def generate_pairs(
     chunks: DataFrame,
-    make_generator: Callable[[], Generator] = lambda: extract_pairs,
+    make_generator: Callable[[], Generator] | None = None,
     num_pairs: int = 25,
     max_chunks: int | None = None,
 ) -> DataFrame:
     """(chunk_id, pair_index, question, answer, error), up to ``num_pairs`` per chunk.
 
-    ``make_generator`` runs once per task, to load a model there. A chunk whose
-    generation fails gives one row with its error and no pair.
+    ``make_generator`` runs once per task, to load a model there; without one the
+    sentences themselves are the answers. A chunk whose generation fails gives
+    one row with its error and no pair.
     """
+    chosen = first_chunks(chunks, max_chunks).select("chunk_id", "content")
+    if make_generator is None:
+        made = chosen.select("chunk_id", F.explode(extracted_pairs(F.col("content"), num_pairs)).alias("p"))
+        return made.select("chunk_id", "p.*", F.lit(None).cast("string").alias("error"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         generator = make_generator()
@@ -58,14 +68,21 @@ def generate_pairs(
                     rows += [(chunk_id, i, q, a, None) for i, (q, a) in enumerate(made)]
                 except Exception as problem:  # noqa: BLE001 - any failure becomes a row
                     rows.append((chunk_id, None, None, None, str(problem)))
-            columns = ["chunk_id", "pair_index", "question", "answer", "error"]
-            yield pd.DataFrame(rows, columns=columns).astype({"pair_index": "Int32"})
+                if len(rows) >= ROWS_AT_ONCE:
+                    yield pair_frame(rows)
+                    rows = []
+            yield pair_frame(rows)
 
-    return first_chunks(chunks, max_chunks).select("chunk_id", "content").mapInPandas(
+    return chosen.mapInPandas(
         run, "chunk_id string, pair_index int, question string, answer string, error string"
     )
 
 
+def pair_frame(rows: list[tuple]) -> pd.DataFrame:
+    columns = ["chunk_id", "pair_index", "question", "answer", "error"]
+    return pd.DataFrame(rows, columns=columns).astype({"pair_index": "Int32"})
+
+
 def message(role: str, content: Column) -> Column:
     return F.struct(F.lit(role).alias("role"), content.alias("content"))
 
