@@ -5,6 +5,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from corpusloom.plans import catalog
 from tools.check_queries import TABLES, check
 
 # Compared in every test run; tools/check_queries.py covers all of them.
@@ -19,7 +20,7 @@ def con(folder):
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - SLOW))
 def test_query_equals_sql(spark, con, folder, name):
     good, note = check(spark, con, folder, name)
     assert good, note
