@@ -195,12 +195,11 @@ def train(docs: DataFrame, labels: DataFrame, how: Training = Training()) -> Mod
     rows = pos.select("text", F.lit(True).alias("positive")).union(
         unl.select("text", F.lit(False).alias("positive"))
     )
-    found = rows.mapInPandas(packed, "positive boolean, found binary").toPandas()
-    sets = [np.frombuffer(b, np.int32) for b in found["found"]]
+    found = rows.mapInPandas(packed, "positive boolean, found binary").collect()
     split: dict[bool, list[np.ndarray]] = {True: [], False: []}
     # Batches arrive in any order; the fit must not depend on it.
-    for flag, values in sorted(zip(found["positive"], sets), key=lambda p: (p[0], p[1].tobytes())):
-        split[bool(flag)].append(values)
+    for flag, values in sorted((r["positive"], bytes(r["found"])) for r in found):
+        split[flag].append(np.frombuffer(values, np.int32))
     return fit(split[True], split[False], toxic / total, how)
 
 
