@@ -66,16 +66,18 @@ def benchmark_items(spark, folder):
 @query(
     "SELECT b.item_id AS id, 'm' AS model, coalesce(c.text, '') AS prediction, b.text AS reference,"
     " CASE WHEN c.text IS NULL THEN 0.0 ELSE length(c.text) / 1000 END AS seconds"
-    " FROM benchmark b LEFT JOIN conversations c ON c.conv_id = b.item_id AND c.turn = 1 AND c.role = 'assistant'"
+    " FROM benchmark b LEFT JOIN (SELECT conv_id, string_agg(text, ' ' ORDER BY turn, text) AS text FROM conversations"
+    " WHERE role = 'assistant' GROUP BY conv_id) c ON c.conv_id = b.item_id"
 )
 def prediction_pairs(spark, folder):
     items = table(spark, folder, "benchmark").select(
         F.col("item_id").alias("id"), F.col("text").alias("reference_answer")
     )
-    made = table(spark, folder, "conversations").filter("turn = 1 and role = 'assistant'").select(
-        F.col("conv_id").alias("id"), F.lit("m").alias("model"), F.col("text").alias("prediction"),
-        (F.length("text") / 1000).alias("seconds"),
-    )
+    answers = table(spark, folder, "conversations").filter("role = 'assistant'").groupBy("conv_id")
+    said = answers.agg(F.sort_array(F.collect_list(F.struct("turn", "text"))).alias("said"))
+    whole = F.array_join(F.transform("said", lambda s: s["text"]), " ")
+    made = said.select(F.col("conv_id").alias("id"), F.lit("m").alias("model"), whole.alias("prediction"))
+    made = made.withColumn("seconds", F.length("prediction") / 1000)
     return ev.pair_predictions(items, made, "m")
 
 
