@@ -24,7 +24,13 @@ def fetched(pages: DataFrame, rules: Collection = Collection()) -> DataFrame:
 def parsed(
     pages: DataFrame, after_cleanup: bool = False, whole_class: bool = False
 ) -> DataFrame:
-    """Adds ``page``, the parts of each page, and ``content``, its tidied main text."""
+    """Adds ``page``, the parts of each page, and ``content``, its tidied main text.
+
+    Pages that have both stay as they are: store what this returns to parse once
+    for several uses.
+    """
+    if {"page", "content"} <= set(pages.columns):
+        return pages
     parts = pages.withColumn(
         "page", page_parts(F.col("html"), F.col("url"), after_cleanup, whole_class)
     )
@@ -199,7 +205,10 @@ def internal_links(
 ) -> DataFrame:
     """(src, dst, position): distinct links to the page's own host, in document order."""
     host = netloc(F.col("url"))
-    rows = pages.withColumn("page", page_parts(F.col("html"), F.col("url"), after_cleanup))
+    if "page" in pages.columns:
+        rows = pages
+    else:
+        rows = pages.withColumn("page", page_parts(F.col("html"), F.col("url"), after_cleanup))
     inside = F.filter(
         "page.links", lambda link: (netloc(link) == host) & url_allowed(link, rules)
     )
