@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import minhash, mixing, packing, pii, toxicity
-from corpusloom.llm.common import anti, stored, table
+from corpusloom.llm.common import anti, small_batches, stored, table
 from corpusloom.llm.queries import vocabulary
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -18,12 +18,14 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier accepts."""
+    small_batches(spark)
     scored = toxicity.toxicity(docs, table(spark, sf_dir, "labels"))
     return scored.filter("predicted = 0").select(*COLUMNS)
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the least id, of each group of near duplicates."""
+    small_batches(spark)
     near = minhash.near_duplicates(docs, words=5, percent=80)
     dropped = stored(near.filter("not kept").select("doc_id"), "dropped")
     return anti(docs.select(*COLUMNS), "doc_id", dropped)
@@ -31,6 +33,7 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data replaced by its kind; no document goes."""
+    small_batches(spark)
     clean = pii.redact(docs)
     length = F.when(F.col("text").isNotNull(), F.length("text")).cast("long")
     return clean.withColumn("n_chars", length).select(*COLUMNS)
@@ -38,6 +41,7 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample whose sources, languages and topics meet their target weights."""
+    small_batches(spark)
     left_out = stored(mixing.mix(docs).filter("not kept").select("doc_id").distinct(), "left_out")
     chosen = anti(docs.select(*COLUMNS), "doc_id", left_out)
     # Null ids are drawn together, but equal nothing in a join.
@@ -47,6 +51,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 1024 tokens and their places in sequences."""
+    small_batches(spark)
     return packing.packed_documents(docs, vocabulary())
 
 

@@ -13,7 +13,17 @@ from corpusloom.session import run_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+# Rows that reach a Python worker at once; documents are long, and workers share memory.
+ROWS_PER_BATCH = 500
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let Arrow batches hold few rows, whatever their texts' length."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.common import stored
 
-CACHED_CHUNKS = 200_000
+CACHED_CHUNKS = 150_000
 CLOSING = ",.;:!?"
 # Rows that share a length and a bucket are ranked in one task.
 RANKED_TOGETHER = 100_000

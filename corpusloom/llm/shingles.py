@@ -11,7 +11,7 @@ MIX_A = np.uint64(0xFF51AFD7ED558CCD)
 MIX_B = np.uint64(0xC4CEB9FE1A85EC53)
 SHIFT = np.uint64(33)
 STEP = 0x9E3779B97F4A7C15
-CACHED_WORDS = 300_000
+CACHED_WORDS = 150_000
 
 
 class WordHashes(dict):

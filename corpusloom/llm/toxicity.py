@@ -28,7 +28,7 @@ from corpusloom.llm.common import fold_remainder
 
 BITS = 20
 PREFIXES = (3, 4, 5, 6)
-CACHED_WORDS = 300_000
+CACHED_WORDS = 100_000
 HELD_OUT = 2
 
 
