@@ -248,13 +248,14 @@ def per_text(make: Callable[[str, dict[str, list[Span]]], tuple], schema: str):
     """A vectorised function of a text column, one struct per text."""
 
     @F.pandas_udf(schema)
-    def run(texts: pd.Series) -> pd.DataFrame:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         anchors = automaton()
-        rows = []
-        for text in texts:
-            plain = text if isinstance(text, str) else ""
-            rows.append(make(plain, find(plain, anchors)))
-        return pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
+        for texts in batches:
+            rows = []
+            for text in texts:
+                plain = text if isinstance(text, str) else ""
+                rows.append(make(plain, find(plain, anchors)))
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
 
     return run
 

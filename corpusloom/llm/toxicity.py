@@ -207,9 +207,10 @@ def scored(docs: DataFrame, model: Model, text: str = "text", name: str = "score
     """``docs`` with a score from 0 to 1; null and empty texts score as no words at all."""
 
     @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         cache = WordFeatures()
-        return pd.Series([model.score(features(t, cache)) for t in texts], dtype="float64")
+        for texts in batches:
+            yield pd.Series([model.score(features(t, cache)) for t in texts], dtype="float64")
 
     return docs.withColumn(name, score(F.col(text)))
 
