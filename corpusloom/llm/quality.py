@@ -46,8 +46,9 @@ def count_of(text: Column, pattern: str) -> Column:
 def with_repeats(rows: DataFrame, words: str, name: str) -> DataFrame:
     """Words inside three-word windows that a text has twice or more.
 
-    Windows are compared by 64-bit hashes; sorted with their places, equal ones
-    are neighbours. Only texts with equal hashes are sorted.
+    ``words`` holds a hash per word. Windows are compared by 64-bit hashes of these;
+    sorted with their places, equal ones are neighbours. Only texts with equal
+    hashes are sorted.
     """
     w = F.col(words)
     hashes = F.transform(
@@ -85,7 +86,9 @@ def common_words(rows: DataFrame, how: Divergence) -> DataFrame:
 def measured(rows: DataFrame, common: DataFrame) -> DataFrame:
     """(key, lang), the base counts, and the two histograms as arrays of counts."""
     text = F.col("text")
-    rows = hold(rows.join(common, "lang", "left"), "words", F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
+    known = F.transform(F.coalesce("common", F.array().cast("array<string>")), lambda w: F.xxhash64(w))
+    rows = hold(rows.join(common, "lang", "left"), "known", known).drop("common")
+    rows = hold(rows, "words", F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     rows = rows.withColumns(
         {
@@ -97,9 +100,10 @@ def measured(rows: DataFrame, common: DataFrame) -> DataFrame:
     rows = hold(rows, "lines", lines)
     rows = rows.withColumn("n_dup_lines", (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"))
     sizes = [count_of(text, c) for c in CLASSES.values()]
-    known = F.coalesce("common", F.array().cast("array<string>"))
-    rows = hold(rows.drop("lines"), "hits", F.filter("words", lambda w: F.array_contains(known, w)))
-    counts = F.transform(known, lambda c: F.size(F.filter("hits", lambda w: w == c)).cast("long"))
+    # From here on words are 64-bit hashes, which compare without touching strings.
+    rows = hold(rows.drop("lines"), "words", F.transform("words", lambda w: F.xxhash64(w)))
+    rows = hold(rows, "hits", F.filter("words", lambda w: F.array_contains("known", w)))
+    counts = F.transform("known", lambda c: F.size(F.filter("hits", lambda w: w == c)).cast("long"))
     rows = with_repeats(rows, "words", "n_repeat_words")
     rows = hold(rows, "chars", F.array(*sizes))
     rest = F.col("word_chars") - F.aggregate("chars", F.lit(0).cast("long"), lambda a, b: a + b)
