@@ -157,6 +157,37 @@ def test_passages_are_found_and_clean_documents_left_alone(spark):
     assert fuzz["start"] <= 2 and 86 <= fuzz["stop"] <= 92 and 0.85 < fuzz["identity"] < 1
 
 
+def test_no_repeated_run_is_left_out(spark):
+    rng = random.Random(12)
+    vocabulary = [f"w{i}" for i in range(3000)]
+
+    def prose(n):
+        return rng.choices(vocabulary, k=n)
+
+    passages = [prose(n) for n in (50, 55, 70, 120)]
+    docs = []
+    for p in passages:  # pieces of each passage stand in earlier documents, and before it in its own first one
+        docs += [prose(40) + p[i : i + 14] + prose(40) for i in range(0, len(p) - 8, 7)]
+    for p in passages:
+        docs.append(prose(20) + p[5:25] + prose(30) + p[30:48] + prose(20) + p + prose(30))
+    docs += [prose(33) + p + prose(25) for p in passages + passages[2:]]
+    docs += [prose(10) + ["la"] * 70, ["la"] * 90 + prose(9), ["da", "di"] * 40, prose(5) + ["di", "da"] * 45]
+    docs.append(prose(50) + passages[0][:45] + prose(20) + passages[2][10:60])
+    got = substring.repeated_passages(spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(docs)], DOCS)).collect()
+    held = {}
+    for r in got:
+        held.setdefault(r["doc_id"], []).append((r["start"], r["stop"]))
+        assert r["identity"] >= 0.8 and r["stop"] - r["start"] >= 50
+    seen, repeated, missed = {}, 0, []
+    for i, d in enumerate(docs):
+        for s in range(len(d) - 49):
+            if seen.setdefault(tuple(d[s : s + 50]), i) < i:
+                repeated += 1
+                if not any(a <= s and s + 50 <= b for a, b in held.get(i, [])):
+                    missed.append((i, s))
+    assert repeated > 100 and not missed
+
+
 def test_chains_equal_quadratic_search():
     import numpy as np
 
