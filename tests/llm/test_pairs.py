@@ -188,6 +188,25 @@ def test_no_repeated_run_is_left_out(spark):
     assert repeated > 100 and not missed
 
 
+@pytest.mark.parametrize("kinds", ["x", "xid"])
+def test_passages_down_to_the_least_identity_are_found(spark, kinds):
+    """Exchanged (x), inserted and deleted (i, d) words in planted passages of 60 words."""
+    rng = random.Random(21)
+    vocabulary = [f"w{i}" for i in range(50_000)]
+    docs = []
+    for identity in (0.95, 0.9, 0.85, 0.82):
+        for n in range(25):
+            plain = rng.choices(vocabulary, k=60)
+            changed = list(plain)
+            for i in sorted(rng.sample(range(60), round(60 * (1 - identity))), reverse=True):
+                kind = rng.choice(kinds)
+                changed[i : i + 1] = {"x": [f"new{i}"], "i": [f"new{i}", changed[i]], "d": []}[kind]
+            docs += [rng.choices(vocabulary, k=80) + p + rng.choices(vocabulary, k=70) for p in (plain, changed)]
+    got = substring.repeated_passages(spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(docs)], DOCS)).collect()
+    assert {(r["doc_id"], r["other_id"]) for r in got} == {(i + 1, i) for i in range(0, len(docs), 2)}
+    assert all(r["identity"] >= 0.8 and r["n_words"] >= 50 for r in got)
+
+
 def test_chains_equal_quadratic_search():
     import numpy as np
 
