@@ -7,7 +7,8 @@ Text without anchors is never looked at again.
 
 Kinds, in the order used for ties: email, ip, card, phone (spans of one kind
 never overlap), then url (scheme to the end of the address) and secret (the
-value after a cue such as ``password=``, or an access key id).
+value after a cue such as ``password=`` or ``account no.``, or an access key id).
+Schemes and cues are met in upper and lower case.
 """
 
 from __future__ import annotations
@@ -27,10 +28,13 @@ LABEL = frozenset(LETTERS + DIGITS + "-")
 NUMERALS = frozenset(DIGITS)
 PHONE = frozenset(" ().-" + DIGITS)
 TOKEN = frozenset(LETTERS + DIGITS + "_-+/=.!@#$%^&*")
+ACCOUNT = frozenset(LETTERS[:26] + DIGITS + "-")
 URL_END = frozenset(" \t\n\x0b\x0c\r\"'<>`{}|\\^")
 TRAILING = ".,;:!?)]"
 SCHEMES = ("http://", "https://", "ftp://", "ssh://", "mailto:", "tel:")
 CUES = ("password", "passwd", "secret", "token", "api_key", "apikey", "access_key", "account")
+# Words that may stand between a cue and its value.
+FILLERS = ("number", "no.", "no", "num", "nr.", "nr", "id", "#")
 KEY_IDS = ("AKIA", "ASIA")
 KINDS = ("email", "ip", "card", "phone", "url", "secret")
 BASE_KINDS = KINDS[:4]
@@ -144,6 +148,42 @@ def url_at(text: str, start: int, after: int) -> Span | None:
     return (start, end) if end > after else None
 
 
+def lowered(text: str) -> str:
+    """``text`` with A-Z lower-cased and all others, and so all places, as they are."""
+    return text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
+
+
+def after_fillers(text: str, at: int) -> int:
+    """Past words such as ``number`` or ``no.`` that follow an account cue."""
+    while True:
+        next_at = at
+        while next_at < len(text) and text[next_at] in " \t_-":
+            next_at += 1
+        said = lowered(text[next_at : next_at + 8])
+        word = next((w for w in FILLERS if said.startswith(w)), None)
+        if word is None:
+            return at
+        end = next_at + len(word)
+        if word[-1] in LETTERS and end < len(text) and text[end] in LETTERS:
+            return at
+        at = end
+
+
+def account_after(text: str, at: int) -> Span | None:
+    """As ``secret_after``; behind a word such as ``number`` the sign can be left out."""
+    past = after_fillers(text, at)
+    signed = secret_after(text, past)
+    if signed or past == at:
+        return signed
+    while past < len(text) and text[past] in " \t\"'":
+        past += 1
+    end = run_right(text, past, ACCOUNT)
+    while end > past and text[end - 1] == "-":
+        end -= 1
+    whole = end == len(text) or text[end] not in LETTERS
+    return (past, end) if whole and end - past >= 8 and any(c in NUMERALS for c in text[past:end]) else None
+
+
 def secret_after(text: str, at: int) -> Span | None:
     """The value after a cue: a sign, optional quotes and blanks, 8 characters or more."""
     n = len(text)
@@ -176,7 +216,7 @@ def automaton():
         ("digit", DIGITS), ("at", "@"), ("plus", "+"), ("scheme", SCHEMES), ("cue", CUES), ("key", KEY_IDS),
     ):
         for word in words:
-            found.add_word(word, (kind, len(word)))
+            found.add_word(lowered(word), ("account" if word == "account" else kind, len(word)))
     found.make_automaton()
     return found
 
@@ -194,7 +234,7 @@ def find(text: str, anchors) -> dict[str, list[Span]]:
     """Spans by kind, in code points, end exclusive."""
     digits: list[int] = []
     out: dict[str, list[Span]] = {kind: [] for kind in KINDS}
-    for end, (kind, size) in anchors.iter(text):
+    for end, (kind, size) in anchors.iter(lowered(text)):
         start = end + 1 - size
         if kind == "digit":
             digits.append(start)
@@ -210,6 +250,9 @@ def find(text: str, anchors) -> dict[str, list[Span]]:
         elif kind == "cue":
             span = secret_after(text, end + 1)
             out["secret"] += [span] if span else []
+        elif kind == "account":
+            span = account_after(text, end + 1)
+            out["secret"] += [span] if span else []
         else:
             span = key_at(text, start)
             out["secret"] += [span] if span else []
