@@ -67,7 +67,10 @@ def exact_dedup(
     held = stored(docs.withColumn("_digest", digest_of(content, content_hash)), "hashed")
     first = held.groupBy("_digest").agg(F.min(order).alias("_first"), F.count(F.lit(1)).alias("_rows"))
     repeated = first.filter("_rows > 1")
-    later = held.select(order, "_digest").join(repeated, "_digest").filter(F.col(order) > F.col("_first"))
+    # Rows without content are copies of each other, as in ``first_copies``.
+    repeated = repeated.withColumnRenamed("_digest", "_of")
+    same = F.col("_digest").eqNullSafe(F.col("_of"))
+    later = held.select(order, "_digest").join(repeated, same).filter(F.col(order) > F.col("_first"))
     return held.join(later.select(order), order, "left_anti").select(*columns)
 
 

@@ -125,6 +125,14 @@ def test_exact_keeps_the_first_and_is_idempotent(spark):
     assert {r["doc_id"] for r in plain.collect()} == {1, 2, 4, 5, 6}
 
 
+def test_rows_without_content_are_copies_of_each_other(spark):
+    rows = [(4, None), (1, "x"), (2, None), (3, "x"), (5, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, content string")
+    assert {r["doc_id"] for r in dedup.exact_dedup(docs, "doc_id").collect()} == {1, 2}
+    copies = {r["doc_id"]: r["copies"] for r in dedup.first_copies(docs, "doc_id").collect()}
+    assert copies == {1: 2, 2: 3}
+
+
 def test_switch_and_source_types(spark):
     rows = [(1, "a b c d", "web"), (2, "a b c d", "pdf"), (3, "q r s t", "docx")]
     docs = spark.createDataFrame(rows, "doc_id long, content string, source_type string")
