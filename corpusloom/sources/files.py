@@ -87,7 +87,10 @@ def text_documents(spark: SparkSession, path: str) -> DataFrame:
 def html_documents(
     spark: SparkSession, path: str, rules: Collection | None = None
 ) -> DataFrame:
-    """Local HTML files of any size as page records; nothing was fetched, so response fields are null."""
+    """Local HTML files of any size as page records; nothing was fetched, so response fields are null.
+
+    A file that cannot be parsed is a row too, with its ``error``.
+    """
     rules = rules or Collection(
         min_content_length=0, max_content_length=ANY_LENGTH, min_alphabetic_words=0
     )
@@ -95,7 +98,7 @@ def html_documents(
     pages = files.select(
         F.col("path").alias("url"), F.make_valid_utf8(F.col("content").cast("string")).alias("html")
     )
-    return page_records(pages, rules).withColumnRenamed("url", "source_path").withColumn(
+    return page_records(pages, rules, failures=True).withColumnRenamed("url", "source_path").withColumn(
         "source_type", F.lit("html")
     )
 

@@ -42,6 +42,14 @@ def test_html_files(spark, tmp_path):
     assert row["metadata"]["response_status"] is None
 
 
+def test_html_files_that_fail_are_rows(spark, tmp_path):
+    write(tmp_path / "good.html", b"<title>T</title><article>A text.</article>")
+    write(tmp_path / "bad.html", b"<![foo[bar]]><article>A text.</article>")
+    rows = {r["source_path"].rsplit("/", 1)[1]: r for r in files.html_documents(spark, str(tmp_path)).collect()}
+    assert rows["good.html"]["error"] is None and rows["good.html"]["content"] == "A text."
+    assert rows["bad.html"]["error"] and rows["bad.html"]["content"] is None
+
+
 def test_csv(spark, tmp_path):
     write(tmp_path / "t.csv", "name,n\ncaf\xe9,1\nx,2\n".encode("latin-1"))
     rows = files.csv_rows(spark, str(tmp_path / "t.csv"))
