@@ -79,3 +79,41 @@ WITH d AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(lang, '(none)') A
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND NOT (coalesce(word_chars >= {HOW.min_chars} AND cd > {HOW.max_chars_distance}, false)
     OR coalesce(n_words >= {HOW.min_words} AND wd > {HOW.max_words_distance}, false)) AS kept FROM j"""
+
+LETTER_TERMS = rf"regexp_extract_all({LOWERED}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')"
+SHARE = "1 + (1000000000::HUGEINT * ({0} + 5)) // ({1} + 5 * v)"
+
+ORACLES["op12_divergence_audit"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {LETTER_TERMS} AS w FROM documents
+), t AS (SELECT r, lang, source, unnest(w) AS term FROM d
+), kept AS (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 30
+), v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang
+), g AS (SELECT DISTINCT lang, source FROM d
+), c AS (SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN kept USING (lang, term) GROUP BY ALL
+), totals AS (SELECT g.lang, g.source, coalesce(sum(n), 0) AS total FROM g LEFT JOIN c USING (lang, source) GROUP BY ALL
+), p AS (SELECT g.lang, g.source, kept.term, coalesce(n, 0) AS n, {SHARE.format('coalesce(n, 0)', 'total')} AS p
+  FROM g JOIN kept USING (lang) JOIN v USING (lang) JOIN totals USING (lang, source) LEFT JOIN c USING (lang, source, term)
+), q AS (SELECT lang, term, {SHARE.format('n', 'total')} AS q FROM (SELECT lang, term, sum(n) AS n FROM p GROUP BY ALL)
+  JOIN (SELECT lang, sum(total) AS total FROM totals GROUP BY lang) USING (lang) JOIN v USING (lang)
+), found AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(sum(abs(x.p - y.p)), 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source
+  LEFT JOIN p y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term GROUP BY ALL
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found)
+WHERE part = 'pair' OR rank <= 50"""
+
+WORD_TERMS = rf"regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+ORACLES["op13_best_position"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {WORD_TERMS} AS w FROM documents
+), s AS (SELECT count(*) AS n_docs, sum(len(w))::BIGINT AS n_words FROM d WHERE len(w) > 0
+), t AS (SELECT r, doc_id, term, count(*) AS tf, any_value(m) AS m FROM (
+    SELECT r, doc_id, 50 + (50 * len(w) * n_docs) // n_words AS m, unnest(w) AS term FROM d, s WHERE len(w) > 0) GROUP BY ALL
+), i AS (SELECT DISTINCT item_id, unnest({WORD_TERMS}) AS term FROM benchmark WHERE item_id IS NOT NULL
+), wt AS (SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1)))::BIGINT AS weight FROM t, s GROUP BY term
+), scored AS (SELECT item_id, doc_id, r, sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+  FROM i JOIN t USING (term) JOIN wt USING (term) WHERE doc_id IS NOT NULL GROUP BY ALL)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+WHERE rank <= 50"""

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from corpusloom.llm import (
     ann,
+    best_position,
     chat_tree,
+    divergence_audit,
     hilbert,
     minhash,
     mixing,
@@ -15,6 +17,7 @@ from corpusloom.llm import (
     pii,
     quality,
     substring,
+    token_counts,
     toxicity,
 )
 from corpusloom.llm.common import table
@@ -30,6 +33,10 @@ def vocabulary() -> packing.Vocabulary:
     return packing.Vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
 @query
 def op1_collinear_chaining(spark: SparkSession, folder: str) -> DataFrame:
     """Passages of 50 words or more that documents share with earlier ones."""
@@ -104,3 +111,23 @@ def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Components of documents whose sets of 3-word shingles reach Jaccard 0.85."""
     docs = table(spark, folder, "documents")
     return minhash.near_duplicates(docs, words=3, percent=85)
+
+
+@query
+def op11_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes and tokens of every document, by the 50k byte-level vocabulary's own library."""
+    import public_tokenizers
+
+    return token_counts.token_counts(read(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op12_divergence_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """How far the sources of a language lie apart, and the terms each source overuses."""
+    return divergence_audit.source_divergence(read(spark, folder, "documents"))
+
+
+@query
+def op13_best_position(spark: SparkSession, folder: str) -> DataFrame:
+    """The 50 documents that score highest for each benchmark item."""
+    return best_position.ranked(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
