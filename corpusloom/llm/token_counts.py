@@ -13,7 +13,8 @@ texts are encoded whole, slice by slice.
 from __future__ import annotations
 
 import json
-from collections import Counter
+import os
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -23,9 +24,12 @@ from pyspark.sql import functions as F
 
 # Bytes of text that are encoded together; an encoding takes many times its text's memory.
 SLICE_BYTES = 1 << 20
-CACHED_PARTS = 200_000
+CACHED_PARTS = 300_000
 # Longer parts are hardly ever met again.
 CACHED_LENGTH = 64
+CLOSING = ",.;:!?"
+# Letters up to here are letters in every version of Unicode.
+LAST_OLD_LETTER = "\u024f"
 
 
 def splits_at_blanks(settings: dict) -> bool:
@@ -40,31 +44,38 @@ def splits_at_blanks(settings: dict) -> bool:
     return bool(plain and closed and settings.get("normalizer") is None)
 
 
-def parts_of(text: str) -> Counter:
-    """How often each part of ``text`` occurs; parts start at a blank after a visible character."""
+# Here a blank follows white space, so that words must stay together.
+OPEN = re.compile(r"\s ")
+
+
+def parts_of(text: str) -> list[str]:
+    """The parts of ``text``, each but the first without the blank that it starts with.
+
+    A part starts at a blank that follows a visible character.
+    """
     words = text.split(" ")
-    out = Counter(words[1:])
-    # An empty word or one that ends in white space hands its blank on to the next word.
-    open_ended = "" in out or any(w[-1:].isspace() for w in out) or words[0] == "" or words[0][-1].isspace()
-    if not open_ended:
-        out = Counter({" " + w: n for w, n in out.items()})
-        out[words[0]] += 1
-        return out
-    out, part = Counter(), words[0]
+    if not OPEN.search(text):
+        return words
+    out = [words[0]]
     for word in words[1:]:
-        if part == "" or part[-1].isspace():
-            part += " " + word
+        if len(out) > 1 and out[-1] == "" or out[-1][-1:].isspace():
+            out[-1] += " " + word
         else:
-            out[part] += 1
-            part = " " + word
-    out[part] += 1
+            out.append(word)
     return out
 
 
+def stem_of(part: str) -> str:
+    """A part without closing punctuation, if that follows a letter: no token holds both."""
+    stem = part.rstrip(CLOSING)
+    return stem if stem and stem[-1].isalpha() and stem[-1] <= LAST_OLD_LETTER else part
+
+
 class Lengths:
     """Token counts of texts by the library for the vocabulary file at ``path``."""
 
     def __init__(self, path: str):
+        # Tokens of a blank and the part after it.
         self.known: dict[str, int] = {}
         if path.endswith(".model"):
             import sentencepiece
@@ -73,6 +84,8 @@ class Lengths:
             self.encode = lambda texts: [len(x) for x in pieces.encode(texts, num_threads=1)]
             self.split = False
             return
+        # Spark runs a task per core; more threads would only wait for each other.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
@@ -85,13 +98,17 @@ class Lengths:
     def count(self, texts: list[str]) -> list[int]:
         if not self.split:
             return self.encode(texts)
-        parts = [parts_of(text) if text else Counter() for text in texts]
-        known = self.known
-        new = list({part for some in parts for part in some if part not in known})
-        for part, n in zip(new, self.encode(new)):
-            known[part] = n
-        counts = [sum([known[part] * n for part, n in some.items()]) for some in parts]
-        for part in new:
+        parts, known = [parts_of(text) for text in texts], self.known
+        counts = self.encode([some[0] for some in parts])
+        parts = [some[1:] for some in parts]
+        new = set().union(*parts) - known.keys()
+        stems = {part: stem_of(part) for part in new}
+        words, ends = list(set(stems.values()) - known.keys()), list({p[len(s) :] for p, s in stems.items()})
+        known.update(zip(words, self.encode([" " + word for word in words])))
+        closed = dict(zip(ends, self.encode(ends)))
+        known.update((p, known[s] + closed[p[len(s) :]]) for p, s in stems.items() if p != s)
+        counts = [n + sum(map(known.__getitem__, some)) for n, some in zip(counts, parts)]
+        for part in new.union(words):
             if len(part) > CACHED_LENGTH:
                 del known[part]
         if len(known) > CACHED_PARTS:
