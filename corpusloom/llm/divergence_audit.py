@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import stored
-from corpusloom.llm.perfect_hash import Shard, shard_of
+from corpusloom.llm.perfect_hash import Shard, Shards
 from corpusloom.llm.terms import LETTERS, terms
 
 RESULT = "lang string, source string, part string, item string, value long, rank int"
@@ -40,7 +40,7 @@ class Audit:
     keys_per_shard: int = 32_768
     bytes_per_round: int = 64 << 20
     terms_held: int = 500_000
-    slots_held: int = 4 << 20
+    slots_held: int = 12 << 20
     cells: int = 1 << 15
     most_cells: int = 1 << 22
 
@@ -75,83 +75,88 @@ def document_counts(how: Audit):
 
 
 def kept_terms(docs: DataFrame, how: Audit) -> DataFrame:
-    """(lang, term, key) of the terms in at least ``min_docs`` documents of the language."""
+    """(lang, term) of the terms in at least ``min_docs`` documents of the language."""
     partial = docs.select("lang", "text").mapInArrow(document_counts(how), "lang string, term binary, n long")
     kept = partial.groupBy("lang", "term").agg(F.sum("n").alias("n")).filter(F.col("n") >= how.min_docs)
-    # No term holds a zero byte, so the last one parts language and term.
-    key = F.concat(F.col("lang").cast("binary"), F.lit(b"\0"), F.col("term"))
-    return kept.select("lang", "term", key.alias("key"))
+    return kept.select("lang", "term")
 
 
 def built(rows: pd.DataFrame) -> pd.DataFrame:
-    made = Shard.build(rows["key"].to_list())
-    return pd.DataFrame({"shard": rows["shard"].iloc[:1], "seeds": [made.seeds.astype("<i8").tobytes()], "keys": [made.keys]})
+    made = Shard.build(rows["term"].to_list())
+    same = {c: rows[c].iloc[:1] for c in ("lang", "shard", "shards")}
+    return pd.DataFrame({**same, "seeds": [made.seeds.astype("<i8").tobytes()], "keys": [made.keys]})
 
 
-def recounted(shards, first: int, last: int, total: int, how: Audit):
-    """Occurrences of stored keys per group and slot, for shards first..last-1 of ``total``."""
-
-    def emitted(dense: dict) -> Iterator[pa.RecordBatch]:
-        for (lang, source, shard), slots in dense.items():
-            at = np.flatnonzero(slots)
-            same = [pa.array([x] * len(at), kind) for x, kind in ((lang, pa.string()), (source, pa.string()), (shard, pa.int32()))]
-            columns = [*same, pa.array(at.astype(np.int32)), pa.array(slots[at])]
-            yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "shard", "slot", "n"])
+def recounted(shared, how: Audit):
+    """Occurrences of the broadcast shards' keys per group, shard and slot."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = {n: Shard(np.frombuffer(seeds, "<i8"), keys) for n, seeds, keys in shards.value}
-        dense: dict[tuple[str, str, int], np.ndarray] = {}
+        of, own = {}, {}
+        for lang, shard, shards, seeds, keys in shared.value:
+            of[lang] = shards
+            own.setdefault(lang, {})[shard] = Shard(np.frombuffer(seeds, "<i8"), keys)
+        known = {lang: Shards(shards) for lang, shards in own.items()}
+        dense: dict[tuple[str, str], np.ndarray] = {}
+
+        def emitted() -> Iterator[pa.RecordBatch]:
+            for (lang, source), counts in dense.items():
+                at, its = np.flatnonzero(counts), known[lang]
+                place = its.base.searchsorted(at, "right") - 1
+                columns = [
+                    pa.array([lang] * len(at), pa.string()),
+                    pa.array([source] * len(at), pa.string()),
+                    pa.array(its.numbers[place].astype(np.int32)),
+                    pa.array((at - its.base[place]).astype(np.int32)),
+                    pa.array(counts[at]),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "shard", "slot", "n"])
+            dense.clear()
+
         held = 0
         for batch in batches:
-            groups: dict[tuple[str, str], Counter] = {}
-            names = zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist())
-            for group, text in zip(names, batch.column("text").cast(pa.binary())):
-                counts = groups.setdefault(group, Counter())
-                for some in terms(text.as_py(), LETTERS):
-                    counts.update(some)
-            for (lang, source), counts in groups.items():
-                dealt: dict[int, list[tuple[bytes, int]]] = {}
-                head = lang.encode() + b"\0"
-                for term, n in counts.items():
-                    shard = shard_of(head + term, total)
-                    if first <= shard < last:
-                        dealt.setdefault(shard, []).append((head + term, n))
-                for shard, found in dealt.items():
-                    if shard not in known:
-                        continue
-                    slot = known[shard].slots([key for key, _ in found])
-                    hit = slot >= 0
-                    if not hit.any():
-                        continue
-                    if (lang, source, shard) not in dense:
-                        dense[lang, source, shard] = np.zeros(len(known[shard].keys), np.int64)
-                        held += len(known[shard].keys)
-                    n = np.fromiter((n for _, n in found), np.int64, len(found))
-                    dense[lang, source, shard][slot[hit]] += n[hit]
-                if held > how.slots_held:
-                    yield from emitted(dense)
-                    dense.clear()
-                    held = 0
-        yield from emitted(dense)
+            groups: dict[str, dict[str, Counter]] = {}
+            names = batch.column("lang").to_pylist(), batch.column("source").to_pylist()
+            for lang, source, text in zip(*names, batch.column("text").cast(pa.binary())):
+                if lang in known:
+                    counts = groups.setdefault(lang, {}).setdefault(source, Counter())
+                    for some in terms(text.as_py(), LETTERS):
+                        counts.update(some)
+            for lang, sources in groups.items():
+                # A term is looked up once, whatever the number of sources that use it.
+                met = list(set().union(*sources.values()))
+                slots = dict(zip(met, known[lang].slots(met, of[lang]).tolist()))
+                for source, counts in sources.items():
+                    if (lang, source) not in dense:
+                        dense[lang, source] = np.zeros(len(known[lang].keys), np.int64)
+                        held += len(known[lang].keys)
+                    slot = np.fromiter(map(slots.__getitem__, counts), np.int64, len(counts))
+                    n = np.fromiter(counts.values(), np.int64, len(counts))
+                    dense[lang, source][slot[slot >= 0]] += n[slot >= 0]
+            if held > how.slots_held:
+                yield from emitted()
+                held = 0
+        yield from emitted()
 
     return run
 
 
-def recount(docs: DataFrame, index: DataFrame, total: int, how: Audit) -> DataFrame:
+COUNTS = "lang string, source string, shard int, slot int, n long"
+
+
+def recount(docs: DataFrame, index: DataFrame, how: Audit) -> DataFrame:
     """(lang, source, shard, slot, n), n > 0: a pass over ``docs`` per round of shards that fits the bound."""
     spark = docs.sparkSession
     size = F.length("seeds") + F.aggregate("keys", F.lit(0), lambda a, k: a + F.length(k) + 48)
-    weighed = index.select(F.max(size.cast("long"))).first()[0] or 0
-    at_once = max(1, how.bytes_per_round // max(1, weighed))
-    schema = "lang string, source string, shard int, slot int, n long"
-    counted = None
-    for first in range(0, total, at_once):
-        some = index.filter(F.col("shard").between(first, first + at_once - 1)).collect()
-        shards = spark.sparkContext.broadcast([(r["shard"], bytes(r["seeds"]), [bytes(k) for k in r["keys"]]) for r in some])
-        found = docs.mapInArrow(recounted(shards, first, first + at_once, total, how), schema)
-        found = stored(found.groupBy("lang", "source", "shard", "slot").agg(F.sum("n").alias("n")), "recount")
-        counted = found if counted is None else counted.union(found)
-    return spark.createDataFrame([], schema) if counted is None else counted
+    whole, shards = index.select(F.sum(size.cast("long")), F.count(F.lit(1))).first()
+    rounds = min(-(-(whole or 0) // how.bytes_per_round), shards)
+    counted = spark.createDataFrame([], COUNTS)
+    for n in range(rounds):
+        some = index.filter(F.pmod(F.xxhash64("lang", "shard"), F.lit(rounds)) == n).collect()
+        shards = [(r["lang"], r["shard"], r["shards"], bytes(r["seeds"]), [bytes(k) for k in r["keys"]]) for r in some]
+        found = docs.mapInArrow(recounted(spark.sparkContext.broadcast(shards), how), COUNTS)
+        found = found.groupBy("lang", "source", "shard", "slot").agg(F.sum("n").alias("n"))
+        counted = counted.union(stored(found, "recount"))
+    return counted
 
 
 def pair_sums(rows: pd.DataFrame) -> pd.DataFrame:
@@ -178,18 +183,17 @@ def source_divergence(docs: DataFrame, how: Audit = Audit()) -> DataFrame:
     """
     docs = readable(docs)
     kept = stored(kept_terms(docs, how), "kept_terms")
-    n_kept = kept.count()
-    total = -(-n_kept // how.keys_per_shard)
-    number = F.pmod(F.crc32("key"), F.lit(max(total, 1))).cast("int")
-    index = stored(
-        kept.withColumn("shard", number).groupBy("shard").applyInPandas(built, "shard int, seeds binary, keys array<binary>"),
-        "perfect_hash",
+    of_lang = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"))
+    shards = F.ceil(F.col("v") / how.keys_per_shard).cast("int")
+    dealt = kept.join(of_lang, "lang").withColumn("shards", shards)
+    dealt = dealt.select("lang", "term", "shards", F.pmod(F.crc32("term"), F.col("shards")).cast("int").alias("shard"))
+    index = dealt.groupBy("lang", "shard").applyInPandas(
+        built, "lang string, shard int, shards int, seeds binary, keys array<binary>"
     )
-    counts = recount(docs, index, total, how)
+    index = stored(index, "perfect_hash")
+    counts = recount(docs, index, how)
 
-    # The terms by their slots, numbered within the language.
-    slots = index.select("shard", F.posexplode("keys").alias("slot", "key")).join(kept, "key")
-    of_lang = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"))
+    slots = index.select("lang", "shard", F.posexplode("keys").alias("slot", "key"))
     in_groups = counts.groupBy("lang", "source").agg(F.sum("n").alias("n_all"))
     groups = docs.select("lang", "source").distinct().join(of_lang, "lang", "left").join(in_groups, ["lang", "source"], "left")
     groups = groups.select("lang", "source", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("v", "n_all")))
@@ -217,13 +221,11 @@ def source_divergence(docs: DataFrame, how: Audit = Audit()) -> DataFrame:
     per_block = F.greatest(F.lit(1).cast("long"), F.floor(room / F.col("groups")))
     shape = shape.select("lang", "groups", "v", per_block.alias("per_block"))
     blocks = F.greatest(F.lit(1).cast("long"), F.ceil(F.col("v") / F.col("per_block")))
-    by_slot = Window.partitionBy("lang", "shard").orderBy("slot")
-    within = slots.select("lang", "shard", "slot", (F.row_number().over(by_slot) - 1).alias("within"))
-    sizes = within.groupBy("lang", "shard").agg(F.count(F.lit(1)).alias("size"))
-    before = F.sum("size").over(Window.partitionBy("lang").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
-    bases = sizes.select("lang", "shard", F.coalesce(before, F.lit(0)).alias("base"))
-    numbered = within.join(bases, ["lang", "shard"]).select("lang", "shard", "slot", (F.col("within") + F.col("base")).alias("at"))
-    body = cells.join(numbered, ["lang", "shard", "slot"]).join(shape.select("lang", "per_block"), "lang")
+    # Slots are numbered through the shards of a language.
+    before = F.sum(F.size("keys")).over(Window.partitionBy("lang").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
+    bases = index.select("lang", "shard", F.coalesce(before, F.lit(0)).alias("base"))
+    body = cells.join(bases, ["lang", "shard"]).withColumn("at", F.col("base") + F.col("slot"))
+    body = body.join(shape.select("lang", "per_block"), "lang")
     body = body.select(
         "lang", F.expr("at div per_block").alias("block"), "place", F.expr("at % per_block").alias("slot"), "p", F.lit(0).cast("long").alias("width")
     )
@@ -242,7 +244,7 @@ def source_divergence(docs: DataFrame, how: Audit = Audit()) -> DataFrame:
     whole = cells.groupBy("lang", "shard", "slot").agg(F.sum("n").alias("n_lang"))
     all_of = groups.groupBy("lang").agg(F.sum("n_all").alias("n_of_lang"), F.max("v").alias("v"))
     usual = whole.join(all_of, "lang").withColumn("q", p("n_lang", "n_of_lang")).select("lang", "shard", "slot", "q")
-    usual = usual.join(slots.select("lang", "shard", "slot", F.col("term").cast("string").alias("item")), ["lang", "shard", "slot"])
+    usual = usual.join(slots.select("lang", "shard", "slot", F.col("key").cast("string").alias("item")), ["lang", "shard", "slot"])
     over = cells.join(usual, ["lang", "shard", "slot"]).withColumn("value", F.col("p") - F.col("q")).filter("value > 0")
     ranked = over.withColumn("rank", F.row_number().over(falling)).filter(F.col("rank") <= how.ranks)
     used = ranked.select("lang", "source", F.lit("term").alias("part"), "item", "value", "rank")

@@ -3,7 +3,8 @@
 Hash and displace (Belazzougui, Botelho, Dietzfelbinger, "Hash, Displace, and
 Compress", 2009): keys fall into small buckets; from the largest bucket on, each gets the first seed
 that sends its keys to free slots. Buckets of one key take the
-slots that are left and name them outright. A shard of n keys has the slots 0 to n - 1.
+slots that are left and name them outright. A shard of n keys has the slots 0 to n - 1;
+keys are dealt to shards by ``pmod(crc32(key), shards)``, as Spark has it.
 A key that was never stored also lands on some slot; it is told by comparing it with the key there.
 """
 
@@ -22,11 +23,6 @@ SEEDS_AT_ONCE = 32
 MOST_SEEDS = 1 << 24
 
 
-def shard_of(key: bytes, shards: int) -> int:
-    """Equal to ``pmod(crc32(key), shards)`` of Spark."""
-    return zlib.crc32(key) % shards
-
-
 def hashes(keys: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Two independent 64-bit hashes of every key."""
     both = [xxhash.xxh3_128_intdigest(k) for k in keys]
@@ -35,8 +31,8 @@ def hashes(keys: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return high, low
 
 
-def places(low: np.ndarray, seeds: np.ndarray, slots: int) -> np.ndarray:
-    return (mixed(low + seeds.astype(np.uint64) * MIX_A) % np.uint64(slots)).astype(np.int64)
+def places(low: np.ndarray, seeds: np.ndarray, slots: int | np.ndarray) -> np.ndarray:
+    return (mixed(low + seeds.astype(np.uint64) * MIX_A) % np.asarray(slots).astype(np.uint64)).astype(np.int64)
 
 
 def displacements(keys: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -88,11 +84,33 @@ class Shard:
 
     def slots(self, keys: list[bytes]) -> np.ndarray:
         """The slot of every key, -1 for those that are not stored."""
-        if not keys:
-            return np.empty(0, np.int64)
+        return Shards({0: self}).slots(keys, 1)
+
+
+class Shards:
+    """Some of the shards 0..of-1 of a key set, end to end: a shard's slots start at its base."""
+
+    def __init__(self, shards: dict[int, Shard]):
+        self.numbers = np.array(sorted(shards), np.int64)
+        parts = [shards[n] for n in self.numbers.tolist()]
+        self.seeds = np.concatenate([p.seeds for p in parts])
+        self.keys = [key for p in parts for key in p.keys]
+        self.buckets, self.sizes = (np.array([len(x) for x in xs]) for xs in ([p.seeds for p in parts], [p.keys for p in parts]))
+        self.first_bucket, self.base = np.cumsum(self.buckets) - self.buckets, np.cumsum(self.sizes) - self.sizes
+
+    def slots(self, keys: list[bytes], of: int) -> np.ndarray:
+        """Base and slot of every key, -1 for those that are not stored here."""
+        found = np.full(len(keys), -1, np.int64)
+        shard = np.fromiter((zlib.crc32(key) for key in keys), np.int64, len(keys)) % of
+        at = np.minimum(self.numbers.searchsorted(shard), len(self.numbers) - 1)
+        here = np.flatnonzero(self.numbers[at] == shard)
+        if not len(here):
+            return found
+        at, keys = at[here], [keys[i] for i in here.tolist()]
         high, low = hashes(keys)
-        seeds = self.seeds[(high % np.uint64(len(self.seeds))).astype(np.int64)]
-        at = np.where(seeds < 0, -1 - seeds, places(low, np.maximum(seeds, 0), len(self.keys)))
+        seeds = self.seeds[self.first_bucket[at] + (high % self.buckets[at].astype(np.uint64)).astype(np.int64)]
+        slot = np.where(seeds < 0, -1 - seeds, places(low, np.maximum(seeds, 0), self.sizes[at])) + self.base[at]
         stored = self.keys
-        same = np.fromiter((stored[s] == k for s, k in zip(at.tolist(), keys)), bool, len(keys))
-        return np.where(same, at, -1)
+        same = np.fromiter((stored[s] == key for s, key in zip(slot.tolist(), keys)), bool, len(keys))
+        found[here[same]] = slot[same]
+        return found

@@ -33,8 +33,7 @@ def test_lengths_equal_the_library(name):
     lengths = token_counts.Lengths(library(name))
     assert lengths.split == (name == "byte_bpe_50k.json")
     assert lengths.count(texts) == want
-    assert all("".join(sorted(t)) == "".join(sorted("".join(p * n for p, n in token_counts.parts_of(t).items())))
-               for t in texts[:500] if t)
+    assert all(" ".join(token_counts.parts_of(t)) == t for t in texts)
 
 
 def test_token_counts_of_a_table(spark):
@@ -74,10 +73,16 @@ def test_perfect_hash_is_minimal_and_knows_its_keys(spark):
         assert (made.slots(others) == -1).all()
     with pytest.raises(ValueError):
         perfect_hash.Shard.build([b"a", b"a"])
-    keys = [bytearray(f"fr\0té{i}".encode()) for i in range(50)]
-    frame = spark.createDataFrame([(k,) for k in keys], "key binary")
-    found = frame.select("key", F.pmod(F.crc32("key"), F.lit(7)).alias("n")).collect()
-    assert all(r["n"] == perfect_hash.shard_of(bytes(r["key"]), 7) for r in found)
+    keys = [f"té{i}".encode() for i in range(50)]
+    frame = spark.createDataFrame([(bytearray(k),) for k in keys], "key binary")
+    dealt = {}
+    for row in frame.select("key", F.pmod(F.crc32("key"), F.lit(7)).alias("n")).collect():
+        dealt.setdefault(row["n"], []).append(bytes(row["key"]))
+    some = {n: perfect_hash.Shard.build(own) for n, own in dealt.items() if n % 2}
+    shards, stored = perfect_hash.Shards(some), [k for n, own in dealt.items() if n % 2 for k in own]
+    found = shards.slots(keys, 7).tolist()
+    assert sorted(f for f in found if f >= 0) == list(range(len(stored)))
+    assert [shards.keys[f] for f in found if f >= 0] == [k for k in keys if k in stored]
 
 
 def test_terms_equal_the_pattern(monkeypatch):
@@ -130,7 +135,7 @@ def test_source_divergence_equals_plain_counting(spark):
     rows += [("en", "s0", None), ("en", "s0", ""), ("de", "alone", "few terms"), ("it", "s1", "x"), ("it", "s2", "y")]
     rows += [("en", "long", "tree la " * 60_000)] + [("fr", "twin", "tree"), ("fr", "twin", "tree")]
     docs = spark.createDataFrame([(*r, 1, 2) for r in rows], "lang string, source string, text string, n long, slot int")
-    tight = divergence_audit.Audit(min_docs=6, ranks=3, keys_per_shard=3, bytes_per_round=1, terms_held=4,
+    tight = divergence_audit.Audit(min_docs=6, ranks=3, keys_per_shard=3, bytes_per_round=600, terms_held=4,
                                    slots_held=5, cells=4, most_cells=8)
     for how in tight, divergence_audit.Audit(min_docs=6, ranks=3):
         got = divergence_audit.source_divergence(docs.repartition(3), how)
