@@ -37,7 +37,7 @@ class Audit:
     ranks: int = 50
     scale: int = 1_000_000_000
     smoothing: int = 5
-    keys_per_shard: int = 32_768
+    keys_per_shard: int = 2_048
     bytes_per_round: int = 64 << 20
     terms_held: int = 500_000
     slots_held: int = 12 << 20
