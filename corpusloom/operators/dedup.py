@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.config import Deduplication
 from corpusloom.functions import text as tx
+from corpusloom.functions.blocks import numbered_grams, ratio_at_least
 from corpusloom.operators.skew import hot_keys, join_split, key_counts
 from corpusloom.session import cut, stored
 
@@ -74,10 +75,15 @@ def exact_dedup(
     return held.join(later.select(order), order, "left_anti").select(*columns)
 
 
-def lookup_keys(sets: DataFrame, order: str, bar: float) -> DataFrame:
+def jaccard_overlap(bar: float) -> Callable[[Column], Column]:
+    """Elements that a set of size ``n`` shares at least with any set it reaches ``bar`` with."""
+    return lambda n: F.ceil(n * F.lit(bar) - F.lit(1e-9))
+
+
+def lookup_keys(sets: DataFrame, order: str, overlap: Callable[[Column], Column]) -> DataFrame:
     """(bucket, order, size): the shingles a row must be looked up by.
 
-    Two sets with Jaccard >= bar share one of the first n - ceil(bar * n) + 1
+    Two sets that share ``overlap`` elements share one of the first n - overlap + 1
     elements of each, for any one ordering of all elements. Ours puts rare ones
     first. Those of a single row come before all others and can be left out, so
     most rows need no lookup at all, and frequent shingles hardly ever serve.
@@ -91,7 +97,7 @@ def lookup_keys(sets: DataFrame, order: str, bar: float) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("rows", "shingle"))).alias("common"),
     )
     n, single = F.col("size"), F.col("size") - F.size("common")
-    needed = (n - F.ceil(n * F.lit(bar) - F.lit(1e-9)) + 1 - single).cast("int")
+    needed = (n - overlap(n) + 1 - single).cast("int")
     keys = F.slice(F.transform("common", lambda c: c["shingle"]), F.lit(1), F.greatest(needed, F.lit(0)))
     return ranked.select(F.explode(keys).alias("bucket"), order, "size")
 
@@ -235,11 +241,70 @@ def near_duplicates(
             order, tx.shingles(F.col(content), rules.shingle_words, collapsed).alias("shingles")
         )
     )
-    keys = lookup_keys(sets, order, rules.bar)
+    keys = lookup_keys(sets, order, jaccard_overlap(rules.bar))
     similar = jaccard_at_least(sets, order, rules.bar)
     return greedy_keep_first(keys, order, overlap_possible(rules.bar), similar).filter("kept is not null")
 
 
+def least_characters(total: Column, bar: float) -> Column:
+    """Characters that texts of ``total`` characters must match for a ratio of ``bar``."""
+    return F.ceil(total * F.lit(bar / 2) - F.lit(1e-9))
+
+
+def shared_grams(bar: float) -> Callable[[Column], Column]:
+    """Numbered character pairs that a text of n pairs shares at least with any text within ``bar``.
+
+    Of s characters in both texts, m >= bar * s / 2 lie in matching blocks, and s - 2m
+    do not. One of these stands between any two blocks, so there are at most s - 2m + 1
+    blocks, which hold m - (s - 2m + 1) pairs. The other text is at least bar / (2 - bar) as long.
+    """
+
+    def least(n: Column) -> Column:
+        total = F.ceil((n + 1) * F.lit(2 / (2 - bar)) - F.lit(1e-9))
+        return F.greatest(F.ceil(total * F.lit(3 * bar / 2 - 1) - F.lit(1e-9)) - 1, F.lit(1))
+
+    return least
+
+
+def blocks_possible(bar: float) -> Callable[[Column, Column, Column], Column]:
+    """``overlap_possible`` for numbered character pairs of texts."""
+    least_of = shared_grams(bar)
+
+    def test(shared: Column, a: Column, b: Column) -> Column:
+        total = a + b + 2
+        least = 3 * least_characters(total, bar) - total - 1
+        rest = least_of(F.greatest(a, b)) - 1
+        fitting = F.least(a, b) + 1 >= least_characters(total, bar)
+        return fitting & (shared + rest >= least)
+
+    return test
+
+
+def near_duplicate_characters(
+    docs: DataFrame, order: str, content: str = "content", bar: float = 0.85
+) -> DataFrame:
+    """(order, kept) of every row the greedy rule drops, by the ratio of matching character blocks.
+
+    Rows must differ from each other (see ``exact_dedup``). Candidates lose no pair, but the bound behind
+    them is weak: texts of like length in one language are compared nearly all, so this is for
+    short texts. Null and empty contents meet nothing. ``bar`` must be above 2/3.
+    """
+    if not 2 / 3 < bar <= 1:
+        raise ValueError("the bar of character ratios must lie above 2/3")
+    # Pairs whose hashes fall together are counted once, so sizes may be a few below the texts' lengths.
+    held = cut(docs.select(order, F.col(content).alias("_content")).filter("length(_content) > 1"))
+    sets = cut(held.select(order, F.length("_content").alias("_length"), numbered_grams(F.col("_content")).alias("shingles")))
+    keys = lookup_keys(sets, order, shared_grams(bar))
+    lengths = sets.select(order, (F.col("_length") - 1).alias("size"))
+    keys = keys.drop("size").join(lengths, order).select("bucket", order, "size")
+
+    def similar(pairs: DataFrame, crowded: DataFrame | None) -> DataFrame:
+        both = with_both(pairs, crowded, held, order, "_content")
+        return both.filter(ratio_at_least(F.col("later"), F.col("earlier"), bar)).select(order, "pilot")
+
+    return greedy_keep_first(keys, order, blocks_possible(bar), similar).filter("kept is not null")
+
+
 def deduplicate(
     docs: DataFrame,
     order: str,
@@ -249,14 +314,19 @@ def deduplicate(
     source_types: tuple[str, ...] | None = None,
     collapsed: bool = False,
 ) -> DataFrame:
-    """Fuzzy removal (exact copies first, which changes nothing but the work), or
-    exact removal with ``method='hash'``. ``source_types`` limits what survives.
+    """Fuzzy removal (exact copies first, which changes nothing but the work), by word runs
+    (``method='fuzzy'``) or by matching characters (``'characters'``, ``bar`` 0.85), or
+    exact removal with ``'hash'``. ``source_types`` limits what survives.
     """
-    hash_column = content_hash if rules.method != "fuzzy" else None
+    hash_column = content_hash if rules.method not in ("fuzzy", "characters") else None
     kept = exact_dedup(docs, order, content, hash_column)
     if rules.method == "fuzzy":
         dropped = near_duplicates(kept, order, content, rules, collapsed)
         kept = kept.join(dropped, order, "left_anti")
+    if rules.method == "characters":
+        kept = stored(kept, "distinct")
+        dropped = near_duplicate_characters(kept, order, content, rules.bar)
+        kept = kept.join(dropped, order, "left_anti")
     if source_types:
         kept = kept.filter(F.col("source_type").isin(*source_types))
     return kept

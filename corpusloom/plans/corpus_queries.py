@@ -200,6 +200,21 @@ def near_dup_drop(spark, folder):
     return rows.select("doc_id")
 
 
+def retyped(spark: SparkSession, folder: str) -> DataFrame:
+    """Every benchmark text, and once more with each twelfth character mistyped."""
+    items = spark.read.parquet(f"{folder}/benchmark.parquet")
+    slip = F.regexp_replace("text", r"(?s)(.{11}).", "$1~")
+    return items.select((F.col("item_id") * 2).alias("doc_id"), F.col("text").alias("content")).union(
+        items.select(F.col("item_id") * 2 + 1, slip)
+    )
+
+
+@query()
+def near_dup_characters(spark, folder):
+    rules = Deduplication(method="characters", bar=0.85)
+    return dedup.deduplicate(retyped(spark, folder), "doc_id", rules=rules).select("doc_id")
+
+
 @query(
     f"WITH {CLEANED}, {UNIQUE}, kind AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'web' ELSE 'pdf' END"
     " AS source_type FROM cleaned)"
