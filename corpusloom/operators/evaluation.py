@@ -393,67 +393,106 @@ def with_brackets(rows: DataFrame, groups: DataFrame, group: str, value: str) ->
     return join_split(rows, groups, group, value, hot_keys(groups, group, found[1]))
 
 
-def exact_percentiles(
-    rows: DataFrame, group: str, value: str, points: Sequence[float], accuracy: int = 10_000
-) -> DataFrame:
+# Values of a bracket that are ranked together; larger brackets are narrowed first.
+RANKED_TOGETHER = 100_000
+BUCKETS = 1000
+
+
+def narrowed(named: DataFrame, brackets: DataFrame, group: str, value: str) -> DataFrame:
+    """The brackets, each cut to the one of its buckets that holds its rank.
+
+    Buckets are of equal width and as tight as their values, so a bracket gets strictly smaller
+    and its buckets, not its values, are summed up in order.
+    """
+    v = F.col(value)
+    # Halves do not overflow; infinite ends leave one bucket between them.
+    share = (v / 2 - F.col("low") / 2) / (F.col("high") / 2 - F.col("low") / 2)
+    inner = F.least(F.floor(F.nanvl(share, F.lit(0.5)) * BUCKETS), F.lit(BUCKETS - 1))
+    bucket = F.when(v == F.col("low"), 0).when(v == F.col("high"), BUCKETS - 1).otherwise(inner)
+    inside = with_brackets(named, brackets, group, value).select(group, value, F.explode("brackets").alias("b"))
+    inside = inside.select(group, value, "b.*").filter((v >= F.col("low")) & (v <= F.col("high")))
+    sums = inside.groupBy(group, "point", bucket.alias("bucket")).agg(
+        F.count(F.lit(1)).alias("inside"),
+        F.min(value).alias("low"),
+        F.max(value).alias("high"),
+        F.first("below").alias("below"),
+        F.first("rank").alias("rank"),
+        F.first("part").alias("part"),
+        F.first("rows").alias("rows"),
+    )
+    before = Window.partitionBy(group, "point").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    placed = sums.withColumn("below", F.col("below") + F.coalesce(F.sum("inside").over(before), F.lit(0)))
+    own = placed.filter("below <= rank and rank < below + inside")
+    return own.select(group, F.struct("point", "rank", "part", "low", "high", "below", "inside", "rows").alias("b"))
+
+
+def exact_percentiles(rows: DataFrame, group: str, value: str, points: Sequence[float]) -> DataFrame:
     """(group, point, percentile) with linear interpolation, exact at any size.
 
     The built-in exact percentile gathers all distinct values of a group in one
-    buffer. Here a sketch brackets each point first; one pass counts the values
-    below the bracket, and only the few inside it are ranked.
+    buffer. Here a bracket around the wanted rank is narrowed by histograms until it
+    holds few values or a single one; only those are ranked. Rows without group or value, or with a
+    value that is no number, are left out.
     """
-    slack = 2.0 / accuracy
-    bounds = [
-        F.struct(
-            F.lit(p).alias("point"),
-            F.percentile_approx(value, F.lit(max(0.0, p - slack)), accuracy).alias("low"),
-            F.percentile_approx(value, F.lit(min(1.0, p + slack)), accuracy).alias("high"),
-        )
-        for p in points
-    ]
-    named = rows.select(group, value).filter(F.col(group).isNotNull() & F.col(value).isNotNull())
-    groups = cut(
-        named.groupBy(group).agg(F.count(F.lit(1)).alias("rows"), F.array(*bounds).alias("brackets"))
+    named = rows.select(group, F.col(value).cast("double").alias(value)).filter(F.col(group).isNotNull())
+    named = named.filter(F.col(value).isNotNull() & ~F.isnan(value))
+    sizes = named.groupBy(group).agg(
+        F.count(F.lit(1)).alias("rows"), F.min(value).alias("low"), F.max(value).alias("high")
     )
-    placed = with_brackets(named, groups, group, value).select(
-        group, value, "rows", F.explode("brackets").alias("b")
-    ).select(group, value, "rows", "b.*")
+
+    def bracket(point: float) -> Column:
+        at = F.lit(point) * (F.col("rows") - 1)
+        return F.struct(
+            F.lit(float(point)).alias("point"),
+            F.floor(at).alias("rank"),
+            (at - F.floor(at)).alias("part"),
+            "low",
+            "high",
+            F.lit(0).cast("long").alias("below"),
+            F.col("rows").alias("inside"),
+            "rows",
+        )
+
+    small = (F.col("b.inside") <= RANKED_TOGETHER) | (F.col("b.low") == F.col("b.high"))
+    open_ones = cut(sizes.select(group, F.explode(F.array(*map(bracket, points))).alias("b")))
+    done: list[DataFrame] = []
+    while True:
+        done.append(open_ones.filter(small))
+        wide = open_ones.filter(~small)
+        if wide.isEmpty():
+            break
+        open_ones = cut(narrowed(named, by_group(wide, group), group, value))
+    brackets = by_group(reduce(DataFrame.unionAll, done), group)
     v = F.col(value)
-    counts = placed.groupBy(group, "point").agg(
-        F.count_if(v < F.col("low")).alias("below"),
-        F.max(F.when(v < F.col("low"), v)).alias("before"),
-        F.min(F.when(v > F.col("high"), v)).alias("after"),
-        F.max("rows").alias("rows"),
-    )
-    inside = (
-        placed.filter((v >= F.col("low")) & (v <= F.col("high")))
-        .groupBy(group, "point", value)
-        .agg(F.count(F.lit(1)).alias("times"))
-    )
+    placed = with_brackets(named, brackets, group, value).select(group, value, F.explode("brackets").alias("b"))
+    placed = placed.select(group, value, "b.*")
+    counts = placed.groupBy(group, "point").agg(F.min(F.when(v > F.col("high"), v)).alias("after"))
+    inside = placed.filter((v >= F.col("low")) & (v <= F.col("high"))).groupBy(
+        group, "point", "rank", "part", "below", value
+    ).agg(F.count(F.lit(1)).alias("times"))
     upto = F.sum("times").over(
         Window.partitionBy(group, "point").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     )
-    ranked = inside.withColumn("upto", upto).join(counts, [group, "point"])
-    # 0-based ranks on both sides of the point; a neighbour outside is the next value.
-    position = F.col("point") * (F.col("rows") - 1)
-    first = F.col("below") + F.col("upto") - F.col("times")
     last = F.col("below") + F.col("upto") - 1
+    first = F.col("below") + F.col("upto") - F.col("times")
+    ranked = inside.withColumn("upto", upto)
 
     def at(rank: Column) -> Column:
         return F.max(F.when((first <= rank) & (rank <= last), v))
 
     ends = ranked.groupBy(group, "point").agg(
-        at(F.floor(position)).alias("floor"),
-        at(F.ceil(position)).alias("ceil"),
-        F.max("before").alias("before"),
-        F.max("after").alias("after"),
-        F.max(position - F.floor(position)).alias("part"),
+        at(F.col("rank")).alias("lower"), at(F.col("rank") + 1).alias("upper"), F.max("part").alias("part")
     )
-    lower = F.coalesce("floor", "before")
-    upper = F.coalesce("ceil", "after")
-    return ends.select(
-        group, "point", (lower + (upper - lower) * F.col("part")).alias("percentile")
+    upper = F.when(F.col("part") > 0, F.coalesce("upper", "after")).otherwise(F.col("lower"))
+    between = F.when(upper == F.col("lower"), F.col("lower")).otherwise(
+        F.col("lower") + (upper - F.col("lower")) * F.col("part")
     )
+    return ends.join(counts, [group, "point"]).select(group, "point", between.alias("percentile"))
+
+
+def by_group(brackets: DataFrame, group: str) -> DataFrame:
+    """(group, rows, brackets): one row per group, a bracket per point."""
+    return brackets.groupBy(group).agg(F.max("b.rows").alias("rows"), F.collect_list("b").alias("brackets"))
 
 
 def latency_report(runs: DataFrame, approximate: bool = False) -> DataFrame:

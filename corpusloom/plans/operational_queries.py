@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -130,7 +132,7 @@ def streamed(spark, rows: DataFrame, label: str, write=ingest.write_stream) -> D
     """Run a stream over what is there into the shared folder and read it back."""
     folder = run_dir(spark, label)
     write(rows, f"{folder}/rows", f"{folder}/state").awaitTermination()
-    return spark.read.schema(rows.schema).parquet(f"{folder}/rows")
+    return spark.read.schema(rows.schema).parquet(f"{folder}/rows").select(*rows.columns)
 
 
 @query(
@@ -141,7 +143,7 @@ SELECT window_start, window_end, requests, errors, errors::DOUBLE / requests AS
 )
 def stream_request_metrics(spark, folder):
     events = requests_of(ingest.table_stream(spark, folder, "events"))
-    rows = streamed(spark, requests.windowed_requests(events), "requests", ingest.write_complete)
+    rows = streamed(spark, requests.windowed_requests(events), "requests", ingest.write_updates)
     return rows.withColumns({c: utc_clock(F.col(c)) for c in ("window_start", "window_end")})
 
 
@@ -152,5 +154,5 @@ SELECT user_id, window_start, requests FROM w WHERE requests > 3"""
 )
 def stream_rate_limit_breaches(spark, folder):
     events = requests_of(ingest.table_stream(spark, folder, "events"))
-    rows = streamed(spark, requests.windowed_breaches(events, 3, "1 day"), "breaches", ingest.write_complete)
+    rows = streamed(spark, requests.windowed_breaches(events, 3, "1 day"), "breaches", partial(ingest.write_updates, keys=("user_id", "window_start")))
     return rows.withColumn("window_start", utc_clock(F.col("window_start")))

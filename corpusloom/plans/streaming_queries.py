@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from corpusloom.operators import cleaning
 from corpusloom.plans.operational_queries import streamed
 from corpusloom.plans.registry import query
 from corpusloom.plans.sql_parts import CLEANED, SCORED, UNIQUE, chunked
-from corpusloom.streaming import ingest
+from corpusloom.streaming import expiring, ingest
 
 
 def arriving(spark, folder):
@@ -31,3 +32,20 @@ def stream_exact_dedup(spark, folder):
 def stream_chunks(spark, folder):
     rows = ingest.fresh_chunks(arriving(spark, folder), "doc_id")
     return streamed(spark, rows.select("chunk_id", "content"), "chunks")
+
+
+# Documents arrive one a second by id; a content rests for 640 seconds once it was taken.
+# Times are rounded down to 10 seconds. Copies of one such span are equal, so ids are left out.
+@query(
+    f"""WITH {CLEANED}, times AS (SELECT md5(content) AS content_hash, doc_id // 10 * 10 AS sec FROM cleaned GROUP BY ALL
+), lined AS (SELECT content_hash, list([sec] ORDER BY sec) AS secs FROM times GROUP BY content_hash
+), taken AS (SELECT content_hash, unnest(list_reduce(secs, lambda seen, x:
+    CASE WHEN x[1] >= seen[-1] + 640 THEN list_concat(seen, x) ELSE seen END)) AS sec FROM lined)
+SELECT content_hash, sec AS seen_second FROM taken"""
+)
+def stream_expiring_dedup(spark, folder):
+    start = 1_704_067_200
+    docs = cleaning.clean(arriving(spark, folder).withColumn("arrived", F.timestamp_seconds(F.col("doc_id") + start)))
+    fresh = expiring.expiring_content(docs, "doc_id", "arrived", "640 seconds", "1 hour")
+    rows = fresh.select("content_hash", (F.unix_timestamp("seen_at") - start).alias("seen_second"))
+    return streamed(spark, rows, "expiring")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -11,6 +12,7 @@ from corpusloom.functions.hold import hold
 from corpusloom.operators.chunking import chunk
 from corpusloom.operators.cleaning import clean
 from corpusloom.operators.quality import quality_filter
+from corpusloom.session import stored
 
 SALTS = 16
 
@@ -48,15 +50,46 @@ def fresh_chunks(docs: DataFrame, key: str, config: CorpusConfig = CorpusConfig(
     return chunk(good, config.chunking, content_hash="content_hash", keep=(key,))
 
 
-def write_complete(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """An aggregate of everything so far, open windows included; each batch replaces it."""
+# Seconds of the windows that share a folder.
+FOLDER_SECONDS = 86_400
 
-    def replace(result: DataFrame, _: int) -> None:
-        result.write.mode("overwrite").parquet(path)
 
+def merge_batch(batch: DataFrame, number: int, path: str, keys: tuple[str, ...], window: str) -> None:
+    """Replace the rows of ``path`` that ``batch`` knows newer, in the folders of its windows only.
+
+    Rows carry the number of the batch that wrote them. The folders' new rows are stored before
+    any is replaced, so a batch that was cut off is repeated with the same result.
+    """
+    spark = batch.sparkSession
+    folder = F.floor(F.unix_timestamp(F.col(window).cast("timestamp")) / FOLDER_SECONDS)
+    marked = batch.withColumn("batch", F.lit(number).cast("long")).withColumn("folder", folder)
+    new = stored(marked, "changed")
+    try:
+        old = spark.read.schema(new.schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        old = new.limit(0)
+    touched = old.join(new.select("folder").distinct(), "folder", "left_semi")
+    rows = touched.select(*new.columns).union(new).groupBy(*keys)
+    latest = rows.agg(F.max_by(F.struct(*new.columns), "batch").alias("row")).select("row.*")
+    kept = stored(latest, "merged")
+    kept.repartition("folder").write.partitionBy("folder").mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).parquet(path)
+
+
+def write_updates(
+    rows: DataFrame, path: str, checkpoint: str, keys: tuple[str, ...] = ("window_start",), window: str = "window_start"
+) -> StreamingQuery:
+    """Windowed aggregates as they change, open windows included; ``keys`` tell the rows apart.
+
+    Update mode keeps no window in the state that the watermark has passed. A batch rewrites
+    the days of the windows it changes and nothing else.
+    """
     return (
-        rows.writeStream.outputMode("complete")
-        .foreachBatch(replace)
+        rows.writeStream.outputMode("update")
+        .foreachBatch(lambda batch, number: merge_batch(batch, number, path, keys, window))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

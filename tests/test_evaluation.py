@@ -146,20 +146,37 @@ def test_comparison(spark):
     assert (empty["improvement_ratio"], empty["overall_improved"]) == (0.0, False)
 
 
-@pytest.mark.parametrize("accuracy,few", [(20, 10_000), (10_000, 10_000), (100, 0)])
-def test_percentiles_are_exact(spark, monkeypatch, accuracy, few):
+@pytest.mark.parametrize("together,buckets,few", [(100_000, 1000, 10_000), (200, 100, 0)])
+def test_percentiles_are_exact(spark, monkeypatch, together, buckets, few):
     monkeypatch.setattr(ev, "FEW_GROUPS", few)
+    monkeypatch.setattr(ev, "RANKED_TOGETHER", together)
+    monkeypatch.setattr(ev, "BUCKETS", buckets)
     monkeypatch.setattr(skew, "MIN_HOT_ROWS", 500)
-    rng = random.Random(accuracy)
+    rng = random.Random(together)
     groups = {"one": [3.5], "two": [1.0, 2.0], "three": [1.0, 2.0, 10.0], "same": [5.0] * 50}
     groups["many"] = [rng.expovariate(1) for _ in range(3000)]
     groups["coarse"] = [float(rng.randint(0, 9)) for _ in range(1000)]
-    frame = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in vs], "g string, v double").repartition(7)
+    groups["wide"] = [rng.choice([-1, 1]) * 10 ** rng.uniform(-300, 308) for _ in range(300)]
+    lined = [(g, v) for g, vs in groups.items() for v in vs] + [("one", None), (None, 1.0), ("two", float("nan")), ("void", None)]
+    frame = spark.createDataFrame(lined, "g string, v double").repartition(7)
     points = [0.0, 0.5, 0.95, 0.99, 1.0]
-    rows = ev.exact_percentiles(frame, "g", "v", points, accuracy).collect()
+    rows = ev.exact_percentiles(frame, "g", "v", points).collect()
     assert len(rows) == len(groups) * len(points)
     for r in rows:
         assert r["percentile"] == pytest.approx(np.percentile(groups[r["g"]], r["point"] * 100)), r
+    assert ev.exact_percentiles(frame.limit(0), "g", "v", points).count() == 0
+
+
+def test_percentiles_of_one_group_never_rank_it_whole(spark, monkeypatch):
+    """All rows in one group: what is ranked stays below the bound, but for copies of one value."""
+    monkeypatch.setattr(ev, "RANKED_TOGETHER", 50)
+    frame = spark.range(200_000).select(F.lit("g").alias("g"), (F.col("id") * F.col("id")).cast("double").alias("v"))
+    seen, rank = [], ev.with_brackets
+    monkeypatch.setattr(ev, "with_brackets", lambda n, b, g, v: seen.append(b.collect()) or rank(n, b, g, v))
+    rows = ev.exact_percentiles(frame, "g", "v", [0.5, 0.99]).collect()
+    for r in rows:
+        assert r["percentile"] == pytest.approx(np.percentile(np.arange(200_000.0) ** 2, r["point"] * 100))
+    assert 2 <= len(seen) <= 4 and all(b["inside"] <= 50 for r in seen[-1] for b in r["brackets"])
 
 
 def test_benchmark(spark):
