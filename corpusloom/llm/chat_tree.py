@@ -108,21 +108,21 @@ class Stream:
         return fresh
 
     def intervals(self) -> list[dict]:
-        """Where the open turns lie, neighbours merged."""
-        out: list[dict] = []
-        for node in self.open:
-            if out and out[-1]["stop"] == node["start"]:
-                out[-1] = {"start": out[-1]["start"], "stop": node["stop"]}
-            else:
-                out.append({"start": node["start"], "stop": node["stop"]})
-        return out
+        """Where the open turns lie, neighbours merged: what the last one saw, and itself."""
+        if not self.open:
+            return []
+        last = self.open[-1]
+        out, own = list(last["ancestors"]), {"start": last["start"], "stop": last["stop"]}
+        if out and out[-1]["stop"] == own["start"]:
+            own["start"] = out.pop()["start"]
+        return [*out, own]
 
 
 def grown(vocabulary: Vocabulary):
     names = [c.split()[0] for c in re.split(r", (?=[a-z_]+ )", MADE)]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        stream = Stream(Encoder(vocabulary.path, vocabulary.pattern))
+        stream = Stream(Encoder(vocabulary))
         shard, path = TaskContext.get().partitionId(), 0
         for rows in batches:
             out = []
@@ -154,7 +154,7 @@ def prefix_tree(
     stream of its shard, its position, loss interval and ancestors' intervals.
     ``paths`` has a row per conversation with the stream starts of its turns.
     A conversation is one record; turns come by number, then role, then text.
-    Null roles and texts are empty; rows without an id are one conversation.
+    Null roles and texts are empty; a row without an id is a conversation of its own.
     """
     parts = shards or int(conversations.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     said = F.struct(
@@ -162,9 +162,10 @@ def prefix_tree(
         F.coalesce(F.col(role).cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
     )
-    whole = conversations.groupBy(F.col(conv).cast("long").alias("conv_id")).agg(
-        F.sort_array(F.collect_list(said)).alias("said")
-    )
+    rows = conversations.select(F.col(conv).cast("long").alias("conv_id"), said.alias("turn"))
+    whole = rows.filter("conv_id is not null").groupBy("conv_id").agg(F.sort_array(F.collect_list("turn")).alias("said"))
+    alone = rows.filter("conv_id is null").select("conv_id", F.array("turn").alias("said"))
+    whole = whole.union(alone)
     keyed = whole.select(
         "conv_id",
         F.transform("said", lambda s: s["role"]).alias("roles"),
@@ -183,7 +184,7 @@ BACK = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_s
 
 def reader(vocabulary: Vocabulary):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        decode = Encoder(vocabulary.path, vocabulary.pattern).decode
+        decode = Encoder(vocabulary).decode
         for rows in batches:
             out = []
             for conv, pieces in zip(rows["conv_id"], rows["pieces"]):

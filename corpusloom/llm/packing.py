@@ -13,6 +13,7 @@ rank among those of equal length, in Spark.
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -57,18 +58,24 @@ class Chunks(dict):
 class Encoder:
     """Token ids of whole texts by a rank file, with a cache of chunks.
 
+    Strings of ``special`` tokens inside a text are these tokens, as the vocabulary's own library has it.
     ``pattern`` must start a new token before every space that a visible character
     follows, as that of the public vocabularies does; so a text is the sum of its
     chunks between such spaces.
     """
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, vocabulary: Vocabulary):
         import tiktoken
 
-        with open(path, "rb") as lines:
+        with open(vocabulary.path, "rb") as lines:
             pairs = (line.split() for line in lines)
             ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
-        plain = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.special = {name: array("I", [number]).tobytes() for name, number in vocabulary.special}
+        names = sorted(self.special, key=len, reverse=True)
+        self.cut = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
+        plain = tiktoken.Encoding(
+            "own", pat_str=vocabulary.pattern, mergeable_ranks=ranks, special_tokens=dict(vocabulary.special)
+        )
         self.cache = Chunks(plain.encode_ordinary)
         self.decode_bytes = plain.decode_bytes
 
@@ -82,9 +89,14 @@ class Encoder:
                 out.append(" " + part)
         return out
 
-    def encode(self, text: str) -> bytes:
+    def ordinary(self, text: str) -> bytes:
         return b"".join(map(self.cache.__getitem__, self.chunks(text)))
 
+    def encode(self, text: str) -> bytes:
+        if not any(name in text for name in self.special):
+            return self.ordinary(text)
+        return b"".join(self.special.get(part) or self.ordinary(part) for part in self.cut.split(text))
+
     def decode(self, ids: array) -> str:
         return self.decode_bytes(list(ids)).decode("utf-8")
 
@@ -99,17 +111,18 @@ def cuts(length: int, size: int) -> Iterator[tuple[int, int]]:
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """A rank file, the same on all workers, and the pattern that splits text before merging."""
+    """A rank file, the same on all workers, the pattern that splits text before merging, and special tokens."""
 
     path: str
     pattern: str
+    special: tuple[tuple[str, int], ...] = ()
 
 
 def tokenised(vocabulary: Vocabulary, size: int, end_id: int):
     tail = array("I", [end_id]).tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(vocabulary.path, vocabulary.pattern)
+        encoder = Encoder(vocabulary)
         for rows in batches:
             for at in range(0, len(rows), 512):
                 some = rows.iloc[at : at + 512]
@@ -135,7 +148,7 @@ def pieces(
     """(doc_id, piece, start, length, ids_crc32, ids) of every document.
 
     A document is its token ids and ``end_id``; a null or empty text is the end id
-    alone. Strings of special tokens in a text are ordinary text. Repeated rows
+    alone. Strings of the vocabulary's special tokens in a text are these tokens. Repeated rows
     are documents each.
     """
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 
 from corpusloom.llm import (
@@ -27,10 +30,17 @@ __all__ = ["ORACLES", "QUERIES", "vocabulary"]
 
 
 def vocabulary() -> packing.Vocabulary:
-    """The public 50k byte-level vocabulary, installed alike on every worker."""
+    """The public 50k byte-level vocabulary with its special tokens, installed alike on every worker."""
     import public_tokenizers
 
-    return packing.Vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        special = tuple((t["content"], t["id"]) for t in json.load(file)["added_tokens"])
+    return packing.Vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, special)
+
+
+def plain_vocabulary() -> packing.Vocabulary:
+    """The same without special tokens: their strings are text like any other."""
+    return replace(vocabulary(), special=())
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -102,8 +112,8 @@ def op9_prefix_tree(spark: SparkSession, folder: str) -> DataFrame:
     extra = spark.createDataFrame(
         [(-7, 0, "user", trap), (-7, 1, "assistant", trap)], "conv_id long, turn long, role string, text string"
     )
-    nodes, paths = chat_tree.prefix_tree(said.unionByName(extra), vocabulary())
-    return chat_tree.read_back(nodes, paths, vocabulary())
+    nodes, paths = chat_tree.prefix_tree(said.unionByName(extra), plain_vocabulary())
+    return chat_tree.read_back(nodes, paths, plain_vocabulary())
 
 
 @query
