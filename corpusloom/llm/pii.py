@@ -49,6 +49,46 @@ def run_right(text: str, at: int, allowed: frozenset) -> int:
     return at
 
 
+class Runs:
+    """Runs of some characters in a text, each walked once however many anchors stand in it.
+
+    A run counts up to its last character that is not ``closing``.
+    """
+
+    def __init__(self, text: str, chars: frozenset, closing: str, inside: bool = True):
+        self.text, self.chars, self.closing, self.inside = text, chars, closing, inside
+        self.begin, self.end, self.last, self.digit = 0, -1, -1, -1
+
+    def end_of(self, at: int) -> int:
+        """Where the run from ``at`` on ends, closing characters left out."""
+        if not self.begin <= at <= self.end:
+            text, n = self.text, len(self.text)
+            self.begin = self.end = at
+            while self.end < n and (text[self.end] in self.chars) == self.inside:
+                self.end += 1
+            self.last = self.end
+            while self.last > at and text[self.last - 1] in self.closing:
+                self.last -= 1
+            self.digit = self.last - 1
+            while self.digit >= at and text[self.digit] not in NUMERALS:
+                self.digit -= 1
+        return max(self.last, at)
+
+    def digit_from(self, at: int) -> bool:
+        """Whether the run that ``end_of(at)`` told holds a digit."""
+        return self.digit >= at
+
+
+class Walks:
+    """The runs that the parsers of one text walk."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.url = Runs(text, URL_END, TRAILING, inside=False)
+        self.token = Runs(text, TOKEN, TRAILING)
+        self.account = Runs(text, ACCOUNT, "-")
+
+
 def email_at(text: str, sign: int, floor: int) -> Span | None:
     """The address around an at-sign, not reaching left of ``floor``."""
     start = sign
@@ -138,13 +178,9 @@ def phone_at(text: str, plus: int) -> Span | None:
     return (plus, end) if end - plus >= 4 and 10 <= digits <= 15 else None
 
 
-def url_at(text: str, start: int, after: int) -> Span | None:
+def url_at(walks: Walks, start: int, after: int) -> Span | None:
     """From a scheme to the next delimiter, without closing punctuation."""
-    end = after
-    while end < len(text) and text[end] not in URL_END:
-        end += 1
-    while end > after and text[end - 1] in TRAILING:
-        end -= 1
+    end = walks.url.end_of(after)
     return (start, end) if end > after else None
 
 
@@ -169,24 +205,23 @@ def after_fillers(text: str, at: int) -> int:
         at = end
 
 
-def account_after(text: str, at: int) -> Span | None:
+def account_after(walks: Walks, at: int) -> Span | None:
     """As ``secret_after``; behind a word such as ``number`` the sign can be left out."""
-    past = after_fillers(text, at)
-    signed = secret_after(text, past)
+    text, past = walks.text, after_fillers(walks.text, at)
+    signed = secret_after(walks, past)
     if signed or past == at:
         return signed
     while past < len(text) and text[past] in " \t\"'":
         past += 1
-    end = run_right(text, past, ACCOUNT)
-    while end > past and text[end - 1] == "-":
-        end -= 1
+    end = walks.account.end_of(past)
+    # Closing hyphens aside, the run must not go on as a word.
     whole = end == len(text) or text[end] not in LETTERS
-    return (past, end) if whole and end - past >= 8 and any(c in NUMERALS for c in text[past:end]) else None
+    return (past, end) if whole and end - past >= 8 and walks.account.digit_from(past) else None
 
 
-def secret_after(text: str, at: int) -> Span | None:
+def secret_after(walks: Walks, at: int) -> Span | None:
     """The value after a cue: a sign, optional quotes and blanks, 8 characters or more."""
-    n = len(text)
+    text, n = walks.text, len(walks.text)
     while at < n and text[at] in " \t\"'":
         at += 1
     if at >= n or text[at] not in "=:":
@@ -194,18 +229,19 @@ def secret_after(text: str, at: int) -> Span | None:
     at += 1
     while at < n and text[at] in " \t\"'":
         at += 1
-    end = run_right(text, at, TOKEN)
-    while end > at and text[end - 1] in TRAILING:
-        end -= 1
-    value = text[at:end]
-    return (at, end) if len(value) >= 8 and any(c in NUMERALS for c in value) else None
+    end = walks.token.end_of(at)
+    return (at, end) if end - at >= 8 and walks.token.digit_from(at) else None
+
+
+# Characters of an access key; a longer run is none.
+KEY_LENGTH = 20
 
 
 def key_at(text: str, start: int) -> Span | None:
-    end = start
-    while end < len(text) and (text[end] in NUMERALS or "A" <= text[end] <= "Z"):
+    end, most = start, min(len(text), start + KEY_LENGTH + 1)
+    while end < most and (text[end] in NUMERALS or "A" <= text[end] <= "Z"):
         end += 1
-    return (start, end) if end - start == 20 else None
+    return (start, end) if end - start == KEY_LENGTH else None
 
 
 def automaton():
@@ -234,6 +270,7 @@ def find(text: str, anchors) -> dict[str, list[Span]]:
     """Spans by kind, in code points, end exclusive."""
     digits: list[int] = []
     out: dict[str, list[Span]] = {kind: [] for kind in KINDS}
+    walks = Walks(text)
     for end, (kind, size) in anchors.iter(lowered(text)):
         start = end + 1 - size
         if kind == "digit":
@@ -245,13 +282,13 @@ def find(text: str, anchors) -> dict[str, list[Span]]:
             span = phone_at(text, start)
             out["phone"] += [span] if span else []
         elif kind == "scheme":
-            span = url_at(text, start, end + 1)
+            span = url_at(walks, start, end + 1)
             out["url"] += [span] if span else []
         elif kind == "cue":
-            span = secret_after(text, end + 1)
+            span = secret_after(walks, end + 1)
             out["secret"] += [span] if span else []
         elif kind == "account":
-            span = account_after(text, end + 1)
+            span = account_after(walks, end + 1)
             out["secret"] += [span] if span else []
         else:
             span = key_at(text, start)
