@@ -76,14 +76,15 @@ def sign(words: int, positions: int, seed: int = 7):
 
 
 def sets_of(words: int):
-    """Arrow batches of (key, text) to (key, shingles)."""
+    """Arrow batches of (key, text) to (key, digest, shingles)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
         for batch in batches:
-            sets = [shingle_set(t.as_py(), words, cache).view(np.int64) for t in batch.column(1)]
-            values = pa.array(sets, pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), values], ["key", "shingles"])
+            sets = [shingle_set(t.as_py(), words, cache) for t in batch.column(1)]
+            digests = pa.array([digest(s) for s in sets], pa.binary())
+            values = pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), digests, values], ["doc", "digest", "shingles"])
 
     return run
 
@@ -118,7 +119,10 @@ def sizes_fit(a: Column, b: Column, percent: int) -> Column:
 
 
 class Confirm:
-    """Reduces candidate pairs (a, b) to links, by signatures and then by full sets."""
+    """Reduces candidate pairs (a, b) of classes to links, by signatures and then by full sets.
+
+    ``sets`` has a row per class: its number ``key``, the least id ``doc`` that has it, and its digest.
+    """
 
     def __init__(self, docs: DataFrame, sets: DataFrame, words: int, percent: int, matches: int):
         self.docs, self.sets, self.words = docs, sets, words
@@ -130,9 +134,11 @@ class Confirm:
         return pairs.join(a, "a").join(b, "b")
 
     def shingles(self, keys: DataFrame) -> DataFrame:
-        """(key, shingles) of the given keys; several rows of one id give several sets."""
-        texts = semi(self.docs, "key", keys).select("key", "text")
-        return texts.mapInArrow(sets_of(self.words), "key long, shingles array<long>")
+        """(key, shingles) of the given classes, from the texts of their least ids."""
+        named = self.sets.join(keys, "key", "left_semi").select("key", "doc", "digest")
+        texts = semi(self.docs, "key", named.select(F.col("doc").alias("key"))).select("key", "text")
+        made = texts.mapInArrow(sets_of(self.words), "doc long, digest binary, shingles array<long>")
+        return made.join(named, ["doc", "digest"]).select("key", "shingles")
 
     def by_signature(self, pairs: DataFrame) -> DataFrame:
         signed = self.both(pairs.distinct(), self.sets, "signature")
@@ -250,17 +256,23 @@ def near_duplicates(
     signed = stored(rows.mapInArrow(sign(words, positions), SIGNED), "signed")
     known = signed.filter("key is not null and digest is not null")
     classes = known.groupBy("digest").agg(
-        F.min("key").alias("key"),
+        F.min("key").alias("doc"),
         F.first("n_shingles").alias("n_shingles"),
         F.first("signature").alias("signature"),
     )
-    classes = stored(classes, "classes")
+    # Stored before and after they get their numbers, which depend on how the rows lie.
+    classes = stored(classes, "classes").withColumn("key", F.monotonically_increasing_id())
+    classes = stored(classes, "numbered")
     postings = stored(rare_postings(classes, positions, matches), "postings")
     links = links_within(postings, Confirm(rows, classes, words, percent, matches), percent)
-    # Rows of one id with different sets belong together whatever their sets say.
-    member = known.join(classes.select("digest", F.col("key").alias("node")), "digest")
-    same = member.filter("key <> node").select(F.col("key").alias("a"), F.col("node").alias("b"))
-    roots = components(links.union(same))
+    # From classes to ids: each class stands for its least id, and all rows of an id belong together.
+    leads = classes.select("key", "doc")
+    near = links.join(leads.select(F.col("key").alias("a"), F.col("doc").alias("of_a")), "a")
+    near = near.join(leads.select(F.col("key").alias("b"), F.col("doc").alias("of_b")), "b")
+    near = near.select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
+    member = known.join(classes.select("digest", "doc"), "digest")
+    same = member.filter("key <> doc").select(F.col("key").alias("a"), F.col("doc").alias("b"))
+    roots = components(near.union(same))
     named = roots.select(F.col("node").alias("key"), "component")
     component = F.coalesce("component", "key").alias("component_id")
     return (

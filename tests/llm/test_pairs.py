@@ -85,6 +85,17 @@ def test_near_duplicates_equal_brute_force(spark, seed, k, percent):
     assert sorted((str(r["doc_id"]), r["n_shingles"]) for r in got) == sizes
 
 
+def test_texts_that_share_an_id_keep_their_own_links(spark):
+    """A long and a short text under id 1: each is compared as what it is."""
+    rng = random.Random(6)
+    long, short = ([f"w{rng.randrange(10**6)}" for _ in range(n)] for n in (100, 12))
+    rows = [(1, " ".join(long)), (1, " ".join(short)), (2, " ".join([*long[:50], "new", *long[51:]])), (4, " ".join([*short, "z"]))]
+    rows += [(9, rows[3][1] + " q r s t u v"), (9, rows[2][1])]
+    docs = spark.createDataFrame(rows, DOCS)
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs, words=3, percent=85).collect()}
+    assert got == brute(rows, 3, 85) == {1: 1, 2: 1, 4: 1, 9: 1}
+
+
 def test_short_list_limit_changes_nothing(spark, monkeypatch):
     rows = collection(4)
     docs = spark.createDataFrame(rows, DOCS)

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import math
 import random
+import time
 import re
 import zlib
 from array import array
@@ -71,6 +72,14 @@ def test_pii_cues_in_any_case_and_account_numbers(text, kind, value):
     assert [text[a:b] for a, b in found] == ([value] if value else [])
 
 
+@pytest.mark.parametrize("anchor", ["http://", "token=", "AKIA", "ACCOUNT NO-", "a@", "+1 ", "password: \"", "1.", "id#"])
+def test_pii_is_linear_in_repeated_anchors(anchor):
+    start = time.perf_counter()
+    found = pii.find(anchor * (1_000_000 // len(anchor)), pii.automaton())
+    assert time.perf_counter() - start < 10
+    assert sum(map(len, found.values())) < 500_000
+
+
 def test_pii_report_and_redaction(spark):
     rows = [(i, t, 7) for i, t in enumerate(TEXTS)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_email long")
@@ -91,9 +100,8 @@ def test_tokens_equal_the_public_tokenizer():
     from tokenizers import Tokenizer
 
     theirs = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    theirs.encode_special_tokens = True
-    known = vocabulary()
-    ours = packing.Encoder(known.path, known.pattern)
+    ours = packing.Encoder(vocabulary())
+    assert list(array("I", ours.encode("a <|endoftext|> b"))) == [64, 220, 50256, 275]
     rng = random.Random(2)
     parts = [" ", "  ", "\n", "\t", "a", "é", ".", "..", ",", "!?", "'s", "'", "12", "<|endoftext|>", " ", "　",
              "日本", "\x1c", "\x85", "x", "Z", "-", "\r\n", "\U0001f600", " ."]
@@ -110,7 +118,7 @@ def test_packing_places_every_piece_once(spark):
     docs = spark.createDataFrame([(*r, 0, "x") for r in rows], "doc_id long, text string, piece int, length string")
     placed = packing.packed_documents(docs, vocabulary(), ids=True)
     got = placed.collect()
-    encoder = packing.Encoder(vocabulary().path, vocabulary().pattern)
+    encoder = packing.Encoder(vocabulary())
     want = []
     for key, text in rows:
         ids = encoder.encode(text or "") + array("I", [2]).tobytes()
@@ -350,5 +358,24 @@ def test_prefix_tree_round_trip_and_sharing(spark):
             assert inside == sorted(i for a in walked for i in range(a["start"], a["stop"]))
             walked.append(n)
             position += n["stop"] - n["start"]
+    # Rows without an id are conversations of their own; equal turn numbers go by role and text.
+    odd = [(None, 0, "user", "x"), (None, 0, "user", "x"), (None, 1, "assistant", "y"), (5, 1, "user", "b"), (5, 1, "user", "a"),
+           (5, None, "user", "c"), (5, 1, "user", "a")]
+    odd = spark.createDataFrame(odd, "conv_id long, turn long, role string, text string")
+    nodes, paths = chat_tree.prefix_tree(odd, vocabulary())
+    back = [(r["conv_id"], r["n_turns"], r["turns_sha256"]) for r in chat_tree.read_back(nodes, paths, vocabulary()).collect()]
+    alone = [said_digest([t]) for t in (("user", "x"), ("user", "x"), ("assistant", "y"))]
+    lined = said_digest([("user", t) for t in "caab"])
+    assert sorted(back, key=str) == sorted([(None, 1, d) for d in alone] + [(5, 4, lined)], key=str)
     empty_nodes, empty_paths = chat_tree.prefix_tree(frame.limit(0), vocabulary())
     assert chat_tree.read_back(empty_nodes, empty_paths, vocabulary()).count() == 0
+
+
+def test_prefix_tree_of_many_turns_is_linear():
+    stream = chat_tree.Stream(packing.Encoder(vocabulary()))
+    turns = [("user", str(i)) for i in range(100_000)]
+    start = time.perf_counter()
+    assert len(stream.add(turns)) == 100_000
+    fresh = stream.add([*turns[:50_000], ("user", "other"), ("user", "more")])
+    assert time.perf_counter() - start < 20
+    assert [len(n["ancestors"]) for n in fresh] == [1, 2]
