@@ -208,7 +208,8 @@ def internal_links(
     if "page" in pages.columns:
         rows = pages
     else:
-        rows = pages.withColumn("page", page_parts(F.col("html"), F.col("url"), after_cleanup))
+        parts = page_parts(F.col("html"), F.col("url"), after_cleanup, wanted=("links",))
+        rows = pages.withColumn("page", parts)
     inside = F.filter(
         "page.links", lambda link: (netloc(link) == host) & url_allowed(link, rules)
     )

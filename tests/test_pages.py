@@ -1,10 +1,12 @@
 import json
 import random
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.config import Collection
-from corpusloom.functions.html import read_page
+from corpusloom.functions.html import page_parts, read_page
 from corpusloom.functions.urls import netloc, reader_for, url_allowed, url_path
 from corpusloom.operators import pages as pg
 from corpusloom.operators.crawl import crawl
@@ -161,3 +163,49 @@ def test_failures_are_counted(spark):
     rows = pg.collect_sources(good, bad)
     outcome = {r["source_type"]: (r["succeeded"], r["failed"]) for r in pg.source_outcomes(rows).collect()}
     assert outcome == {"web": (1, 0), "pdf": (0, 1)}
+
+
+NESTED = {
+    "divs": ('<div class="content">word ' * 4000, "too much text"),
+    "articles": ("<article>word " * 4000, "too much text"),
+    "items": ('<div itemscope itemtype="T"><span itemprop="p">value</span>' * 4000, "too much text"),
+    "bold": ("<b>" * 20_000 + "<p>x</p></i>" * 20_000, None),
+    "table": ("<p><table>" + "<b>" * 20_000 + "<p>text of a paragraph</p>" * 10_000, None),
+}
+
+
+@pytest.mark.parametrize("name", sorted(NESTED))
+def test_nested_pages_take_linear_time(name):
+    html, problem = NESTED[name]
+    start = time.perf_counter()
+    if problem:
+        with pytest.raises(ValueError, match=problem):
+            read_page(html, "", False, False)
+    else:
+        read_page(html, "", False, False)
+    assert time.perf_counter() - start < 2
+
+
+def test_a_page_nested_beyond_measure_is_a_row_with_its_error(spark):
+    rows = [(1, "http://h.example/a", NESTED["divs"][0]), (2, "http://h.example/b", "<article>fine text here</article>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r["page_id"]: r["page"] for r in pages.select("page_id", page_parts(F.col("html"), F.col("url")).alias("page")).collect()}
+    assert "too much text" in found[1]["error"] and found[1]["main_text"] is None
+    assert found[2]["error"] is None and found[2]["main_text"] == "fine text here"
+
+
+def test_parts_of_a_page():
+    html = ("<title> A <b>b</b></title><script itemprop='s'>x<i>y</i></script><div itemscope itemtype='T'><p itemprop='a'>one <b> two</b>"
+            "<script>no</script></p><div itemtype='U'><i itemprop='c' content='z'>w</i></div></div><a href='/l'>k</a>"
+            "<article>text <article>in <style>s</style>side</article></article>")
+    page = read_page(html, "http://h.example/", False, False)
+    assert page["title"] == "A b" and page["links"] == ["http://h.example/l"]
+    assert page["microdata"] == [
+        {"itemtype": "T", "properties": [{"name": "a", "value": "onetwo"}, {"name": "c", "value": "z"}]},
+        {"itemtype": "U", "properties": [{"name": "c", "value": "z"}]},
+    ]
+    assert page["main_text"] == "text in side\n\nin side"
+    only = read_page(html, "http://h.example/", False, False, frozenset({"links"}))
+    assert only == {"links": ["http://h.example/l"]}
+    after = read_page(html, "http://h.example/", True, False, frozenset({"links", "main_text"}))
+    assert after["links"] == page["links"] and after["main_text"] == page["main_text"]
