@@ -6,7 +6,9 @@ direction, its vectors sorted by their projection. A query opens a window around
 its own projection in each array and widens all of them step by step (virtual
 rehashing: no other buckets are needed for a wider radius). A vector that lies
 in the windows of enough directions is a candidate and is verified in double
-precision; widening ends when enough candidates were found.
+precision; widening ends when enough candidates were found. The first width is read off a few
+vectors of the block. Directions are orthogonal, as far as the
+dimension allows: together they then tell distances far better than independent ones.
 
 Largest inner products become nearest neighbours by one more coordinate that
 lifts all vectors to one length; it is 0 for queries.
@@ -32,58 +34,83 @@ class Search:
     No vector above the collision threshold is left out, however many there are.
     """
 
-    directions: int = 64
-    share: float = 0.2
-    threshold: float = 0.75
-    first_width: float = 0.8
-    widen: float = 1.12
-    block_rows: int = 32_768
-    query_rows: int = 512
+    directions: int = 65
+    share: float = 0.1
+    threshold: float = 0.85
+    sample: int = 256
+    first_width: float = 0.97
+    widen: float = 1.04
+    block_rows: int = 16_384
+    query_rows: int = 1024
     seed: int = 11
 
 
+def orthogonal(width: int, directions: int, seed: int) -> np.ndarray:
+    """Directions as columns: random, and orthogonal in runs of ``width``."""
+    rng, runs = np.random.default_rng(seed), -(-directions // width)
+    return np.concatenate([np.linalg.qr(rng.standard_normal((width, width)))[0] for _ in range(runs)], axis=1)[:, :directions]
+
+
 class Block:
     """One block's vectors and, per direction, its sorted projections."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, longest: float, how: Search):
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, scale: float, longest: float, how: Search):
+        """Vectors are divided by ``scale``, their greatest component, but for their scores."""
         self.ids, self.vectors, self.how = ids, vectors.astype(np.float64), how
-        rest = longest**2 - (self.vectors**2).sum(axis=1)
-        self.lift = np.sqrt(np.maximum(rest, 0.0))
-        rng = np.random.default_rng(how.seed)
-        self.axes = rng.standard_normal((vectors.shape[1] + 1, how.directions))
-        projected = (self.vectors @ self.axes[:-1] + self.lift[:, None] * self.axes[-1]).T
+        scaled = self.vectors / scale
+        lift = np.sqrt(np.maximum(longest**2 - (scaled**2).sum(axis=1), 0.0))
+        self.longest, self.axes = longest, orthogonal(vectors.shape[1] + 1, how.directions, how.seed)
+        projected = (scaled @ self.axes[:-1] + lift[:, None] * self.axes[-1]).T
         self.order = np.argsort(projected, axis=1, kind="stable").astype(np.int32)
         self.sorted = np.take_along_axis(projected, self.order, axis=1)
+        rng = np.random.default_rng(how.seed)
+        self.sample = projected[:, rng.permutation(len(ids))[: how.sample]]
 
-    def candidates(self, at: np.ndarray, unit: float, wanted: int) -> np.ndarray:
+    def first_width(self, at: np.ndarray, wanted: int, needed: int) -> float:
+        """Just below the width at which ``wanted`` vectors collide, as the sample has it."""
+        apart = np.partition(np.abs(self.sample - at[:, None]), needed - 1, axis=0)[needed - 1]
+        place = min(len(apart) - 1, wanted * len(apart) // len(self.ids))
+        return float(np.partition(apart, place)[place]) * self.how.first_width
+
+    def window(self, at: np.ndarray, width: float) -> tuple[np.ndarray, np.ndarray]:
+        low = np.fromiter((s.searchsorted(x - width, "left") for s, x in zip(self.sorted, at)), np.int64, len(at))
+        high = np.fromiter((s.searchsorted(x + width, "right") for s, x in zip(self.sorted, at)), np.int64, len(at))
+        return low, high
+
+    def tally(self, pieces: list[np.ndarray]) -> np.ndarray:
+        return np.bincount(np.concatenate(pieces), minlength=len(self.ids))
+
+    def candidates(self, at: np.ndarray, wanted: int) -> np.ndarray:
         """Rows that collide often enough with a query that projects to ``at``."""
-        n, how = len(self.ids), self.how
-        counts = np.zeros(n, np.int32)
-        needed = max(1, round(how.threshold * how.directions))
-        middle = np.array([np.searchsorted(s, x) for s, x in zip(self.sorted, at)])
-        low, high = middle.copy(), middle.copy()
-        width = how.first_width * unit
+        n, many = len(self.ids), len(at)
+        needed = max(1, round(self.how.threshold * many))
+        width = self.first_width(at, wanted, needed)
+        low, high = self.window(at, width)
+        # Collisions of the first windows are what does not lie outside of them, where that is less.
+        if 2 * int((high - low).sum()) > n * many:
+            outside = [o[:a] for o, a in zip(self.order, low)] + [o[b:] for o, b in zip(self.order, high)]
+            counts = many - self.tally(outside)
+        else:
+            counts = self.tally([o[a:b] for o, a, b in zip(self.order, low, high)])
         while True:
-            rings = []
-            for d in range(how.directions):
-                s = self.sorted[d]
-                new_low = int(s.searchsorted(at[d] - width, "left"))
-                new_high = int(s.searchsorted(at[d] + width, "right"))
-                new_low, new_high = min(new_low, low[d]), max(new_high, high[d])
-                rings += [self.order[d, new_low : low[d]], self.order[d, high[d] : new_high]]
-                low[d], high[d] = new_low, new_high
-            counts += np.bincount(np.concatenate(rings), minlength=n).astype(np.int32)
             found = np.flatnonzero(counts >= needed)
             if len(found) >= min(wanted, n) or bool((low == 0).all() and (high == n).all()):
                 return found
-            width *= how.widen
-
-    def search(self, query_id: int, query: np.ndarray, top: int, unit: float) -> tuple[np.ndarray, np.ndarray]:
+            # A sample of equal vectors can start at no width at all.
+            width = max(width * self.how.widen, np.finfo(float).eps * self.longest)
+            wider_low, wider_high = self.window(at, width)
+            rings = [o[a:b] for o, a, b in zip(self.order, wider_low, low)]
+            rings += [o[a:b] for o, a, b in zip(self.order, high, wider_high)]
+            counts += self.tally(rings)
+            low, high = wider_low, wider_high
+
+    def search(self, query_id: int, query: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the best candidates, ties to smaller ids."""
         wanted = int(self.how.share * len(self.ids)) + top + 1
         # A query's length changes no order; at the vectors' length it meets them best.
-        length = np.sqrt(query @ query)
-        found = self.candidates(query @ self.axes[:-1] * (unit / length), unit, wanted)
+        turned = query / np.abs(query).max()
+        turned *= self.longest / np.sqrt(turned @ turned)
+        found = self.candidates(turned @ self.axes[:-1], wanted)
         found = found[self.ids[found] != query_id]
         scores = self.vectors[found] @ query
         best = np.lexsort((self.ids[found], -scores))[:top]
@@ -107,7 +134,7 @@ def packed_rows(frame: DataFrame, group: str, name: str) -> DataFrame:
     return frame.groupBy(group).applyInPandas(pack, f"{group} {kind}, {name}_ids binary, {name}_vectors binary")
 
 
-def searched(width: int, longest: float, top: int, how: Search):
+def searched(width: int, scale: float, longest: float, top: int, how: Search):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[int, Block] = {}
         for rows in batches:
@@ -115,11 +142,10 @@ def searched(width: int, longest: float, top: int, how: Search):
                 ["block", "of_ids", "of_vectors", "query_ids", "query_vectors"]
             ].itertuples(index=False):
                 if block not in held:
-                    held = {block: Block(np.frombuffer(ids, "<i8"), matrix(vectors, width), longest, how)}
+                    held = {block: Block(np.frombuffer(ids, "<i8"), matrix(vectors, width), scale, longest, how)}
                 out = []
                 for number, query in zip(np.frombuffer(query_ids, "<i8"), matrix(queries, width)):
-                    # Widths follow the length of the lifted vectors.
-                    found, scores = held[block].search(number, query, top, longest or 1.0)
+                    found, scores = held[block].search(number, query, top)
                     out.append(pd.DataFrame({"query_id": number, "vec_id": found, "score": scores}))
                 yield pd.concat(out, ignore_index=True)
 
@@ -141,21 +167,26 @@ def nearest(
     def usable(frame: DataFrame) -> DataFrame:
         wide = frame.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vector"))
         fine = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-        square = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
-        return wide.filter("id is not null").filter(fine).withColumn("square", square).filter("square > 0")
+        wide = wide.filter("id is not null").filter(fine)
+        # Greatest component, and length in its terms: neither under- nor overflows.
+        peak = F.array_max(F.transform("vector", F.abs))
+        square = F.aggregate("vector", F.lit(0.0), lambda a, x: a + (x / F.col("peak")) * (x / F.col("peak")))
+        return wide.withColumn("peak", peak).filter("peak > 0").withColumn("length", F.sqrt(square))
 
     spark = vectors.sparkSession
     rows = stored(usable(vectors), "vectors")
-    shape = rows.groupBy(F.size("vector").alias("width")).agg(F.count("*").alias("n"), F.max("square").alias("most"))
+    shape = rows.groupBy(F.size("vector").alias("width")).agg(F.count("*").alias("n"), F.max("peak").alias("peak"))
     first = shape.orderBy(F.desc("n"), "width").first()
     schema = "query_id long, rank int, vec_id long, score double"
     if first is None:
         return spark.createDataFrame([], schema)
-    width, count, longest = first["width"], first["n"], float(np.sqrt(first["most"]))
+    width, count, scale = first["width"], first["n"], first["peak"]
+    same = rows.filter(F.size("vector") == width)
+    longest = same.select(F.max(F.col("peak") / scale * F.col("length"))).first()[0]
     blocks = max(1, -(-count // how.block_rows))
     asked = stored(usable(queries).filter(F.size("vector") == width), "queries")
     parts = max(1, -(-asked.count() // how.query_rows))
-    dealt = rows.filter(F.size("vector") == width).select(
+    dealt = same.select(
         "id", "vector", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block")
     )
     index = packed_rows(dealt, "block", "of")
@@ -163,7 +194,7 @@ def nearest(
     batch = packed_rows(asked.select("id", "vector", part), "part", "query")
     every = batch.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     pairs = every.join(index, "block").repartition(max(1, min(blocks * parts, 100_000)), "block", "part")
-    found = pairs.mapInPandas(searched(width, longest, top, how), "query_id long, vec_id long, score double")
+    found = pairs.mapInPandas(searched(width, scale, longest, top, how), "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -209,6 +209,14 @@ def test_neighbours_reach_recall_and_leave_out_bad_vectors(spark):
         assert [s for _, s, _ in found] == sorted((s for _, s, _ in found), reverse=True)
         hits += len({j for j, *_ in found} & set(order))
     assert hits / (20 * len(got)) >= 0.9
+    # Tiny and huge vectors, ties, repeated ids and columns that clash.
+    odd = [(0, [1e-170, 0.0]), (1, [2e-170, 1e-200]), (2, [1e160, 1e160]), (3, [-1e160, 0.0]), (4, [0.0, 0.0]),
+           (5, [3.0, 4.0]), (6, [3.0, 4.0]), (6, [3.0, 4.0])]
+    odd = spark.createDataFrame([(*r, 1, "s") for r in odd], "vec_id long, embedding array<double>, id int, score string")
+    found = [tuple(r)[:3] for r in ann.nearest(odd, odd.filter("vec_id in (0, 4, 5)"), top=5).orderBy("query_id", "rank").collect()]
+    assert found == [(0, 1, 2), (0, 2, 5), (0, 3, 6), (0, 4, 6), (0, 5, 1)] + [(5, 1, 2), (5, 2, 6), (5, 3, 6), (5, 4, 1), (5, 5, 0)]
+    same = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(50)], "vec_id long, embedding array<double>")
+    assert [r["vec_id"] for r in ann.nearest(same, same.filter("vec_id = 20")).orderBy("rank").collect()] == list(range(20))
     few = frame.filter("vec_id < 5")
     assert ann.nearest(few, few.filter("vec_id = 0")).count() == 4
     assert ann.nearest(frame.limit(0), frame.limit(0)).count() == 0
