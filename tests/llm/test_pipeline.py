@@ -27,4 +27,4 @@ def test_stages_pass_on_the_columns_of_documents(spark, tmp_path):
 
 
 def test_each_operator_has_its_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
