@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
+from typing import Any
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -96,3 +99,43 @@ def anti(rows: DataFrame, key: str, keys: DataFrame) -> DataFrame:
     known = marked(rows, key, keys)
     left = known.filter("_maybe").join(keys.select(key), key, "left_anti")
     return known.filter("not _maybe").select(*rows.columns).union(left.select(*rows.columns))
+
+
+# Bits a key gets in the bitmap below, and the most bits in all (64 MB).
+BITS_PER_KEY = 32
+MOST_BITS = 1 << 29
+
+
+@dataclass(frozen=True)
+class Marks:
+    """A bitmap over the leading bits of 64-bit hashes, broadcast to all tasks."""
+
+    bitmap: Any
+    shift: int
+
+    def holds(self, hashes: np.ndarray) -> np.ndarray:
+        """False where a hash is surely not among the marked ones."""
+        place = hashes.view(np.uint64) >> np.uint64(self.shift)
+        byte = self.bitmap.value[(place >> np.uint64(3)).astype(np.int64)]
+        return (byte >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
+def marks(keys: DataFrame, key: str) -> Marks:
+    """The bitmap of the hashes ``key``, which must be spread evenly over 64 bits.
+
+    It grows with their number up to ``MOST_BITS``; beyond, more hashes pass it by chance.
+    """
+    wanted = min(max(keys.count() * BITS_PER_KEY, BITMAP_BITS), MOST_BITS)
+    size = 1 << (wanted - 1).bit_length()
+    shift = 64 - (size.bit_length() - 1)
+    place = F.shiftrightunsigned(key, shift)
+    rows = (
+        keys.select(F.floor(place / BITMAP_BITS).cast("int").alias("part"), F.pmod(place, F.lit(BITMAP_BITS)).alias("bit"))
+        .groupBy("part")
+        .agg(F.bitmap_construct_agg("bit").alias("bits"))
+    )
+    bitmap = np.zeros(size // 8, np.uint8)
+    for row in rows.toLocalIterator():
+        start = row["part"] * (BITMAP_BITS // 8)
+        bitmap[start : start + BITMAP_BITS // 8] = np.frombuffer(row["bits"], np.uint8)
+    return Marks(keys.sparkSession.sparkContext.broadcast(bitmap), shift)
