@@ -5,7 +5,7 @@ import random
 import pytest
 
 from corpusloom.llm import minhash, substring
-from corpusloom.llm.common import anti, matches_needed, semi
+from corpusloom.llm.common import marks, anti, matches_needed, semi
 from corpusloom.llm.components import components
 
 DOCS = "doc_id long, text string"
@@ -241,3 +241,53 @@ def test_chains_equal_quadratic_search():
             assert q[b] >= q[a] and r[b] > r[a]
             score += how.seed - how.gap_cost * ((q[b] + r[b]) - (q[a] + r[a]) - 2 * how.seed)
         assert abs(score - best.max()) < 1e-9
+
+
+def test_rising_matches_chain_as_the_tree_has_them():
+    how = substring.Passages()
+    rng = np.random.default_rng(8)
+    for _ in range(200):
+        n = int(rng.integers(1, 30))
+        q, r = np.cumsum(rng.integers(1, 25, n)), np.cumsum(rng.integers(1, 25, n))
+        assert substring.rising(q.tolist(), r.tolist(), how) == substring.linked(q, r, how)
+
+
+def test_minimisers_equal_windows_one_by_one():
+    rng = np.random.default_rng(9)
+    texts = [rng.integers(0, 9, n).astype(np.uint64) for n in (0, 1, 3, 4, 5, 40, 2)]
+    starts, row = [], []
+    for t in texts:
+        starts.append(len(row))
+        row += [*t, *[np.iinfo(np.uint64).max] * 4]
+    counts = np.array([len(t) for t in texts])
+    at, text = substring.minimisers(np.array(row, np.uint64), np.array(starts), counts, 4)
+    wanted = []
+    for i, t in enumerate(texts):
+        if len(t):
+            ends = range(max(len(t) - 3, 1))
+            wanted += [(i, starts[i] + p) for p in sorted({s + int(np.argmin(t[s : s + 4])) for s in ends})]
+    assert list(zip(text.tolist(), at.tolist())) == wanted
+
+
+def test_marks_hold_all_marked_hashes(spark):
+    rng = np.random.default_rng(10)
+    hashes = rng.integers(-(2**63), 2**63 - 1, 5000)
+    keys = spark.createDataFrame([(int(h),) for h in hashes[:2000]], "h long")
+    held = marks(keys, "h").holds(hashes)
+    assert held[:2000].all() and held[2000:].mean() < 0.1
+    assert not marks(keys.limit(0), "h").holds(hashes).any()
+
+
+def test_words_near_a_chain_are_enough_or_all_are_taken(spark):
+    """Alignment in two steps equals alignment with all words at once, also where edits lie far out."""
+    rng = np.random.default_rng(11)
+    docs = []
+    for i in range(30):
+        passage = [f"p{i}w{j}" for j in range(int(rng.integers(60, 500)))]
+        for side in range(2):
+            copy = [w if rng.random() > 0.12 else f"x{i}s{side}j{j}" for j, w in enumerate(passage)]
+            noise = [f"n{i}s{side}j{j}" for j in range(int(rng.integers(0, 300)))]
+            docs.append((2 * i + side, " ".join(noise + copy + noise[:50])))
+    frame = spark.createDataFrame(docs, DOCS)
+    rows = [sorted(map(tuple, substring.repeated_passages(frame, how=substring.Passages(near=near)).collect())) for near in (3, 256)]
+    assert rows[0] == rows[1] and rows[0]
