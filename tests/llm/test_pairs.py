@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from corpusloom.llm import minhash, substring
@@ -276,18 +277,3 @@ def test_marks_hold_all_marked_hashes(spark):
     held = marks(keys, "h").holds(hashes)
     assert held[:2000].all() and held[2000:].mean() < 0.1
     assert not marks(keys.limit(0), "h").holds(hashes).any()
-
-
-def test_words_near_a_chain_are_enough_or_all_are_taken(spark):
-    """Alignment in two steps equals alignment with all words at once, also where edits lie far out."""
-    rng = np.random.default_rng(11)
-    docs = []
-    for i in range(30):
-        passage = [f"p{i}w{j}" for j in range(int(rng.integers(60, 500)))]
-        for side in range(2):
-            copy = [w if rng.random() > 0.12 else f"x{i}s{side}j{j}" for j, w in enumerate(passage)]
-            noise = [f"n{i}s{side}j{j}" for j in range(int(rng.integers(0, 300)))]
-            docs.append((2 * i + side, " ".join(noise + copy + noise[:50])))
-    frame = spark.createDataFrame(docs, DOCS)
-    rows = [sorted(map(tuple, substring.repeated_passages(frame, how=substring.Passages(near=near)).collect())) for near in (3, 256)]
-    assert rows[0] == rows[1] and rows[0]
