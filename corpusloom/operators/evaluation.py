@@ -123,53 +123,53 @@ def rouge_words(text: Column, use_stemmer: bool) -> Column:
     return stemmed(tokens) if use_stemmer else tokens
 
 
-def ngrams(tokens: Column, n: int) -> Column:
-    """Hashes of all runs of ``n`` tokens; short fixed keys instead of strings."""
+# An odd number; n-grams are hashed by multiplying and adding their words' hashes.
+STEP = np.uint64(0x9E3779B97F4A7C15)
 
-    def runs(parts: Column) -> Column:
-        found = F.transform(
-            F.sequence(F.lit(0), F.size(parts) - n),
-            lambda i: F.xxhash64(*[F.get(parts, i + j) for j in range(n)]),
-        )
-        return F.when(F.size(parts) >= n, found).otherwise(F.array().cast("array<bigint>"))
 
-    return tx.let(tokens, runs)
+def shared_ngrams(a: np.ndarray, b: np.ndarray, n: int) -> int:
+    """N-grams of two rows of word hashes in common, each as often as both have it."""
 
+    def counts(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        total = np.zeros(max(len(words) - n + 1, 0), np.uint64)
+        for i in range(n):
+            total = total * STEP + words[i : i + len(total)].view(np.uint64)
+        return np.unique(total, return_counts=True)
 
-def counted(grams: Column, n: int, side: str) -> Column:
-    return F.transform(
-        grams,
-        lambda g: F.struct(
-            F.lit(n).alias("n"),
-            g.alias("gram"),
-            F.lit(int(side == "reference")).alias("in_reference"),
-            F.lit(int(side == "prediction")).alias("in_prediction"),
-        ),
-    )
+    (x, x_counts), (y, y_counts) = counts(a), counts(b)
+    _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+    return int(np.minimum(x_counts[i], y_counts[j]).sum())
 
 
-def gram_counts(pairs: DataFrame, tokens: dict[str, Column], sizes: Sequence[int]) -> DataFrame:
-    """(model, id, n, gram, in_reference, in_prediction) of the answered pairs.
+def overlap(predicted: Column, expected: Column, sizes: Sequence[int], subsequence: bool = False) -> Column:
+    """Struct (hits, common, predicted, expected) of two token arrays, inside the row.
 
-    The texts are hashed by pair first; that one shuffle serves this and any
-    further aggregate by pair. A pair without n-grams gives a row with a null n.
+    ``hits`` holds the common n-grams per size, ``common`` the longest common subsequence if
+    asked for, the others the numbers of tokens. Tokens are compared by 64-bit hashes.
     """
-    ready = (
-        pairs.filter(answered())
-        .repartition("model", "id")
-        .select("model", "id", *[c.alias(s) for s, c in tokens.items()])
-    )
-    grams = F.concat(
-        *[counted(ngrams(F.col(side), n), n, side) for n in sizes for side in tokens]
-    )
-    return (
-        ready.select("model", "id", F.explode_outer(grams).alias("g"))
-        .groupBy("model", "id", F.col("g.n").alias("n"), F.col("g.gram").alias("gram"))
-        .agg(
-            F.coalesce(F.sum("g.in_reference"), F.lit(0)).alias("in_reference"),
-            F.coalesce(F.sum("g.in_prediction"), F.lit(0)).alias("in_prediction"),
-        )
-    )
+
+    @F.pandas_udf("hits array<long>, common int, predicted int, expected int")
+    def measure(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+        rows = [
+            (
+                [shared_ngrams(x, y, n) for n in sizes],
+                common_subsequence(x.tolist(), y.tolist()) if subsequence else 0,
+                len(x),
+                len(y),
+            )
+            for x, y in zip(a, b)
+        ]
+        return pd.DataFrame(rows, columns=["hits", "common", "predicted", "expected"])
+
+    def hashed(tokens: Column) -> Column:
+        # Rows without an answer cost no comparison.
+        return F.when(answered(), F.transform(tokens, lambda t: F.xxhash64(t))).otherwise(F.array().cast("array<bigint>"))
+
+    return measure(hashed(predicted), hashed(expected))
+
+
+def grams_in(tokens: Column, n: int) -> Column:
+    return F.greatest(tokens - (n - 1), F.lit(0))
 
 
 def f_measure(hits: Column, predicted: Column, expected: Column) -> Column:
@@ -179,38 +179,30 @@ def f_measure(hits: Column, predicted: Column, expected: Column) -> Column:
     return F.when(both > 0, 2 * precision * recall / both).otherwise(0.0)
 
 
-def rouge_n_scores(pairs: DataFrame, n: int, use_stemmer: bool = False) -> DataFrame:
-    """(model, id, score) of every answered pair."""
-    tokens = {s: rouge_words(F.col(s), use_stemmer) for s in ("reference", "prediction")}
-    sums = (
-        gram_counts(pairs, tokens, [n])
-        .groupBy("model", "id")
-        .agg(
-            F.sum(F.least("in_reference", "in_prediction")).alias("hits"),
-            F.sum("in_prediction").alias("predicted"),
-            F.sum("in_reference").alias("expected"),
-        )
-    )
-    return sums.select(
-        "model", "id",
-        f_measure(F.col("hits"), F.col("predicted"), F.col("expected")).alias("score"),
+def rouge_overlap(sizes: Sequence[int], subsequence: bool, use_stemmer: bool) -> Column:
+    return overlap(*[rouge_words(F.col(s), use_stemmer) for s in ("prediction", "reference")], sizes, subsequence)
+
+
+def rouge_n(found: Column, place: int, n: int) -> Column:
+    """ROUGE-n from an ``overlap`` that has its hits at ``place``."""
+    return f_measure(
+        F.get(found["hits"], F.lit(place)), grams_in(found["predicted"], n), grams_in(found["expected"], n)
     )
 
 
-@F.pandas_udf(T.IntegerType())
-def common_length(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([common_subsequence(list(x), list(y)) for x, y in zip(a, b)], dtype="int32")
+def rouge_l(found: Column) -> Column:
+    return f_measure(found["common"], found["predicted"], found["expected"])
+
+
+def rouge_n_scores(pairs: DataFrame, n: int, use_stemmer: bool = False) -> DataFrame:
+    """(model, id, score) of every answered pair."""
+    rows = pairs.filter(answered()).select("model", "id", rouge_overlap([n], False, use_stemmer).alias("found"))
+    return rows.select("model", "id", rouge_n(F.col("found"), 0, n).alias("score"))
 
 
 def rouge_l_scores(pairs: DataFrame, use_stemmer: bool = False) -> DataFrame:
-    rows = pairs.filter(answered()).select(
-        "model", "id",
-        rouge_words(F.col("reference"), use_stemmer).alias("expected"),
-        rouge_words(F.col("prediction"), use_stemmer).alias("predicted"),
-    )
-    hits = rows.withColumn("hits", common_length("expected", "predicted"))
-    score = f_measure(F.col("hits"), F.size("predicted"), F.size("expected"))
-    return hits.select("model", "id", score.alias("score"))
+    rows = pairs.filter(answered()).select("model", "id", rouge_overlap([], True, use_stemmer).alias("found"))
+    return rows.select("model", "id", rouge_l(F.col("found")).alias("score"))
 
 
 def mean_score(pairs: DataFrame, scores: DataFrame, metric: str) -> DataFrame:
@@ -223,33 +215,44 @@ def mean_score(pairs: DataFrame, scores: DataFrame, metric: str) -> DataFrame:
     )
 
 
+ROUGE = ("rouge_1", "rouge_2", "rouge_l")
+BLEU_SIZES = (1, 2, 3, 4)
+
+
+def text_metrics(pairs: DataFrame, metrics: Sequence[str], use_stemmer: bool = False) -> DataFrame:
+    """(model, metric, value) of ROUGE means and ``bleu_score``, in one pass over the texts.
+
+    Texts are compared within their row; only sums by model are shuffled. A model without
+    answered pairs scores 0.
+    """
+    rows, totals = pairs.select("model", "prediction", "reference"), []
+    rouge = [m for m in ROUGE if m in metrics]
+    if rouge:
+        rows = rows.withColumn("r", rouge_overlap((1, 2), "rouge_l" in rouge, use_stemmer))
+        scores = {"rouge_1": rouge_n(F.col("r"), 0, 1), "rouge_2": rouge_n(F.col("r"), 1, 2), "rouge_l": rouge_l(F.col("r"))}
+        totals += [F.coalesce(F.avg(F.when(answered(), scores[m])), F.lit(0.0)).alias(m) for m in rouge]
+    if "bleu_score" in metrics:
+        rows = rows.withColumn("b", overlap(tx.words(F.col("prediction")), tx.words(F.col("reference")), BLEU_SIZES))
+        totals += [F.sum(F.get("b.hits", F.lit(n - 1))).alias(f"hits_{n}") for n in BLEU_SIZES]
+        totals += [F.sum(grams_in(F.col("b.predicted"), n)).alias(f"predicted_{n}") for n in BLEU_SIZES]
+        totals.append(F.sum("b.expected").alias("expected"))
+    values = [F.col(m) for m in rouge]
+    if "bleu_score" in metrics:
+        values.append(bleu().alias("bleu_score"))
+    return long_metrics(rows.groupBy("model").agg(*totals).select("model", *values))
+
+
+def bleu() -> Column:
+    """BLEU-4 from the sums of a model; 0 unless n-grams of all sizes are shared."""
+    shares = [F.try_divide(F.nullif(F.col(f"hits_{n}"), F.lit(0)), F.col(f"predicted_{n}")) for n in BLEU_SIZES]
+    mean_log = sum((F.ln(s) for s in shares[1:]), F.ln(shares[0])) / len(shares)
+    penalty = F.least(F.lit(0.0), 1 - F.try_divide("expected", "predicted_1"))
+    return F.coalesce(F.exp(mean_log + penalty), F.lit(0.0))
+
+
 def corpus_bleu(pairs: DataFrame) -> DataFrame:
     """(model, metric, value): BLEU-4 on blank-separated words, one reference, 0 to 1."""
-    tokens = {s: tx.words(F.col(s)) for s in ("reference", "prediction")}
-    sums = (
-        gram_counts(pairs, tokens, [1, 2, 3, 4])
-        .filter("n is not null")
-        .groupBy("model", "n")
-        .agg(
-            F.sum(F.least("in_reference", "in_prediction")).alias("hits"),
-            F.sum("in_prediction").alias("predicted"),
-            F.sum("in_reference").alias("expected"),
-        )
-    )
-    # A row without counts for every model, so that none is lost.
-    named = pairs.select("model").groupBy("model").agg(
-        *[F.lit(None).cast(t).alias(c) for c, t in sums.dtypes if c != "model"]
-    )
-    one = F.col("n") == 1
-    parts = sums.unionByName(named).groupBy("model").agg(
-        F.count_if(F.col("hits") > 0).alias("orders"),
-        F.avg(F.ln(F.nullif(F.col("hits"), F.lit(0)) / F.col("predicted"))).alias("mean_log"),
-        F.max(F.when(one, F.col("predicted"))).alias("length"),
-        F.max(F.when(one, F.col("expected"))).alias("wanted"),
-    )
-    penalty = F.least(F.lit(0.0), 1 - F.try_divide("wanted", "length"))
-    score = F.when(F.col("orders") == 4, F.exp(F.col("mean_log") + penalty)).otherwise(0.0)
-    return parts.select("model", F.lit("bleu_score").alias("metric"), score.alias("value"))
+    return text_metrics(pairs, ["bleu_score"])
 
 
 @F.pandas_udf(T.DoubleType())
@@ -315,17 +318,15 @@ def evaluate(
 ) -> DataFrame:
     """(model, metric, value) of the chosen metrics, response times always included.
 
-    ``vectors`` holds (model, predicted, expected) for ``bert_score``. The pairs
-    are materialised once for all metrics.
+    ``rouge`` stands for ``rouge_1``, ``rouge_2`` and ``rouge_l``. ``vectors`` holds (model,
+    predicted, expected) for ``bert_score``. The pairs are materialised once for all metrics.
     """
     pairs = cut(pairs)
     parts = [long_metrics(response_times(pairs))]
-    if "rouge" in metrics:
-        for n in (1, 2):
-            parts.append(mean_score(pairs, rouge_n_scores(pairs, n, use_stemmer), f"rouge_{n}"))
-        parts.append(mean_score(pairs, rouge_l_scores(pairs, use_stemmer), "rouge_l"))
-    if "bleu" in metrics:
-        parts.append(corpus_bleu(pairs))
+    texts = [m for m in ROUGE if m in metrics or "rouge" in metrics]
+    texts += ["bleu_score"] if "bleu" in metrics else []
+    if texts:
+        parts.append(text_metrics(pairs, texts, use_stemmer))
     if "bert_score" in metrics and vectors is not None:
         matched = embedding_match(vectors).select("model", F.col("f1").alias("score"))
         parts.append(mean_score(pairs, matched, "bert_score"))

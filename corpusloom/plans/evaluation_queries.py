@@ -10,7 +10,6 @@ from corpusloom.operators import evaluation as ev
 from corpusloom.plans.registry import query
 from corpusloom.plans.sql_parts import PAIRS, WORDS
 from corpusloom.plans.trainset_queries import turn_pairs
-from corpusloom.session import cut
 from corpusloom.sources.tables import table
 
 KEYWORDS = ("the", "of", "que", "der", "charging")
@@ -234,10 +233,8 @@ def response_times(spark, folder):
 
 def metrics(spark, folder) -> DataFrame:
     """BLEU, ROUGE-1, keywords and times of both models, one row per metric."""
-    pairs = cut(timed_pairs(spark, folder))
-    chosen = ev.evaluate(pairs, ("bleu", "domain_relevance"), keywords=KEYWORDS)
-    rouge = ev.mean_score(pairs, ev.rouge_n_scores(pairs, 1), "rouge_1")
-    return chosen.unionByName(rouge)
+    chosen = ("rouge_1", "bleu", "domain_relevance")
+    return ev.evaluate(timed_pairs(spark, folder), chosen, use_stemmer=False, keywords=KEYWORDS)
 
 
 METRICS_SQL = f"""

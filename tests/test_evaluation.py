@@ -202,3 +202,22 @@ def test_latency(spark):
     assert row["p95_latency_ms"] == pytest.approx(np.percentile([0, 1, 2, 10], 95) * 1000)
     assert row["avg_throughput_tokens_per_sec"] == pytest.approx((2.6 + 0.65) / 4)
     assert set(ev.latency_report(runs, approximate=True).columns) == set(row.asDict())
+
+
+def test_shared_ngrams_equal_multisets(spark):
+    rng = random.Random(5)
+    rows = [(i, "m", " ".join(rng.choices("abc", k=rng.randint(1, 30))), " ".join(rng.choices("abc", k=rng.randint(1, 30)))) for i in range(60)]
+    frame = spark.createDataFrame(rows, "id long, model string, prediction string, reference string")
+    for n in (1, 2, 5):
+        got = {r["id"]: r["score"] for r in ev.rouge_n_scores(frame, n).collect()}
+        for i, _, a, b in rows:
+            x, y = (Counter(tuple(t.split()[j : j + n]) for j in range(len(t.split()) - n + 1)) for t in (a, b))
+            hits = (x & y).total()
+            p, q = hits / max(x.total(), 1), hits / max(y.total(), 1)
+            assert got[i] == pytest.approx(2 * p * q / (p + q) if hits else 0.0)
+
+
+def test_text_metrics_shuffle_sums_only(spark):
+    frame = spark.createDataFrame([(1, "m", "a b c d e", "a b c d f")], "id long, model string, prediction string, reference string")
+    plan = ev.text_metrics(frame, (*ev.ROUGE, "bleu_score"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "hashpartitioning(model" in plan
