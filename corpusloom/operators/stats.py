@@ -95,46 +95,96 @@ def validation_verdict() -> list[Column]:
     ]
 
 
-def summary_totals() -> list[Column]:
-    """Aggregates over web and pdf records; ``page_count`` counts pdf pages."""
+def summary_rows(docs: DataFrame) -> DataFrame:
+    """Web and pdf records by what the summary counts."""
     web, pdf = F.col("source_type") == "web", F.col("source_type") == "pdf"
-    size = F.when(web | pdf, F.length(F.coalesce("content", F.lit(""))))
-    host = F.when(web & (F.col("url") != ""), netloc(F.col("url")))
-    language = F.when(web, F.nullif(F.col("language"), F.lit("")))
-    total, chars = F.count(size), F.coalesce(F.sum(size), F.lit(0))
+    return docs.filter(web | pdf).select(
+        F.when(web, F.nullif(F.col("language"), F.lit(""))).alias("language"),
+        F.when(web & (F.col("url") != ""), netloc(F.col("url"))).alias("host"),
+        web.cast("int").alias("web"),
+        F.length(F.coalesce("content", F.lit(""))).alias("size"),
+        F.when(pdf, F.col("page_count")).alias("pages"),
+    )
+
+
+COUNTS = ("items", "web", "chars", "pages")
+
+
+def summary_counts() -> list[Column]:
+    sums = {"web": "web", "chars": "size", "pages": "pages"}
+    return [F.count(F.lit(1)).alias("items")] + [F.coalesce(F.sum(c), F.lit(0)).alias(n) for n, c in sums.items()]
+
+
+def summary_columns(domains: Column, languages: Column, total: Column) -> list[Column]:
+    """The summary's columns from ``COUNTS``, summed up over the rows of ``total``."""
+    items, web, chars, pages = (F.coalesce(F.sum(F.when(total, F.col(c))), F.lit(0)) for c in COUNTS)
     return [
-        total.alias("total_sources"),
-        F.count_if(web).alias("web_sources_count"),
-        F.count_if(pdf).alias("pdf_sources_count"),
+        items.alias("total_sources"),
+        web.alias("web_sources_count"),
+        (items - web).alias("pdf_sources_count"),
         chars.alias("total_content_chars"),
-        ratio(chars, total).alias("average_content_length"),
-        F.count_distinct(host).alias("unique_domains"),
-        F.array_sort(F.collect_set(language)).alias("languages_detected"),
-        F.coalesce(F.sum(F.when(pdf, F.col("page_count"))), F.lit(0)).alias("total_pages"),
+        ratio(chars, items).alias("average_content_length"),
+        domains.alias("unique_domains"),
+        F.array_sort(F.collect_list(languages)).alias("languages_detected"),
+        pages.alias("total_pages"),
     ]
 
 
+def summary_parts(docs: DataFrame) -> DataFrame:
+    """One row per language of a batch: counts, and a sketch of its hosts.
+
+    Parts of any batches can be stored side by side and merged without their documents.
+    """
+    hosts = F.hll_sketch_agg("host", F.lit(14)).alias("hosts")
+    return summary_rows(docs).groupBy("language").agg(*summary_counts(), hosts)
+
+
+def merge_parts(parts: DataFrame) -> DataFrame:
+    """Parts of several batches as those of one."""
+    sums = [F.sum(c).alias(c) for c in COUNTS]
+    return parts.groupBy("language").agg(*sums, F.hll_union_agg("hosts").alias("hosts"))
+
+
+def summary_of_parts(parts: DataFrame) -> DataFrame:
+    """The summary of all batches that have a part; ``unique_domains`` is an estimate (1 % off or so)."""
+    domains = F.coalesce(F.hll_sketch_estimate(F.hll_union_agg("hosts")), F.lit(0).cast("long"))
+    return merge_parts(parts).agg(*summary_columns(domains, F.col("language"), F.lit(True)))
+
+
 def validation_report(docs: DataFrame, rules: Collection = Collection()) -> DataFrame:
     """One row: totals, then errors, warnings and recommendations by fixed rules."""
     return docs.agg(*validation_totals(rules)).select(*validation_verdict())
 
 
 def collection_summary(docs: DataFrame) -> DataFrame:
-    """One row of counts over web and pdf records."""
-    return docs.agg(*summary_totals())
+    """One row of counts over web and pdf records.
+
+    Languages and hosts are grouped in one pass, each spread over the tasks; the last step
+    sees a row per language and counts the hosts' rows.
+    """
+    rows = summary_rows(docs)
+    sets = rows.groupingSets([["language"], ["host"]], "language", "host").agg(
+        F.grouping("host").alias("by_language"), *summary_counts()
+    )
+    by_language = F.col("by_language") == 1
+    domains = F.count(F.when(~by_language, F.col("host")))
+    return sets.agg(*summary_columns(domains, F.when(by_language, F.col("language")), by_language))
 
 
 def collection_report(docs: DataFrame, rules: Collection = Collection()) -> DataFrame:
-    """One row: summary, validation and the settings, in one pass, ready for JSON."""
+    """One row: summary, validation and the settings, ready for JSON."""
     settings = {
         "max_pages_per_source": rules.max_pages_per_source,
         "min_content_length": rules.min_content_length,
         "max_content_length": rules.max_content_length,
     }
-    totals = docs.agg(
-        F.struct(*summary_totals()).alias("collection_summary"), *validation_totals(rules)
+    totals = docs.agg(*validation_totals(rules))
+    summary = collection_summary(docs)
+    both = totals.unionByName(
+        summary.select(F.struct(*summary.columns).alias("collection_summary")), allowMissingColumns=True
     )
-    return totals.select(
+    one = both.agg(*[F.first(c, ignorenulls=True).alias(c) for c in both.columns])
+    return one.select(
         "collection_summary",
         F.struct(*validation_verdict()).alias("validation"),
         F.struct(*[F.lit(v).alias(k) for k, v in settings.items()]).alias("configuration"),

@@ -114,3 +114,22 @@ def test_processed_and_dataset_round_trips(spark, tmp_path):
     assert {tuple(r) for r in rows.collect()} == {(1, None), (None, "x")}
     sinks.save_evaluation(chunks, chunks.limit(1), str(tmp_path / "ev"))
     assert spark.read.parquet(str(tmp_path / "ev" / "examples")).count() == 2
+
+
+def test_summary_parts_merge_without_documents(spark, tmp_path):
+    schema = "source_type string, language string, url string, content string, page_count int"
+    web = [("web", f"l{i % 7}", f"https://h{i % 300}.example/{i}", "x" * (i % 50), None) for i in range(2000)]
+    rows = web + [("pdf", "en", None, "text", 3), ("pdf", None, None, None, None), ("web", "", "", None, 9), ("json", "zz", None, "y", 1)]
+    docs = spark.createDataFrame(rows, schema).withColumn("source_path", F.lit(None).cast("string"))
+    exact = stats.collection_summary(docs).first()
+    assert exact["languages_detected"] == [f"l{i}" for i in range(7)] and exact["unique_domains"] == 300
+    assert (exact["total_pages"], exact["pdf_sources_count"], exact["total_sources"]) == (3, 2, 2003)
+    for i, batch in enumerate(docs.randomSplit([1.0, 2.0, 1.0], 4)):
+        stats.summary_parts(batch).write.parquet(f"{tmp_path}/parts/batch={i}")
+    parts = spark.read.parquet(f"{tmp_path}/parts")
+    for merged in (parts, stats.merge_parts(parts)):
+        got = stats.summary_of_parts(merged).first().asDict()
+        assert abs(got.pop("unique_domains") - 300) <= 6
+        assert got == {k: v for k, v in exact.asDict().items() if k != "unique_domains"}
+    for empty in (docs.limit(0),):
+        assert stats.collection_summary(empty).first().asDict() == stats.summary_of_parts(stats.summary_parts(empty)).first().asDict()
