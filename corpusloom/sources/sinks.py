@@ -1,7 +1,14 @@
-"""Tables out and back in, with their summaries and manifests."""
+"""Tables out and back in, with their summaries and manifests.
+
+What consists of several tables, and every checkpoint, is written to a folder of its own run.
+A record written last makes the run the one that readers see; a write that was killed on
+the way has none and changes nothing. Folders of earlier runs stay, for readers still in them.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,14 +18,39 @@ MALFORMED = "_malformed"
 MANIFEST = "run_id string, stage string, timestamp timestamp, status string, data_path string, metadata map<string,string>"
 
 
+COMMITS = "run string, timestamp timestamp"
+
+
+def new_run(path: str) -> tuple[str, str]:
+    """The name of a run below ``path`` and its folder."""
+    run = uuid.uuid4().hex
+    return run, f"{path}/runs/{run}"
+
+
+def commit(spark: SparkSession, path: str, run: str) -> None:
+    row = spark.range(1).select(F.lit(run).alias("run"), F.current_timestamp().alias("timestamp"))
+    row.write.mode("append").parquet(f"{path}/commits")
+
+
+def committed(spark: SparkSession, path: str) -> str:
+    """The folder of the last committed run."""
+    commits = spark.read.schema(COMMITS).parquet(f"{path}/commits")
+    return f"{path}/runs/{commits.agg(F.max_by('run', F.struct('timestamp', 'run'))).first()[0]}"
+
+
 def save_raw(docs: DataFrame, path: str) -> None:
-    """The collected rows, and beside them a one-row summary."""
-    docs.write.mode("overwrite").parquet(f"{path}/data")
-    collection_summary(docs).write.mode("overwrite").json(f"{path}/summary")
+    """The collected rows, and beside them a one-row summary, taken from what was written."""
+    spark = docs.sparkSession
+    run, folder = new_run(path)
+    docs.write.parquet(f"{folder}/data")
+    written = spark.read.schema(docs.schema).parquet(f"{folder}/data")
+    collection_summary(written).write.json(f"{folder}/summary")
+    commit(spark, path, run)
 
 
 def load_raw(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    return spark.read.parquet(f"{path}/data"), spark.read.json(f"{path}/summary")
+    folder = committed(spark, path)
+    return spark.read.parquet(f"{folder}/data"), spark.read.json(f"{folder}/summary")
 
 
 def save_processed(chunks: DataFrame, path: str) -> None:
@@ -59,10 +91,10 @@ def malformed_counts(rows: DataFrame) -> DataFrame:
 def save_checkpoint(
     data: DataFrame, root: str, run_id: str, stage: str, metadata: dict[str, str] | None = None
 ) -> str:
-    """A stage's rows as Parquet, and one row more in the manifest."""
+    """A stage's rows as Parquet, then one row more in the manifest, which readers go by."""
     spark = data.sparkSession
-    path = f"{root}/{run_id}/{stage}"
-    data.write.mode("overwrite").parquet(path)
+    path = f"{root}/{run_id}/{stage}/{uuid.uuid4().hex}"
+    data.write.parquet(path)
     row = spark.range(1).select(
         F.lit(run_id).alias("run_id"),
         F.lit(stage).alias("stage"),
@@ -82,10 +114,22 @@ def load_manifest(spark: SparkSession, root: str) -> DataFrame:
 
 
 def load_checkpoint(spark: SparkSession, root: str, run_id: str, stage: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{run_id}/{stage}")
+    """The rows of the stage's last record in the manifest."""
+    own = load_manifest(spark, root).filter((F.col("run_id") == run_id) & (F.col("stage") == stage))
+    path = own.agg(F.max_by("data_path", F.struct("timestamp", "data_path"))).first()[0]
+    if path is None:
+        raise FileNotFoundError(f"no checkpoint of stage {stage} of run {run_id} in {root}")
+    return spark.read.parquet(path)
 
 
 def save_evaluation(results: DataFrame, metrics: DataFrame, path: str) -> None:
-    """One row per (model, example) and one per (model, metric)."""
-    results.write.mode("overwrite").parquet(f"{path}/examples")
-    metrics.write.mode("overwrite").json(f"{path}/metrics")
+    """One row per (model, example) and one per (model, metric), seen together or not at all."""
+    run, folder = new_run(path)
+    results.write.parquet(f"{folder}/examples")
+    metrics.write.json(f"{folder}/metrics")
+    commit(results.sparkSession, path, run)
+
+
+def load_evaluation(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    folder = committed(spark, path)
+    return spark.read.parquet(f"{folder}/examples"), spark.read.json(f"{folder}/metrics")

@@ -113,7 +113,7 @@ def test_processed_and_dataset_round_trips(spark, tmp_path):
     rows = sinks.load_dataset(spark, str(tmp_path / "one"), str(tmp_path / "two"), schema="a int, b string")
     assert {tuple(r) for r in rows.collect()} == {(1, None), (None, "x")}
     sinks.save_evaluation(chunks, chunks.limit(1), str(tmp_path / "ev"))
-    assert spark.read.parquet(str(tmp_path / "ev" / "examples")).count() == 2
+    assert sinks.load_evaluation(spark, str(tmp_path / "ev"))[0].count() == 2
 
 
 def test_summary_parts_merge_without_documents(spark, tmp_path):
@@ -133,3 +133,42 @@ def test_summary_parts_merge_without_documents(spark, tmp_path):
         assert got == {k: v for k, v in exact.asDict().items() if k != "unique_domains"}
     for empty in (docs.limit(0),):
         assert stats.collection_summary(empty).first().asDict() == stats.summary_of_parts(stats.summary_parts(empty)).first().asDict()
+
+
+def failing(frame):
+    """The same rows, the last of which cannot be computed."""
+    return frame.unionAll(frame.limit(1).withColumn("content", F.raise_error(F.lit("lost")).cast("string")))
+
+
+def test_a_write_killed_midway_is_invisible(spark, tmp_path):
+    docs, raw, marks, scores = collected(spark), str(tmp_path / "raw"), str(tmp_path / "marks"), str(tmp_path / "ev")
+    sinks.save_raw(docs, raw)
+    sinks.save_checkpoint(docs, marks, "run", "stage")
+    sinks.save_evaluation(docs, docs.limit(1), scores)
+    for write in (
+        lambda: sinks.save_raw(failing(docs), raw),
+        lambda: sinks.save_checkpoint(failing(docs), marks, "run", "stage"),
+        lambda: sinks.save_evaluation(docs.limit(2), failing(docs), scores),
+    ):
+        with pytest.raises(Exception, match="lost"):
+            write()
+    rows, summary = sinks.load_raw(spark, raw)
+    assert rows.count() == 4 and summary.first()["total_sources"] == 4
+    assert sinks.load_checkpoint(spark, marks, "run", "stage").count() == 4
+    assert [t.count() for t in sinks.load_evaluation(spark, scores)] == [4, 1]
+    sinks.save_raw(docs.limit(3), raw)
+    assert sinks.load_raw(spark, raw)[0].count() == 3
+    with pytest.raises(FileNotFoundError):
+        sinks.load_checkpoint(spark, marks, "run", "other")
+
+
+def test_the_input_of_a_raw_collection_runs_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def watched(text):
+        seen.add(1)
+        return text
+
+    sinks.save_raw(collected(spark).withColumn("content", watched("content")), str(tmp_path / "raw"))
+    assert seen.value == 4
