@@ -1,4 +1,4 @@
-"""Files of each kind as rows. One file is one row, except CSV."""
+"""Files of each kind as rows. One file is one row."""
 
 from __future__ import annotations
 
@@ -6,8 +6,6 @@ import io
 import json
 import zipfile
 from collections.abc import Iterator
-from functools import reduce
-from urllib.parse import unquote
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -37,8 +35,10 @@ def binary_files(spark: SparkSession, path: str) -> DataFrame:
 
 @F.pandas_udf(T.StructType().add("text", "string").add("encoding", "string"))
 def decoded(content: pd.Series) -> pd.DataFrame:
-    def first_fit(data: bytes) -> tuple[str, str]:
-        for encoding in ENCODINGS:
+    def first_fit(data: bytes | None) -> tuple[str | None, str | None]:
+        if data is None:
+            return None, None
+        for encoding in ENCODINGS[1:]:
             try:
                 return bytes(data).decode(encoding), encoding
             except UnicodeDecodeError:
@@ -64,7 +64,15 @@ def document(source: Column, content: Column, kind: str, *details: Column) -> li
 def text_documents(spark: SparkSession, path: str) -> DataFrame:
     """Text and Markdown files; empty files give no row. Lines are counted in the raw text."""
     files = binary_files(spark, path).filter(reader_for(F.col("path")) == "text")
-    rows = files.withColumn("d", decoded.asNondeterministic()("content"))
+    # UTF-8 is decoded in place; only other files go to a Python worker.
+    valid = F.is_valid_utf8(F.col("content").cast("string"))
+    files = files.withColumn("valid", valid).withColumn("other", F.when(~F.col("valid"), F.col("content")))
+    other = decoded.asNondeterministic()("other")
+    rows = files.withColumn("o", other).withColumn(
+        "d",
+        F.when(F.col("valid"), F.struct(F.col("content").cast("string").alias("text"), F.lit(ENCODINGS[0]).alias("encoding")))
+        .otherwise(F.col("o")),
+    )
     raw = F.regexp_replace("d.text", "\r\n?", "\n")
     lines = F.when(raw == "", 0).otherwise(
         F.regexp_count(raw, F.lit("\n")) + F.when(raw.endswith("\n"), 0).otherwise(1)
@@ -103,53 +111,6 @@ def html_documents(
     )
 
 
-def latin_files(spark: SparkSession, path: str) -> set[str]:
-    """Files with a line that is not valid UTF-8; file names only come to the driver."""
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value")
-    valid = lines.groupBy("file").agg(F.bool_and(F.is_valid_utf8("value")).alias("valid"))
-    return {r["file"] for r in valid.filter("not valid").select("file").collect()}
-
-
-def csv_rows(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """The table itself; the files are of one layout, each UTF-8 or else latin-1.
-
-    Give ``schema`` on large inputs; inference reads them twice.
-    """
-    reader = spark.read.option("header", "true")
-    latin = latin_files(spark, path)
-    every = {unquote(f): f for f in spark.read.text(path).inputFiles()}
-    old = [f for f in every if any(unquote(x).endswith(f.split(":", 1)[-1].lstrip("/")) for x in latin)]
-    new = [f for f in every if f not in old]
-    if schema is None:
-        inferred = reader.option("inferSchema", "true")
-        schema = inferred.csv(new).schema if new else inferred.option("encoding", "ISO-8859-1").csv(old).schema
-        if new and old:
-            # A type must hold what either kind of file has.
-            other = inferred.option("encoding", "ISO-8859-1").csv(old).schema
-            pairs = zip(schema.fields, other.fields)
-            schema = T.StructType([T.StructField(a.name, a.dataType if a.dataType == b.dataType else T.StringType()) for a, b in pairs])
-    frames = [reader.schema(schema).option("encoding", e).csv(f) for e, f in (("UTF-8", new), ("ISO-8859-1", old)) if f]
-    return reduce(DataFrame.unionAll, frames)
-
-
-def csv_documents(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """One document per CSV line, so that no file has to fit one row."""
-    rows = csv_rows(spark, path, schema)
-    line = F.to_csv(F.struct("*"))
-    named = rows.select(F.input_file_name().alias("source_path"), line.alias("line"))
-    return named.select(*document(F.col("source_path"), F.col("line"), "csv"))
-
-
-def csv_profile(rows: DataFrame) -> DataFrame:
-    """One row per file: number of rows and columns, names and types."""
-    return rows.groupBy(F.input_file_name().alias("source_path")).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.lit(len(rows.columns)).alias("columns"),
-        F.array(*[F.lit(c) for c in rows.columns]).alias("column_names"),
-        F.array(*[F.lit(t) for _, t in rows.dtypes]).alias("dtypes"),
-    )
-
-
 def type_name(variant_schema: Column, object_name: str, array_name: str) -> Column:
     """A JSON value's type by the names the structure report uses."""
     return (

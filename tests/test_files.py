@@ -50,16 +50,6 @@ def test_html_files_that_fail_are_rows(spark, tmp_path):
     assert rows["bad.html"]["error"] and rows["bad.html"]["content"] is None
 
 
-def test_csv(spark, tmp_path):
-    write(tmp_path / "t.csv", "name,n\ncaf\xe9,1\nx,2\n".encode("latin-1"))
-    rows = files.csv_rows(spark, str(tmp_path / "t.csv"))
-    profile = files.csv_profile(rows).first()
-    assert (profile["rows"], profile["columns"]) == (2, 2)
-    assert profile["column_names"] == ["name", "n"] and profile["dtypes"] == ["string", "int"]
-    lines = {r["content"] for r in files.csv_documents(spark, str(tmp_path / "t.csv")).collect()}
-    assert lines == {"caf\xe9,1", "x,2"}
-
-
 def test_json(spark, tmp_path):
     values = {"o.json": {"b": [1], "a": "é"}, "l.json": [{"k": 1}, 2], "e.json": [], "s.json": "x"}
     for file, value in values.items():
