@@ -2,7 +2,7 @@
 
 Kiveris et al., "Connected Components in MapReduce and Beyond" (2014). Both steps are
 one grouping by node; a node's neighbours are never gathered, only their
-minimum, so hubs of any degree are fine.
+minimum, and the edges of a hub are dealt over tasks when they meet it.
 """
 
 from __future__ import annotations
@@ -10,27 +10,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import stored
+from corpusloom.llm.common import join_hubs, stored
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Link every larger neighbour of a node to the node's smallest neighbour."""
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    return (
-        both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    )
+    met = join_hubs(both.filter("b > a"), least, "a", "b")
+    return met.select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Link a node and its smaller neighbours to the smallest of them."""
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = down.groupBy("a").agg(F.min("b").alias("m"))
-    return (
-        down.join(least, "a")
-        .select(F.col("b").alias("a"), F.col("m").alias("b"))
-        .union(least.select("a", F.col("m").alias("b")))
-    )
+    met = join_hubs(down, least, "a", "b").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return met.union(least.select("a", F.col("m").alias("b")))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -41,8 +37,8 @@ def components(links: DataFrame) -> DataFrame:
     """
     edges = stored(links.filter("a <> b").select("a", "b").distinct(), "edges")
     while True:
-        starred = _small_star(_large_star(edges)).filter("a <> b").distinct()
-        starred = stored(starred, "edges")
+        large = stored(_large_star(edges).distinct(), "large")
+        starred = stored(_small_star(large).filter("a <> b").distinct(), "edges")
         # Done when every node hangs on one root and no root hangs on another node.
         ends = starred.select(F.col("a").alias("node"), F.lit(1).alias("hangs"), F.lit(0).alias("root"))
         ends = ends.union(starred.select("b", F.lit(0), F.lit(1)).distinct())

@@ -31,9 +31,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import matches_needed, semi, stored
+from corpusloom.llm.common import hubs, join_hubs, matches_needed, semi, stored
 from corpusloom.llm.components import components
 from corpusloom.llm.shingles import WordHashes, digest, shingle_set
+from corpusloom.operators.skew import join_split
 
 SIGNED = "key long, n_shingles long, digest binary, signature array<int>"
 CHUNK = 4096
@@ -129,9 +130,12 @@ class Confirm:
         self.percent, self.matches = percent, matches
 
     def both(self, pairs: DataFrame, rows: DataFrame, value: str) -> DataFrame:
+        """Stored ``pairs`` with the values of both sides."""
         a = rows.select(F.col("key").alias("a"), F.col(value).alias("of_a"))
         b = rows.select(F.col("key").alias("b"), F.col(value).alias("of_b"))
-        return pairs.join(a, "a").join(b, "b")
+        # One class may be in a large share of the pairs.
+        half = join_split(pairs, a, "a", "b", hubs(pairs, "a"))
+        return join_split(half, b, "b", "a", hubs(pairs, "b"))
 
     def shingles(self, keys: DataFrame) -> DataFrame:
         """(key, shingles) of the given classes, from the texts of their least ids."""
@@ -141,7 +145,7 @@ class Confirm:
         return made.join(named, ["doc", "digest"]).select("key", "shingles")
 
     def by_signature(self, pairs: DataFrame) -> DataFrame:
-        signed = self.both(pairs.distinct(), self.sets, "signature")
+        signed = self.both(stored(pairs.distinct(), "pairs"), self.sets, "signature")
         equal = F.size(F.filter(F.zip_with("of_a", "of_b", lambda x, y: x == y), lambda e: e))
         return signed.filter(equal >= self.matches).select("a", "b")
 
@@ -161,7 +165,7 @@ class Confirm:
 def links_within(postings: DataFrame, confirm: Confirm, percent: int) -> DataFrame:
     """Enough links (a, b) to connect all sets that are connected by any."""
     most = F.max(F.struct("typical", F.negative("key").alias("turned"), "key", "size")).alias("l")
-    pairs = postings.join(postings.groupBy("token").agg(most), "token")
+    pairs = join_hubs(postings, postings.groupBy("token").agg(most), "token", "key")
     pairs = pairs.filter(F.col("key") != F.col("l.key"))
     pairs = pairs.filter(sizes_fit(F.col("size"), F.col("l.size"), percent))
     links = stored(confirm(ordered(pairs, F.col("key"), F.col("l.key"))), "links")
@@ -170,7 +174,7 @@ def links_within(postings: DataFrame, confirm: Confirm, percent: int) -> DataFra
         F.count(F.lit(1)).alias("members"),
         F.max(F.struct("typical", F.negative("key").alias("turned"), "root")).alias("l"),
     )
-    apart = rooted.join(lists, "token").filter(F.col("root") != F.col("l.root"))
+    apart = join_hubs(rooted, lists, "token", "key").filter(F.col("root") != F.col("l.root"))
     apart = stored(apart.drop("l"), "apart")
     short = apart.filter(F.col("members") <= SHORT_LIST)
     pairs = met_in_lists(short, rooted, percent)
@@ -267,10 +271,10 @@ def near_duplicates(
     links = links_within(postings, Confirm(rows, classes, words, percent, matches), percent)
     # From classes to ids: each class stands for its least id, and all rows of an id belong together.
     leads = classes.select("key", "doc")
-    near = links.join(leads.select(F.col("key").alias("a"), F.col("doc").alias("of_a")), "a")
-    near = near.join(leads.select(F.col("key").alias("b"), F.col("doc").alias("of_b")), "b")
+    near = join_split(links, leads.select(F.col("key").alias("a"), F.col("doc").alias("of_a")), "a", "b", hubs(links, "a"))
+    near = join_split(near, leads.select(F.col("key").alias("b"), F.col("doc").alias("of_b")), "b", "a", hubs(links, "b"))
     near = near.select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
-    member = known.join(classes.select("digest", "doc"), "digest")
+    member = join_hubs(known, classes.select("digest", "doc"), "digest", "key")
     same = member.filter("key <> doc").select(F.col("key").alias("a"), F.col("doc").alias("b"))
     roots = components(near.union(same))
     named = roots.select(F.col("node").alias("key"), "component")

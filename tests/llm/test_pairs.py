@@ -4,8 +4,9 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from corpusloom.llm import minhash, substring
+from corpusloom.llm import common, minhash, substring
 from corpusloom.llm.common import marks, anti, matches_needed, semi
 from corpusloom.llm.components import components
 
@@ -277,3 +278,22 @@ def test_marks_hold_all_marked_hashes(spark):
     held = marks(keys, "h").holds(hashes)
     assert held[:2000].all() and held[2000:].mean() < 0.1
     assert not marks(keys.limit(0), "h").holds(hashes).any()
+
+
+def test_hubs_are_dealt_over_tasks(spark):
+    rows = spark.range(5000).select(F.when(F.col("id") < 4000, 7).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+    hot = common.hubs(rows, "k")
+    assert [tuple(r) for r in hot.collect()] == [(7, 20)]
+    one = rows.select("k", (F.col("k") * 2).alias("twice")).distinct()
+    found = common.join_hubs(rows, one, "k", "v")
+    assert sorted(map(tuple, found.select("k", "v", "twice").collect())) == sorted(
+        (k, v, 2 * k) for k, v in map(tuple, rows.collect()))
+    assert common.hubs(spark.range(5000).withColumnRenamed("id", "k"), "k") is None
+
+
+def test_components_of_a_hub(spark):
+    # One node with 3,000 larger neighbours, one with 3,000 smaller ones, joined by a chain.
+    edges = [(10_000 + i, 5000) for i in range(3000)] + [(9000, i) for i in range(3000)] + [(5000, 4999), (4999, 4998), (4998, 9000)]
+    found = components(spark.createDataFrame(edges, "a long, b long"))
+    got = {r["node"]: r["component"] for r in found.collect()}
+    assert got == {n: 0 for e in edges for n in e if n}
