@@ -10,7 +10,6 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.operators.skew import hot_keys, join_split, key_counts
 from corpusloom.session import run_dir
 
 # A word is a run of anything but ASCII white space.
@@ -102,27 +101,6 @@ def anti(rows: DataFrame, key: str, keys: DataFrame) -> DataFrame:
     return known.filter("not _maybe").select(*rows.columns).union(left.select(*rows.columns))
 
 
-# Rows of one key that a task takes on, however small the table is.
-HUB_ROWS = 200
-
-
-def hubs(rows: DataFrame, key: str) -> DataFrame | None:
-    """(key, _parts) of keys that hold more than their share of ``rows``, at most a thousand; None if there are none.
-
-    ``rows`` is read twice, so it should be stored.
-    """
-    hot = hot_keys(key_counts(rows, key), key, rows.count(), HUB_ROWS)
-    if hot is None:
-        return None
-    hot = stored(hot, "hubs")
-    return None if hot.isEmpty() else hot
-
-
-def join_hubs(many: DataFrame, one: DataFrame, key: str, by: str) -> DataFrame:
-    """Inner join with ``one``, which has a row per key; rows of a hub are dealt over tasks by ``by``."""
-    return join_split(many, one, key, by, hubs(many, key))
-
-
 # Bits a key gets in the bitmap below, and the most bits in all (64 MB).
 BITS_PER_KEY = 32
 MOST_BITS = 1 << 29
