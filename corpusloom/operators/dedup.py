@@ -57,22 +57,28 @@ def first_copies(
 
 
 def exact_dedup(
-    docs: DataFrame, order: str, content: str = "content", content_hash: str | None = None
+    docs: DataFrame, order: str, content: str = "content", content_hash: str | None = None, copies: str | None = None
 ) -> DataFrame:
     """Keep the first row per content; ``order`` is a unique, sortable column.
 
     The rows are stored with their digest first, so whatever made them runs once.
-    Digests and ids decide alone; the few dropped ids then meet the rows.
+    Digests and ids decide alone; the few dropped ids then meet the rows. Ids of a digest
+    repeated very often are dealt over tasks. ``copies`` names a column for the number of rows of the content.
     """
     columns = docs.columns
-    held = stored(docs.withColumn("_digest", digest_of(content, content_hash)), "hashed")
-    first = held.groupBy("_digest").agg(F.min(order).alias("_first"), F.count(F.lit(1)).alias("_rows"))
-    repeated = first.filter("_rows > 1")
     # Rows without content are copies of each other, as in ``first_copies``.
-    repeated = repeated.withColumnRenamed("_digest", "_of")
-    same = F.col("_digest").eqNullSafe(F.col("_of"))
-    later = held.select(order, "_digest").join(repeated, same).filter(F.col(order) > F.col("_first"))
-    return held.join(later.select(order), order, "left_anti").select(*columns)
+    digest = F.coalesce(digest_of(content, content_hash), F.lit(""))
+    held = stored(docs.withColumn("_digest", digest), "hashed")
+    first = held.groupBy("_digest").agg(F.min(order).alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    repeated = stored(first.filter("_rows > 1"), "repeated")
+    hot = hot_keys(repeated.withColumnRenamed("_rows", "rows"), "_digest", held.count())
+    met = join_split(held.select(order, "_digest"), repeated, "_digest", order, hot)
+    later = met.filter(F.col(order) > F.col("_first"))
+    kept = held.join(later.select(order), order, "left_anti")
+    if copies is None:
+        return kept.select(*columns)
+    counted = kept.join(repeated.select("_digest", "_rows"), "_digest", "left")
+    return counted.select(*columns, F.coalesce("_rows", F.lit(1).cast("long")).alias(copies))
 
 
 def jaccard_overlap(bar: float) -> Callable[[Column], Column]:

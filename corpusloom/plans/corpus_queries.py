@@ -40,9 +40,8 @@ def clean_documents(spark, folder):
     " count(*) AS copies FROM cleaned GROUP BY content"
 )
 def exact_dedup(spark, folder):
-    docs = cleaned(spark, folder)
-    firsts = dedup.first_copies(docs, "doc_id")
-    return docs.join(firsts, "doc_id").select("doc_id", F.md5("content").alias("content_hash"), "copies")
+    kept = dedup.exact_dedup(cleaned(spark, folder), "doc_id", copies="copies")
+    return kept.select("doc_id", F.md5("content").alias("content_hash"), "copies")
 
 
 @query(f"WITH {CLEANED} SELECT doc_id, md5(content) AS content_hash FROM cleaned")

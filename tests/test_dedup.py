@@ -133,6 +133,20 @@ def test_rows_without_content_are_copies_of_each_other(spark):
     assert copies == {1: 2, 2: 3}
 
 
+def test_copies_of_a_split_digest(spark, monkeypatch):
+    # Half of the rows are one content, a tenth has none.
+    rows = [(i, None if i % 10 == 3 else "same" if i % 2 else f"t{i % 40}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, content string")
+    expected = {}
+    for i, text in rows:
+        expected.setdefault(text, [i, 0])[1] += 1
+    for smallest in (skew.MIN_HOT_ROWS, 5):
+        monkeypatch.setattr(skew, "MIN_HOT_ROWS", smallest)
+        kept = dedup.exact_dedup(docs, "doc_id", copies="copies").collect()
+        assert sorted((r["content"] or "", r["doc_id"], r["copies"]) for r in kept) == sorted(
+            (t or "", i, n) for t, (i, n) in expected.items())
+
+
 def test_switch_and_source_types(spark):
     rows = [(1, "a b c d", "web"), (2, "a b c d", "pdf"), (3, "q r s t", "docx")]
     docs = spark.createDataFrame(rows, "doc_id long, content string, source_type string")
