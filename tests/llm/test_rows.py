@@ -387,3 +387,28 @@ def test_prefix_tree_of_many_turns_is_linear():
     fresh = stream.add([*turns[:50_000], ("user", "other"), ("user", "more")])
     assert time.perf_counter() - start < 20
     assert [len(n["ancestors"]) for n in fresh] == [1, 2]
+
+
+@pytest.mark.parametrize("prior, shift", [(0.3, 0.0), (0.4, 1.0), (0.5, 6.0)])
+def test_risk_slopes_equal_a_numeric_gradient(prior, shift):
+    rng = np.random.default_rng(3)
+    pos, unl = rng.normal(shift, 1, 7), rng.normal(0, 1, 11)
+
+    def negative(p, u):
+        return np.logaddexp(0, u).mean() - prior * np.logaddexp(0, p).mean()
+
+    def climbed(p, u):
+        # Below zero the negative part is made larger, and nothing else counts.
+        if negative(pos, unl) < 0:
+            return -negative(p, u)
+        return prior * np.logaddexp(0, -p).mean() + negative(p, u)
+
+    assert (negative(pos, unl) < 0) == (shift == 6.0)
+    by_pos, by_unl = toxicity.risk_slopes(pos, unl, prior)
+    step = 1e-6
+    for i in range(len(pos)):
+        d = step * (np.arange(len(pos)) == i)
+        assert by_pos[i] == pytest.approx((climbed(pos + d, unl) - climbed(pos - d, unl)) / (2 * step), abs=1e-7)
+    for i in range(len(unl)):
+        d = step * (np.arange(len(unl)) == i)
+        assert by_unl[i] == pytest.approx((climbed(pos, unl + d) - climbed(pos, unl - d)) / (2 * step), abs=1e-7)
