@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.config import Collection
@@ -203,20 +203,25 @@ def page_records(
 def internal_links(
     pages: DataFrame, rules: Collection = Collection(), after_cleanup: bool = False
 ) -> DataFrame:
-    """(src, dst, position): distinct links to the page's own host, in document order."""
+    """(src, dst, position): distinct links to the page's own host, in document order.
+
+    Pages that repeat a URL count as one: a link stands at its first place in any of them,
+    and of several that stand equally early the lesser target comes first.
+    """
     host = netloc(F.col("url"))
     if "page" in pages.columns:
         rows = pages
     else:
         parts = page_parts(F.col("html"), F.col("url"), after_cleanup, wanted=("links",))
         rows = pages.withColumn("page", parts)
+    placed = F.transform("page.links", lambda link, i: F.struct(link.alias("dst"), i.alias("place")))
     inside = F.filter(
-        "page.links", lambda link: (netloc(link) == host) & url_allowed(link, rules)
+        placed, lambda link: (netloc(link["dst"]) == host) & url_allowed(link["dst"], rules)
     )
-    return rows.select(
-        F.col("url").alias("src"),
-        F.posexplode_outer(F.array_distinct(inside)).alias("position", "dst"),
-    ).filter("dst is not null")
+    found = rows.select(F.col("url").alias("src"), F.explode(inside).alias("link"))
+    first = found.groupBy("src", F.col("link.dst").alias("dst")).agg(F.min("link.place").alias("place"))
+    position = F.row_number().over(Window.partitionBy("src").orderBy("place", "dst")) - 1
+    return first.select("src", "dst", position.alias("position"))
 
 
 def collect_sources(*collected: DataFrame) -> DataFrame:

@@ -100,6 +100,13 @@ def test_links(spark):
     assert pg.internal_links(rows, after_cleanup=True).count() == 0
 
 
+def test_links_of_pages_that_repeat_a_url(spark):
+    url = "http://h.example/a"
+    rows = pages(spark, (url, "<a href='/x'>1</a><a href='/y'>2</a>"), (url, "<a href='/z'>1</a><a href='/x'>2</a>"))
+    found = [(r["src"], r["dst"], r["position"]) for r in pg.internal_links(rows).orderBy("position").collect()]
+    assert found == [(url, f"http://h.example/{name}", i) for i, name in enumerate("xzy")]
+
+
 def test_url_parts(spark):
     urls = ["http://u:p@H.example:80/a/b;x=1?q#f", "//n.example/p", "no/scheme", "http://h.example/é |.gif", ""]
     frame = spark.createDataFrame([(u,) for u in urls], "u string")
