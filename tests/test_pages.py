@@ -164,6 +164,16 @@ def test_crawl_equals_a_queue(spark):
         assert got == breadth_first(seed, links, valid, 15, 3)
 
 
+def test_crawl_collects_the_valid_pages_of_a_repeated_url(spark):
+    table = [("a", True), ("a", True), ("a", False), ("b", True), ("c", False), ("c", False)]
+    found = crawl(
+        spark.createDataFrame([("s", "a")], "seed string, url string"),
+        spark.createDataFrame([("a", "c", 0), ("a", "b", 1)], "src string, dst string, position int"),
+        spark.createDataFrame(table, "url string, valid boolean"),
+    ).collect()
+    assert sorted(tuple(r) for r in found) == [("s", "a", 0, 1), ("s", "a", 0, 2), ("s", "b", 1, 3)]
+
+
 def test_failures_are_counted(spark):
     good = spark.createDataFrame([("web", "x")], "source_type string, content string")
     bad = spark.createDataFrame([("pdf", "broken")], "source_type string, error string")
