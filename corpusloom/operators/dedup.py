@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from corpusloom.config import Deduplication
 from corpusloom.functions import text as tx
 from corpusloom.functions.blocks import numbered_grams, ratio_at_least
-from corpusloom.operators.skew import hot_keys, join_split, key_counts
+from corpusloom.operators.skew import anti, bitmaps_for, hot_keys, join_split, key_counts, maybe_among
 from corpusloom.session import cut, stored
 
 # Reduces (order, pilot) pairs to similar ones, given the pilots to split.
@@ -73,8 +73,8 @@ def exact_dedup(
     repeated = stored(first.filter("_rows > 1"), "repeated")
     hot = hot_keys(repeated.withColumnRenamed("_rows", "rows"), "_digest", held.count())
     met = join_split(held.select(order, "_digest"), repeated, "_digest", order, hot)
-    later = met.filter(F.col(order) > F.col("_first"))
-    kept = held.join(later.select(order), order, "left_anti")
+    later = stored(met.filter(F.col(order) > F.col("_first")).select(order), "later")
+    kept = anti(held, order, later)
     if copies is None:
         return kept.select(*columns)
     counted = kept.join(repeated.select("_digest", "_rows"), "_digest", "left")
@@ -92,12 +92,14 @@ def lookup_keys(sets: DataFrame, order: str, overlap: Callable[[Column], Column]
     Two sets that share ``overlap`` elements share one of the first n - overlap + 1
     elements of each, for any one ordering of all elements. Ours puts rare ones
     first. Those of a single row come before all others and can be left out, so
-    most rows need no lookup at all, and frequent shingles hardly ever serve.
+    most rows need no lookup at all, and frequent shingles hardly ever serve. A bitmap
+    of those that are repeated, of bounded size, keeps nearly all others from the shuffle.
     """
     rows = sets.select(order, F.size("shingles").alias("size"), F.explode("shingles").alias("shingle"))
     total = sets.agg(F.sum(F.size("shingles"))).first()[0] or 0
-    counts = key_counts(rows, "shingle").filter("rows > 1")
-    common = join_split(rows, counts, "shingle", order, hot_keys(counts, "shingle", total))
+    counts = stored(key_counts(rows, "shingle").filter("rows > 1"), "repeated")
+    near = maybe_among(rows, "shingle", counts, bitmaps_for(counts.count()))
+    common = join_split(near, counts, "shingle", order, hot_keys(counts, "shingle", total))
     ranked = common.groupBy(order).agg(
         F.min("size").alias("size"),
         F.sort_array(F.collect_list(F.struct("rows", "shingle"))).alias("common"),
@@ -218,9 +220,13 @@ def one_round(
 def with_both(
     pairs: DataFrame, crowded: DataFrame | None, rows: DataFrame, order: str, value: str
 ) -> DataFrame:
-    """Attach ``value`` of both rows of each pair, as ``later`` and ``earlier``."""
-    later = rows.select(order, F.col(value).alias("later"))
-    earlier = rows.select(F.col(order).alias("pilot"), F.col(value).alias("earlier"))
+    """Attach ``value`` of both rows of each pair, as ``later`` and ``earlier``.
+
+    Values are long and pairs few in most rounds, so rows in no pair do not move.
+    """
+    later = maybe_among(rows, order, pairs).select(order, F.col(value).alias("later"))
+    pilots = pairs.select(F.col("pilot").alias(order))
+    earlier = maybe_among(rows, order, pilots).select(F.col(order).alias("pilot"), F.col(value).alias("earlier"))
     return join_split(pairs.join(later, order), earlier, "pilot", order, crowded)
 
 
@@ -327,12 +333,12 @@ def deduplicate(
     hash_column = content_hash if rules.method not in ("fuzzy", "characters") else None
     kept = exact_dedup(docs, order, content, hash_column)
     if rules.method == "fuzzy":
-        dropped = near_duplicates(kept, order, content, rules, collapsed)
-        kept = kept.join(dropped, order, "left_anti")
+        dropped = stored(near_duplicates(kept, order, content, rules, collapsed).select(order), "dropped")
+        kept = anti(kept, order, dropped)
     if rules.method == "characters":
         kept = stored(kept, "distinct")
-        dropped = near_duplicate_characters(kept, order, content, rules.bar)
-        kept = kept.join(dropped, order, "left_anti")
+        dropped = stored(near_duplicate_characters(kept, order, content, rules.bar).select(order), "dropped")
+        kept = anti(kept, order, dropped)
     if source_types:
         kept = kept.filter(F.col("source_type").isin(*source_types))
     return kept

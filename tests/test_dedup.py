@@ -170,3 +170,22 @@ def test_clean_switches(spark):
     assert [r["content"] for r in raw] == ["  <b>bold</b>\n\n text  ", "x"]
     again = clean(clean(docs, Cleaning(5)), Cleaning(5)).collect()
     assert [r["content"] for r in again] == ["bold text"]
+
+
+def test_rows_without_partners_are_not_shuffled(spark):
+    """Sets in no pair, and shingles of one row, stay where they are."""
+    rng = random.Random(5)
+    sets = [(i, [rng.randrange(1 << 60) for _ in range(20)]) for i in range(4000)]
+    sets += [(4000, sets[7][1]), (4001, sets[8][1][:19] + [1])]
+    frame = spark.createDataFrame(sets, "doc_id long, shingles array<long>")
+    pairs = spark.createDataFrame([(4000, 7), (4001, 8)], "doc_id long, pilot long")
+    plan = dedup.with_both(pairs, None, frame, "doc_id", "shingles")
+    assert sorted((r["doc_id"], r["pilot"], r["later"] == r["earlier"]) for r in plan.collect()) == [
+        (4000, 7, True), (4001, 8, False)
+    ]
+    kept = skew.maybe_among(frame, "doc_id", pairs)
+    assert {4000, 4001} <= {r[0] for r in kept.select("doc_id").collect()} and kept.count() < 40
+    wide = skew.bitmaps_for(10**12)
+    assert skew.bitmaps_for(1) == skew.BITMAPS and wide == skew.MOST_BITMAPS
+    assert skew.maybe_among(frame, "doc_id", pairs, wide).count() == 2
+    assert skew.anti(frame, "doc_id", pairs).count() == 4000
