@@ -4,23 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from corpusloom.streaming.ingest import SALTS
 
 # Event times are rounded down to this part of the time that a content is remembered.
 PARTS = 64
+# Contents are dealt over so many buckets; a bucket's state and its rows of one batch are held at once.
+BUCKETS = 4096
+DIGEST = "S32"
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 class TakenOnce(StatefulProcessor):
-    """Lets a row of a key through unless one was let through less than ``keep_ms`` before.
+    """Lets a row of a content through unless one was let through less than ``keep_ms`` before.
 
-    The state of a key is the time until which it rests; a timer at that time clears it.
+    Contents come in buckets, as a call, a state and a timer for each content would take most of the time. The
+    state of a bucket is the time until which each of its contents rests, the digests in one field and
+    the times in another; a timer at the earliest of the times clears what has rested.
     """
 
     def __init__(self, keep_ms: int, columns: list[str]):
@@ -28,28 +34,46 @@ class TakenOnce(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.rests = handle.getValueState("rests", StructType([StructField("until", LongType())]))
+        fields = [StructField("digests", BinaryType()), StructField("untils", BinaryType())]
+        self.rests = handle.getValueState("rests", StructType(fields))
+
+    def held(self) -> dict[bytes, int]:
+        if not self.rests.exists():
+            return {}
+        digests, untils = self.rests.get()
+        return dict(zip(np.frombuffer(digests, DIGEST).tolist(), np.frombuffer(untils, np.int64).tolist()))
+
+    def hold(self, rests: dict[bytes, int]) -> None:
+        digests, untils = np.array(list(rests), DIGEST), np.array(list(rests.values()), np.int64)
+        self.rests.update((digests.tobytes(), untils.tobytes()))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        # Few rows of a key reach this: one per salt and rounded time.
+        # Few rows of a content reach this: one per salt and rounded time.
         own = pd.concat(list(rows)).sort_values("at", kind="stable")
-        until = self.rests.get()[0] if self.rests.exists() else None
-        before, taken = until, []
-        for at in own["at"]:
-            fresh = until is None or at >= until
+        rests, taken = self.held(), []
+        before = min(rests.values(), default=None)
+        for digest, at in zip(own["content_hash"], own["at"]):
+            digest = (digest or "").encode()
+            fresh = at >= rests.get(digest, at)
             taken.append(fresh)
             if fresh:
-                until = int(at) + self.keep_ms
-        if until != before:
-            if before is not None:
-                self.handle.deleteTimer(before)
-            self.rests.update((until,))
-            self.handle.registerTimer(until)
+                rests[digest] = int(at) + self.keep_ms
         if any(taken):
+            self.hold(rests)
+            # One timer no later than the earliest time is always set.
+            first = min(rests.values())
+            if before is None or first < before:
+                self.handle.registerTimer(first)
             yield own[taken][self.columns]
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.rests.clear()
+        now = expiredTimerInfo.getExpiryTimeInMs()
+        rests = {digest: until for digest, until in self.held().items() if until > now}
+        if rests:
+            self.hold(rests)
+            self.handle.registerTimer(min(rests.values()))
+        else:
+            self.rests.clear()
         yield from ()
 
     def close(self) -> None:
@@ -84,7 +108,8 @@ def expiring_content(
     rounded = salted.dropDuplicates(["content_hash", "salt", "seen_at"]).drop("salt")
     out = [*plain, "content_hash", "seen_at"]
     schema = StructType([rounded.schema[c] for c in out])
-    taken = rounded.groupBy("content_hash").transformWithStateInPandas(
+    bucketed = rounded.withColumn("bucket", F.pmod(F.xxhash64("content_hash"), F.lit(BUCKETS)))
+    taken = bucketed.groupBy("bucket").transformWithStateInPandas(
         TakenOnce(keep_ms, out), schema, "Append", "EventTime"
     )
     return taken.toDF(*columns, "content_hash", "seen_at")

@@ -104,6 +104,31 @@ def test_contents_expire_with_their_state(spark, tmp_path):
     assert state[-1]["transformWithStateInPandasExec"] <= 1 and state[-1]["dedupe"] <= 1
 
 
+def test_contents_share_few_states(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(expiring, "BUCKETS", 3)
+    start, base = dt.datetime(2024, 1, 1), str(tmp_path)
+
+    def run(seconds, contents):
+        rows = [(i, f"c{i}", start + dt.timedelta(seconds=seconds)) for i in contents]
+        spark.createDataFrame(rows, "doc_id long, content string, ts timestamp").write.mode("append").parquet(f"{base}/docs.parquet")
+        fresh = expiring.expiring_content(ingest.table_stream(spark, base, "docs"), "doc_id", "ts", "640 seconds", "10 seconds")
+        query = ingest.write_stream(fresh, f"{base}/out", f"{base}/state")
+        query.awaitTermination()
+        out = spark.read.parquet(f"{base}/out").select("content", F.unix_timestamp("seen_at"))
+        state = [{o.operatorName: o.numRowsTotal for o in p.stateOperators} for p in query.recentProgress]
+        return sorted((c, s - 1704067200) for c, s in out.collect()), state[-1]["transformWithStateInPandasExec"]
+
+    wanted = [(f"c{i}", 0) for i in range(60)]
+    found, states = run(0, range(60))
+    assert found == sorted(wanted) and states <= 3
+    # Half of them rest longer than the others.
+    wanted += [(f"c{i}", 640) for i in range(30)]
+    assert run(640, range(30))[0] == sorted(wanted)
+    wanted += [(f"c{i}", 1000) for i in range(30, 60)]
+    assert run(1000, range(60))[0] == sorted(wanted)
+    assert run(1270, range(60))[0] == sorted(wanted)
+
+
 def test_updates_survive_restart_and_replay(spark, tmp_path):
     start, base = dt.datetime(2024, 1, 1), str(tmp_path)
 
