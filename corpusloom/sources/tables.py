@@ -19,5 +19,11 @@ def documents(
     )
 
 
+# Pages that reach a Python worker at once; they are long, and workers share memory.
+PAGES_PER_BATCH = 500
+
+
 def pages(spark: SparkSession, folder: str) -> DataFrame:
+    """The pages table; Arrow batches hold few of its rows, however large the table is."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(PAGES_PER_BATCH))
     return table(spark, folder, "pages")

@@ -2,6 +2,7 @@ import json
 import random
 import time
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,6 +11,7 @@ from corpusloom.functions.html import page_parts, read_page
 from corpusloom.functions.urls import netloc, reader_for, url_allowed, url_path
 from corpusloom.operators import pages as pg
 from corpusloom.operators.crawl import crawl
+from corpusloom.sources import tables
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma "
 META = f"""<html><head><title> A <b>Title</b> </title>
@@ -211,6 +213,19 @@ def test_a_page_nested_beyond_measure_is_a_row_with_its_error(spark):
     assert found[2]["error"] is None and found[2]["main_text"] == "fine text here"
 
 
+def test_few_pages_are_held_at_once(spark, tmp_path):
+    count = 3 * tables.PAGES_PER_BATCH + 7
+    rows = [(i, f"http://h.example/{i}", None if i % 9 == 4 else f"<title>t{i}</title>") for i in range(count)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    frame.coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    read = tables.pages(spark, str(tmp_path)).coalesce(1)
+    size = F.arrow_udf(lambda ids: pa.array([len(ids)] * len(ids), pa.int32()), "int")(F.col("page_id"))
+    assert read.select(size.alias("n")).agg(F.max("n")).first()[0] <= tables.PAGES_PER_BATCH
+    parts = page_parts(F.col("html"), F.col("url"), wanted=("title",))
+    found = read.select("page_id", parts.alias("p")).select("page_id", "p.title").collect()
+    assert {r["page_id"]: r["title"] for r in found} == {i: html and f"t{i}" for i, _, html in rows}
+
+
 def test_parts_of_a_page():
     html = ("<title> A <b>b</b></title><script itemprop='s'>x<i>y</i></script><div itemscope itemtype='T'><p itemprop='a'>one <b> two</b>"
             "<script>no</script></p><div itemtype='U'><i itemprop='c' content='z'>w</i></div></div><a href='/l'>k</a>"
