@@ -219,6 +219,32 @@ def test_passages_down_to_the_least_identity_are_found(spark, kinds):
     assert all(r["identity"] >= 0.8 and r["n_words"] >= 50 for r in got)
 
 
+def test_pairs_whose_seeds_occur_in_earlier_documents_are_found(spark):
+    """Every run of six words of a fuzzy passage stands in an earlier document, and one passage has three variants."""
+    rng = random.Random(33)
+    vocabulary = [f"w{i}" for i in range(20_000)]
+
+    def prose(n):
+        return rng.choices(vocabulary, k=n)
+
+    def variant(words, exchanged):
+        places = set(rng.sample(range(len(words)), exchanged))
+        return [f"new{rng.random()}" if i in places else w for i, w in enumerate(words)]
+
+    docs, wanted = [], set()
+    for _ in range(12):
+        plain = prose(60)
+        docs += [prose(30) + plain[i : i + 9] + prose(30) for i in range(0, 56, 4)]
+        docs += [prose(40) + plain + prose(20), prose(25) + variant(plain, 5) + prose(35)]
+        wanted.add((len(docs) - 1, len(docs) - 2))
+    plain = prose(80)
+    docs += [prose(30) + variant(plain, 4) + prose(30) for _ in range(3)]
+    wanted |= {(len(docs) - a, len(docs) - b) for a, b in ((1, 2), (1, 3), (2, 3))}
+    got = substring.repeated_passages(spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(docs)], DOCS)).collect()
+    assert {(r["doc_id"], r["other_id"]) for r in got} == wanted
+    assert all(r["identity"] >= 0.8 and r["n_words"] >= 50 for r in got)
+
+
 def test_chains_equal_quadratic_search():
     import numpy as np
 
