@@ -237,6 +237,12 @@ def test_pairs_whose_seeds_occur_in_earlier_documents_are_found(spark):
         docs += [prose(30) + plain[i : i + 9] + prose(30) for i in range(0, 56, 4)]
         docs += [prose(40) + plain + prose(20), prose(25) + variant(plain, 5) + prose(35)]
         wanted.add((len(docs) - 1, len(docs) - 2))
+    for _ in range(4):  # two runs of 15 words, of 20 words between them every second one is shared
+        plain = prose(50)
+        changed = [f"other{rng.random()}" if 15 <= i < 35 and i % 2 else w for i, w in enumerate(plain)]
+        docs += [prose(30) + plain[i : i + 9] + prose(30) for i in range(0, 46, 4)]
+        docs += [prose(40) + plain + prose(20), prose(25) + changed + prose(35)]
+        wanted.add((len(docs) - 1, len(docs) - 2))
     plain = prose(80)
     docs += [prose(30) + variant(plain, 4) + prose(30) for _ in range(3)]
     wanted |= {(len(docs) - a, len(docs) - b) for a, b in ((1, 2), (1, 3), (2, 3))}
