@@ -30,6 +30,8 @@ BITS = 20
 PREFIXES = (3, 4, 5, 6)
 CACHED_WORDS = 100_000
 HELD_OUT = 2
+# Parts in which the training sample, a few megabytes each, reaches the driver.
+SAMPLE_PARTS = 16
 
 
 @dataclass(frozen=True)
@@ -137,6 +139,14 @@ def risk_slopes(pos: np.ndarray, unl: np.ndarray, prior: float) -> tuple[np.ndar
     return given_back - prior * (1 - sigmoid(pos)) / len(pos), as_negative
 
 
+def counted(sets: list[np.ndarray]) -> np.ndarray:
+    """How many sets hold each feature; a set holds it once."""
+    total = np.zeros(1 << BITS, np.int64)
+    for held in sets:
+        total[held] += 1
+    return total
+
+
 def fit(
     positives: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, how: Training
 ) -> Model:
@@ -144,8 +154,7 @@ def fit(
     if not positives or not unlabelled:
         return Model(np.zeros(0, np.int32), np.zeros(0), -50.0)
     prior = min(max(prior, 1e-4), 0.5)
-    in_pos = np.bincount(np.concatenate(positives), minlength=1 << BITS)
-    in_unl = np.bincount(np.concatenate(unlabelled), minlength=1 << BITS)
+    in_pos, in_unl = counted(positives), counted(unlabelled)
     posterior = prior * (in_pos / len(positives)) / ((in_unl + 2) / (len(unlabelled) + 2))
     keep = (in_pos >= how.min_positives) & (posterior >= how.min_posterior)
     kept = np.flatnonzero(keep).astype(np.int32)
@@ -166,7 +175,7 @@ def fit(
                 some_p.logits(weights, bias), some_u.logits(weights, bias), prior
             )
             gradient = some_p.gradient(slope_p, width) + some_u.gradient(slope_u, width)
-            gradient += how.shrink * weights
+            gradient = gradient + how.shrink * weights
             state = state + adam.step(np.append(gradient, slope_p.sum() + slope_u.sum()))
     return Model(kept, state[:-1], float(state[-1]))
 
@@ -195,12 +204,14 @@ def train(docs: DataFrame, labels: DataFrame, how: Training = Training()) -> Mod
     rows = pos.select("text", F.lit(True).alias("positive")).union(
         unl.select("text", F.lit(False).alias("positive"))
     )
-    found = rows.mapInPandas(packed, "positive boolean, found binary").collect()
-    split: dict[bool, list[np.ndarray]] = {True: [], False: []}
-    # Batches arrive in any order; the fit must not depend on it.
-    for flag, values in sorted((r["positive"], bytes(r["found"])) for r in found):
-        split[flag].append(np.frombuffer(values, np.int32))
-    return fit(split[True], split[False], toxic / total, how)
+    # One part after the other, so that the driver's JVM never holds the whole sample beside Python's.
+    found = rows.mapInPandas(packed, "positive boolean, found binary").repartition(SAMPLE_PARTS).toLocalIterator()
+    split: dict[bool, list[bytes]] = {True: [], False: []}
+    for row in found:
+        split[row["positive"]].append(bytes(row["found"]))
+    # Rows arrive in any order; the fit must not depend on it.
+    positives, unlabelled = ([np.frombuffer(values, np.int32) for values in sorted(split[flag])] for flag in (True, False))
+    return fit(positives, unlabelled, toxic / total, how)
 
 
 def scored(docs: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:

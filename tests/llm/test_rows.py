@@ -302,6 +302,31 @@ def test_raking_equals_numpy(spark):
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
+def test_mixing_writes_once_a_round(spark, monkeypatch):
+    """Every stage and scan costs the driver memory, so a round has one write and no job of its own beside it."""
+    rows = [(i, f"text {i} " * (1 + i % 7), ["en", "fr", "de"][i % 5 % 3], f"s{i % 11 % 4}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    written = collections.Counter()
+    write = mixing.stored
+    monkeypatch.setattr(mixing, "stored", lambda frame, label: written.update([label]) or write(frame, label))
+    for rounds in (1, 3):
+        written.clear()
+        how = mixing.Mixing(flatten=(0.5, 0.5, 1.0), tolerance=0.0, rounds=rounds)
+        assert mixing.mix(docs, how=how).count() == 300
+        assert written.pop("raked") == rounds and sum(written.values()) <= 3
+
+
+def test_many_cells_are_raked_like_few(spark, monkeypatch):
+    rows = [(i, f"text {i} " * (1 + i % 7), ["en", "fr", "de", None][i % 5 % 4], f"s{i % 11 % 4}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    few = {r["doc_id"]: r["probability"] for r in mixing.mix(docs).collect()}
+    monkeypatch.setattr(mixing, "FEW_CELLS", 0)
+    many = {r["doc_id"]: r["probability"] for r in mixing.mix(docs).collect()}
+    assert len(few) == 300 and few.keys() == many.keys() and all(abs(few[i] - many[i]) < 1e-12 for i in few)
+    spread = mixing.raked(mixing.stored(docs.selectExpr("source", "lang", "'a' as topic", "1.0 as weight", "0.5 as target_source", "0.5 as target_lang", "1.0 as target_topic"), "cells"), few=True)
+    assert "Exchange" not in spread._jdf.queryExecution().executedPlan().toString()
+
+
 def test_toxicity_learns_from_positives_and_unlabelled_text(spark):
     rng = random.Random(9)
     plain = [f"word{i}" for i in range(400)]
@@ -334,6 +359,20 @@ def test_toxicity_learns_from_positives_and_unlabelled_text(spark):
     assert toxicity.toxicity(frame.limit(0), known).count() == 0
 
 
+def test_the_training_sample_reaches_the_driver_in_parts(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"word{i % 5} {'bad' if i % 7 == 0 else 'good'}") for i in range(400)], "key long, text string")
+    known = spark.createDataFrame([(i, int(i % 7 == 0)) for i in range(400)], "key long, toxic int")
+    model = toxicity.train(docs, known)
+    assert len(model.kept)
+    collect, rows = type(docs).collect, []
+    monkeypatch.setattr(type(docs), "collect", lambda self: rows.append(collect(self)) or rows[-1])
+    again = toxicity.train(docs.repartition(7), known)
+    assert np.array_equal(model.kept, again.kept) and np.array_equal(model.weights, again.weights) and model.bias == again.bias
+    assert max(map(len, rows)) <= 1
+    alike = docs.withColumn("text", F.lit("the same words"))
+    assert not len(toxicity.train(alike, known).kept)
+
+
 def said_digest(turns):
     return hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest()
 
