@@ -1,11 +1,17 @@
 """Near duplicates, components and repeated passages against brute force."""
 
+import dataclasses
+import glob
+import os
 import random
+import tempfile
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from corpusloom.llm import minhash, substring
+from corpusloom.llm.shingles import runs
 from corpusloom.llm.common import marks, anti, matches_needed, semi
 from corpusloom.llm.components import components
 
@@ -251,6 +257,64 @@ def test_pairs_whose_seeds_occur_in_earlier_documents_are_found(spark):
     assert all(r["identity"] >= 0.8 and r["n_words"] >= 50 for r in got)
 
 
+def test_nothing_that_was_shuffled_stays_on_disk(spark):
+    roots = os.environ.get("SPARK_LOCAL_DIRS", spark.sparkContext.getConf().get("spark.local.dir", tempfile.gettempdir()))
+
+    def files():
+        return {p for root in roots.split(",") for p in glob.glob(f"{root}/**/shuffle_*", recursive=True)}
+
+    before = files()
+    counted = substring.stored(spark.range(1000).selectExpr("id % 10 as k").groupBy("k").count(), "counted")
+    assert not files() - before
+    assert sorted(r["count"] for r in counted.collect()) == [100] * 10
+
+
+class Everything:
+    def holds(self, hashes):
+        return np.ones(len(hashes), bool)
+
+
+def test_crowds_lose_no_pair_that_may_share_a_passage():
+    """A line stands in all documents; some share words around it, beyond a changed word or on one side only."""
+    rng = random.Random(41)
+    vocabulary = [f"w{i}" for i in range(300)]
+    line, shared = ["a", "line", "that", "all", "documents", "hold", "somewhere"], rng.choices(vocabulary, k=80)
+    texts = []
+    for i in range(120):
+        left, right = rng.choices(vocabulary, k=i % 50), rng.choices(vocabulary, k=40 - i % 30)
+        if i % 4 == 0:
+            right = [w if rng.random() < 0.75 else "other" for w in shared]
+        if i % 6 == 0:
+            left = left + [w for w in shared if rng.random() < 0.8]
+        texts.append((i, " ".join(left + line + right)))
+    how = substring.Passages()
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*texts)], ["key", "text"])
+    (documents,) = substring.documents_of(how, Everything())(iter([batch]))
+    own, index = substring.laid(documents, -2), substring.laid(documents, -1)
+    order = np.lexsort((index.keys[index.text], index.seed))
+    index = dataclasses.replace(index, **{n: getattr(index, n)[order] for n in ("text", "seed", "at", "before")})
+    same = np.argwhere((own.seed[:, None] == index.seed) & (own.keys[own.text][:, None] > index.keys[index.text]))
+    met = (own.before[same[:, 0]] == index.before[same[:, 1]]) & (own.before[same[:, 0]] != 0)
+    x, y = same[~met].T
+    passes = substring.alike(own.words, own.at[x], index.words, index.at[y], how)[1]
+    wanted = set(zip(x[passes].tolist(), y[passes].tolist()))
+    got = {pair for xs, ys in substring.pairs_of(own, substring.Block(index, how), how) for pair in zip(xs.tolist(), ys.tolist())}
+    assert wanted and wanted <= got and len(got) < 0.8 * len(x)
+
+
+def test_alignment_counts_words_as_row_by_row():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        a, b = (rng.integers(0, 6, rng.integers(0, 30)).astype(np.int32) for _ in "ab")
+        row = [0] * (len(b) + 1)
+        for word in a.tolist():
+            new = [0]
+            for j, other in enumerate(b.tolist()):
+                new.append(row[j] + 1 if word == other else max(row[j + 1], new[-1]))
+            row = new
+        assert substring.common_words(a, b) == row[-1]
+
+
 def test_chains_equal_quadratic_search():
     import numpy as np
 
@@ -309,3 +373,10 @@ def test_marks_hold_all_marked_hashes(spark):
     held = marks(keys, "h").holds(hashes)
     assert held[:2000].all() and held[2000:].mean() < 0.1
     assert not marks(keys.limit(0), "h").holds(hashes).any()
+
+
+def test_long_runs_have_the_hashes_of_runs():
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 49, 50, 51, 400):
+        words = rng.integers(0, 2**64, n, np.uint64, endpoint=False)
+        assert np.array_equal(substring.long_runs(words.copy(), 50), runs(words.copy(), 50))
