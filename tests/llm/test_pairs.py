@@ -269,6 +269,21 @@ def test_nothing_that_was_shuffled_stays_on_disk(spark):
     assert sorted(r["count"] for r in counted.collect()) == [100] * 10
 
 
+def test_passages_aligned_in_parts_are_the_same(spark, monkeypatch):
+    rng = random.Random(17)
+    passage = [f"p{i}" for i in range(70)]
+    docs = [[f"w{rng.randrange(5000)}" for _ in range(60)] + passage[i % 9 :] for i in range(30)]
+    frame = spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(docs)], DOCS)
+    got, labels = {}, []
+    keep = substring.stored
+    monkeypatch.setattr(substring, "stored", lambda frame, label: labels.append(label) or keep(frame, label))
+    for few in (1000, 0):
+        monkeypatch.setattr(substring, "FEW_SPANS", few)
+        got[few] = sorted(map(tuple, substring.repeated_passages(frame).collect()))
+        assert (labels.count("part") > 2) == (few == 0)
+    assert got[0] == got[1000] and len(got[0]) >= 29
+
+
 class Everything:
     def holds(self, hashes):
         return np.ones(len(hashes), bool)
