@@ -395,3 +395,95 @@ def test_long_runs_have_the_hashes_of_runs():
     for n in (0, 1, 49, 50, 51, 400):
         words = rng.integers(0, 2**64, n, np.uint64, endpoint=False)
         assert np.array_equal(substring.long_runs(words.copy(), 50), runs(words.copy(), 50))
+
+
+def laid_pair(texts):
+    how = substring.Passages()
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*texts)], ["key", "text"])
+    (documents,) = substring.documents_of(how, Everything())(iter([batch]))
+    own, index = substring.laid(documents, -2), substring.laid(documents, -1)
+    order = np.lexsort((index.keys[index.text], index.seed))
+    return documents, own, dataclasses.replace(index, **{n: getattr(index, n)[order] for n in ("text", "seed", "at", "before")})
+
+
+def test_a_line_of_many_documents_is_told_from_what_stands_around_it():
+    """17 words between words of their own: the line itself is no reason to compare two documents in full."""
+    rng, how = random.Random(8), substring.Passages()
+    line = [f"line{i}" for i in range(17)]
+    texts = [(i, " ".join([f"w{rng.randrange(50_000)}" for _ in range(30)] + line + [f"w{rng.randrange(50_000)}" for _ in range(i % 40)])) for i in range(200)]
+    shared = [f"same{i}" for i in range(40)]
+    texts += [(200 + i, " ".join([f"w{rng.randrange(50_000)}" for _ in range(30)] + line + shared)) for i in range(2)]
+    _, own, index = laid_pair(texts)
+    got = [(own.keys[own.text[a]], index.keys[index.text[b]]) for x, y in substring.pairs_of(own, substring.Block(index, how), how) for a, b in zip(x, y)]
+    assert (201, 200) in got
+    assert len(got) < 0.1 * 202 * 201 / 2
+
+
+def test_seeds_with_a_partner_that_may_share_a_passage_are_kept():
+    rng, how = random.Random(52), substring.Passages()
+    vocabulary = [f"w{i}" for i in range(400)]
+    line, texts = [f"line{i}" for i in range(9)], []
+    for i in range(90):
+        plain = rng.choices(vocabulary, k=70)
+        texts.append((2 * i, " ".join(plain + line + rng.choices(vocabulary, k=i % 30))))
+        changed = [w if rng.random() < 0.6 + i / 200 else "other" for w in plain]
+        texts.append((2 * i + 1, " ".join(changed + line * (i % 2))))
+    documents, own, index = laid_pair(texts)
+    same = np.argwhere((own.seed[:, None] == index.seed) & (own.keys[own.text][:, None] > index.keys[index.text]))
+    x, y = same[~((own.before[same[:, 0]] == index.before[same[:, 1]]) & (own.before[same[:, 0]] != 0))].T
+    alone, good, _, _ = substring.alike(own.words, own.at[x], index.words, index.at[y], how)
+    blobs = {}
+    for row in (r for b in substring.occurrences(how, 1, 0)(iter([documents])) for r in b.to_pylist()):
+        blobs.setdefault(row["part"], []).append(row["records"])
+    kept, pairs = set(), set()
+    for part in blobs.values():
+        for batch in substring.promising(how)({0: part}):
+            for row in batch.to_pylist():
+                if row["kind"]:
+                    pairs |= {(int(r["key"]), int(r["other"]), int(r["place"]), int(r["other_place"])) for r in np.frombuffer(row["records"], substring.BOTH)}
+                else:
+                    kept |= {(int(r["key"]), int(r["place"])) for r in np.frombuffer(row["records"], substring.KEPT)}
+    assert good.any() and not alone.all() and len(kept) < 0.9 * len(own.seed)
+    for a, b, single in zip(x[good].tolist(), y[good].tolist(), alone[good].tolist()):
+        one = int(own.keys[own.text[a]]), int(own.at[a] - own.starts[own.text[a]])
+        two = int(index.keys[index.text[b]]), int(index.at[b] - index.starts[index.text[b]])
+        assert {one, two} <= kept or not single and (one[0], two[0], one[1], two[1]) in pairs
+
+
+def test_many_ends_at_once_are_those_found_one_by_one():
+    rng, how = random.Random(77), substring.Passages()
+    one, two = [], []
+    for _ in range(400):
+        kinds = rng.choice([3, 8, 50, 1000])
+        a = [rng.randrange(kinds) for _ in range(rng.randrange(150))]
+        b = list(a)
+        for _ in range(rng.randrange(20) if b else 0):
+            at = rng.randrange(len(b) or 1)
+            b[at : at + rng.randrange(2)] = [rng.randrange(kinds) for _ in range(rng.randrange(2))]
+        one.append(np.array(a, np.int32))
+        two.append(np.array(b, np.int32))
+    rows = [substring.padded(pa.array([x.tobytes() for x in c], pa.binary()), filler) for c, filler in ((one, -1), (two, -2))]
+    (a, i, p), (b, j, q) = rows
+    n, m = np.diff(p), np.diff(q)
+    for step in (1, -1):
+        starts = (i, j) if step > 0 else (i + n - 1, j + m - 1)
+        got = np.stack(substring.extend_all(a, starts[0], n, b, starts[1], m, step, how)).T.tolist()
+        assert got == [list(substring.extend(x[::step], y[::step], how)[0]) for x, y in zip(one, two)]
+        on = substring.equal_run(a, starts[0], b, starts[1], step)
+        still = substring.stays(a, starts[0] + step * on, b, starts[1] + step * on, step, how)
+        assert still.any() and all(list(g) == [k, k, k] for g, k, s in zip(got, on.tolist(), still) if s)
+
+
+def test_passages_within_a_copied_one_are_left_out_before_they_are_aligned():
+    rng, how = random.Random(3), substring.Passages()
+    passage = [f"p{i}" for i in range(80)]
+    texts = [(i, " ".join([f"w{rng.randrange(50_000)}" for _ in range(30)] + passage + [f"w{rng.randrange(50_000)}" for _ in range(30)])) for i in range(3)]
+    texts[2] = (2, texts[2][1].rsplit(" ", 30)[0] + " " + " ".join(texts[1][1].split()[-30:]))
+    documents, _, index = laid_pair(texts)
+    covers = pa.array([b"", *[np.array([30, 110], np.int32).tobytes()] * 2], pa.binary())
+    own = substring.laid(pa.RecordBatch.from_arrays([*documents.columns, covers], [*documents.schema.names, "covers"]), -2)
+    x, y = (np.concatenate(c) for c in zip(*substring.pairs_of(own, substring.Block(index, how), how)))
+    q, r = own.at[x] - own.starts[own.text[x]], index.at[y] - index.starts[index.text[y]]
+    got = substring.without_held([own.text[x], index.text[y], q, r, q, np.ones(len(x), bool)], own, index, how)
+    assert {(own.keys[a], index.keys[b]) for a, b in zip(own.text[x], index.text[y])} == {(1, 0), (2, 0), (2, 1)}
+    assert {(own.keys[a], index.keys[b]) for a, b in zip(got[0], got[1])} == {(2, 1)}
